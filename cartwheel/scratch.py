@@ -11,19 +11,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; only a local master may fall back to its own."""
-    root = spark.conf.get(_CHECKPOINT_DIR, None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="cartwheel-")
-    spark.conf.set(_CHECKPOINT_DIR, root)
-    return root
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="cartwheel-")
+    return _local_roots[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
