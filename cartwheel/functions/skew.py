@@ -49,7 +49,7 @@ def number_within(
         return _number(df, [key], order, out)
     bounded = F.broadcast(hot)  # see hot_groups for the bound
     ordinary = _number(df.join(bounded, key, "left_anti"), [key], order, out)
-    split = _number_in_slices(df.join(bounded, key, "left_semi"), key, order, out, hot_rows)
+    split = _number_in_slices(df.join(bounded, key, "left_semi"), key, order, out)
     return ordinary.unionByName(split)
 
 
@@ -57,9 +57,9 @@ def _number(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFra
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
-def _number_in_slices(df: DataFrame, key: str, order: list[str], out: str, rows_per_slice: int) -> DataFrame:
+def _number_in_slices(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
     shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(shuffle_partitions, df.count() // rows_per_slice + 1)
+    slices = max(shuffle_partitions, df.count() // HOT_GROUP_ROWS + 1)
     # slice numbers are written down: a recomputed range partitioning may cut elsewhere
     sliced = write_table(
         df.repartitionByRange(slices, key, *order).withColumn("_slice", F.spark_partition_id()),

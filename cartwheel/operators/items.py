@@ -23,6 +23,7 @@ from cartwheel.functions.windows import EventClock
 from cartwheel.schemas import EVENING, ITEM_NUM_ATTRIBUTES, ITEM_NUM_IMAGES, MORNING, WINDOW_DAYS
 
 ITEM = "item_id"
+ROUNDING = 1e-9
 
 
 def _known(events: DataFrame) -> DataFrame:
@@ -124,11 +125,15 @@ def item_content(items: DataFrame) -> DataFrame:
 def item_discount_flag_spec(
     events: DataFrame, items: DataFrame, clock: EventClock, days: int = WINDOW_DAYS
 ) -> DataFrame:
-    """1 where the base price lies above the average price seen in the window."""
+    """1 where the base price lies above the average price seen in the window.
+
+    Both sides may be averages of the same prices summed in another order, so
+    differences of rounding size do not count.
+    """
     seen = item_monetary(events, clock, days).select(ITEM, "item_avg_price_30d")
+    above = F.col("base_price") - F.col("item_avg_price_30d") > F.col("base_price") * ROUNDING
     return items.join(seen, ITEM, "left").select(
-        ITEM,
-        F.when(F.col("base_price") > F.col("item_avg_price_30d"), 1).otherwise(0).alias("item_is_discounted_flag"),
+        ITEM, F.when(above, 1).otherwise(0).alias("item_is_discounted_flag")
     )
 
 
