@@ -1,4 +1,4 @@
-"""Helpers that keep a hot key, or a table larger than expected, from landing in one task."""
+"""Helpers that keep a hot key from landing in one task."""
 
 from __future__ import annotations
 
@@ -9,47 +9,36 @@ from cartwheel.scratch import write_table
 
 # a group of this many rows still sorts comfortably inside one task
 HOT_GROUP_ROWS = 1_000_000
-# a hot group also holds more than this share of all rows, so there are fewer than 1/share of them
-HOT_GROUP_SHARE = 1 / 20_000
-# narrow lookup tables up to this many rows are sent to every executor
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that `df` stays within `max_rows`.
-
-    The count stops at the bound. A larger table is returned as it is, and the
-    join then shuffles, with AQE splitting hot keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def hot_groups(df: DataFrame, key: str, min_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Keys whose group is too large for one task; fewer than 1/HOT_GROUP_SHARE rows by construction."""
-    total = df.agg(F.count("*")).scalar()
-    return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .filter((F.col("_rows") > min_rows) & (F.col("_rows") > total * HOT_GROUP_SHARE))
-        .select(key)
-    )
+    """Keys whose group is too large for one task."""
+    return df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > min_rows).select(key)
 
 
 def number_within(
-    df: DataFrame, key: str, order: list[str], out: str, hot_rows: int = HOT_GROUP_ROWS
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    out: str,
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """`row_number` of each row within its `key` group by `order` (a total order).
 
     Ordinary groups use a plain window. Hot groups are range-partitioned by
     (key, order) so that one group spreads over many tasks; each slice is
     numbered on its own and shifted by the sizes of the group's earlier slices.
+
+    Group sizes are counted on `counted` if given: a cheaper table that holds at
+    least the rows of `df`, such as one from before a dedupe.
     """
-    hot = write_table(hot_groups(df, key, hot_rows), "hot-groups")
+    hot = hot_groups(df if counted is None else counted, key, hot_rows)
     if hot.isEmpty():
         return _number(df, [key], order, out)
-    bounded = F.broadcast(hot)  # see hot_groups for the bound
-    ordinary = _number(df.join(bounded, key, "left_anti"), [key], order, out)
-    split = _number_in_slices(df.join(bounded, key, "left_semi"), key, order, out)
+    hot = write_table(hot, "hot-groups")
+    ordinary = _number(df.join(hot, key, "left_anti"), [key], order, out)
+    split = _number_in_slices(df.join(hot, key, "left_semi"), key, order, out)
     return ordinary.unionByName(split)
 
 

@@ -31,7 +31,10 @@ def typed_projection(raw: DataFrame) -> DataFrame:
 
 
 def drop_null_keys_price(events: DataFrame) -> DataFrame:
-    return events.dropna(subset=REQUIRED_FIELDS).filter(F.col("price") > 0)
+    # one predicate per column, so that each can reach the scan
+    for name in REQUIRED_FIELDS:
+        events = events.filter(F.col(name).isNotNull())
+    return events.filter(F.col("price") > 0)
 
 
 def sanitize_categoricals(events: DataFrame) -> DataFrame:

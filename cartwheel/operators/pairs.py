@@ -74,10 +74,10 @@ def _pair_history(base: DataFrame, clock: EventClock, days: int) -> DataFrame:
     return _with_last_seen(totals.withColumns({c: F.when(recent, F.col(c)) for c in names}), clock)
 
 
-def session_positions(base: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Adds `pos`, the 1-based index of each row in its session."""
+def session_positions(base: DataFrame, events: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Adds `pos`, the 1-based index of each row in its session. `events` is what `base` was made from, if stored."""
     order = ["ts", "item_id", "event_type", "user_id"]
-    return number_within(base, "session_id", order, "pos", hot_rows)
+    return number_within(base, "session_id", order, "pos", events, hot_rows)
 
 
 def _pair_sessions(positions: DataFrame) -> DataFrame:
@@ -86,11 +86,13 @@ def _pair_sessions(positions: DataFrame) -> DataFrame:
     )
 
 
-def ui_session_context(base: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def ui_session_context(
+    base: DataFrame, events: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS
+) -> DataFrame:
     """From the session in which the pair met most often: last position and number of meetings."""
     best = F.max(F.struct("events", "session_id", "position")).alias("best")
     return (
-        _pair_sessions(session_positions(base, hot_rows))
+        _pair_sessions(session_positions(base, events, hot_rows))
         .groupBy(*PAIR)
         .agg(best)
         .select(
@@ -101,12 +103,14 @@ def ui_session_context(base: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataF
     )
 
 
-def ui_session_context_spec(base: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def ui_session_context_spec(
+    base: DataFrame, events: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS
+) -> DataFrame:
     """From the pair's latest session: last position, and the number of all events in that session."""
     latest = F.max(F.struct("ended", "session_id", "position")).alias("latest")
     totals = base.groupBy("session_id").agg(F.count("*").alias("ui_session_event_count"))
     return (
-        _pair_sessions(session_positions(base, hot_rows))
+        _pair_sessions(session_positions(base, events, hot_rows))
         .groupBy(*PAIR)
         .agg(latest)
         .select(*PAIR, "latest.session_id", F.col("latest.position").alias("ui_position_in_session"))
@@ -267,7 +271,7 @@ def cross_features(
     )
     return (
         aligned.join(_pair_history(base, clock, days), PAIR, "left")
-        .join(ui_session_context(base, hot_rows), PAIR, "left")
+        .join(ui_session_context(base, events, hot_rows), PAIR, "left")
         .withColumns(
             {"ui_user_item_exploration_score": exploration_score(), "ui_recency_bucket": recency_bucket()}
         )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from cartwheel.functions.windows import EventClock, event_clock, window_bounds
 from cartwheel.operators import cleaning, entities, items, pairs, text, users, views
-from cartwheel.plans.retail_tables import catalog, numbered_events, raw_event_stream, raw_events, table
+from cartwheel.plans.retail_tables import catalog, numbered_events, raw_event_stream, raw_events, raw_events_without_paths, table
 from cartwheel.schemas import (
     CROSS_VIEW,
     EMBEDDING_DIMS,
@@ -69,8 +69,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_clock(spark: SparkSession, sf_dir: str) -> EventClock:
-    """The clean table's clock. Copies do not move the newest time, so the anchor skips the dedupe."""
-    return event_clock(cleaning.clean_rows(raw_events(spark, sf_dir)))
+    """The clean table's clock. Neither copies nor categories move the newest time, so both are left out."""
+    return event_clock(cleaning.clean_rows(raw_events_without_paths(spark, sf_dir)))
 
 
 def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +102,8 @@ def streamed(rows: DataFrame, name: str) -> DataFrame:
 @query("s1_bronze_scan")
 def _(spark, sf_dir):
     raw, path = raw_events(spark, sf_dir), new_path(spark, "bronze")
-    sinks.raw_archive(raw, files_per_hour=1).write.partitionBy(*sinks.ARCHIVE_PARTITIONS).parquet(path)
+    by_day = raw.withColumn("day", F.to_date(F.timestamp_millis("ts")))
+    by_day.hint("rebalance", "day").write.partitionBy("day").parquet(path)
     return tables.bronze_scan(spark, path, raw.schema)
 
 
@@ -432,20 +433,17 @@ def _(spark, sf_dir):
     return pairs.ui_cooccurrence(pairs.base_pairs(silver(spark, sf_dir)), silver_clock(spark, sf_dir), days=10)
 
 
-@query("x3_ui_session_context")
-def _(spark, sf_dir):
-    return pairs.ui_session_context(pairs.base_pairs(stored_silver(spark, sf_dir)))
-
-
-@query("x3_ui_session_context_split_sessions")
-def _(spark, sf_dir):
-    """The same result with nearly every session treated as a hot one."""
-    return pairs.ui_session_context(pairs.base_pairs(stored_silver(spark, sf_dir)), hot_rows=1)
+def _sessions(name: str, build: Callable[..., DataFrame], **settings) -> None:
+    @query(name)
+    def _(spark, sf_dir):
+        events = stored_silver(spark, sf_dir)
+        return build(pairs.base_pairs(events), events, **settings)
 
 
-@query("x3b_ui_session_context_spec")
-def _(spark, sf_dir):
-    return pairs.ui_session_context_spec(pairs.base_pairs(stored_silver(spark, sf_dir)))
+_sessions("x3_ui_session_context", pairs.ui_session_context)
+# the same result with nearly every session treated as a hot one
+_sessions("x3_ui_session_context_split_sessions", pairs.ui_session_context, hot_rows=1)
+_sessions("x3b_ui_session_context_spec", pairs.ui_session_context_spec)
 
 
 def requested_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

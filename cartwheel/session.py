@@ -12,6 +12,8 @@ SETTINGS = {
     # let AQE split a hot join key even where that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # call-site capture on every column costs more than the column on wide feature plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # windowed state grows with the number of live keys: keep it off the heap
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -15,7 +15,7 @@ JSON_SCHEMA = T.StructType(
 
 
 def file_event_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None, glob: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None, glob: str | None = None
 ) -> DataFrame:
     """Parquet files as an event stream, oldest file first."""
     reader = spark.readStream.schema(schema)
