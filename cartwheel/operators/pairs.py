@@ -24,10 +24,14 @@ CO_VIEWS = "ui_user_item_co_views_30d"
 TOP_CATEGORIES = ["user_top_category_1", "user_top_category_2", "user_top_category_3"]
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+
+
 def base_pairs(events: DataFrame) -> DataFrame:
     """One row per (user, item, ts); of several the smallest (event_type, session_id) stays."""
     return (
-        events.dropna(subset=PAIR)
+        _keyed(events)
         .groupBy(*PAIR, "ts")
         .agg(F.min(F.struct("event_type", "session_id")).alias("kept"))
         .select(*PAIR, "ts", "kept.event_type", "kept.session_id")
@@ -35,12 +39,12 @@ def base_pairs(events: DataFrame) -> DataFrame:
 
 
 def observed_pairs(events: DataFrame) -> DataFrame:
-    return events.dropna(subset=PAIR).select(*PAIR).distinct()
+    return _keyed(events).select(*PAIR).distinct()
 
 
 def candidate_pairs(events: DataFrame, requested: DataFrame) -> DataFrame:
     """Observed pairs and the pairs a caller asks for, each once."""
-    return observed_pairs(events).union(requested.dropna(subset=PAIR).select(*PAIR)).distinct()
+    return observed_pairs(events).union(_keyed(requested).select(*PAIR)).distinct()
 
 
 def ui_recency(base: DataFrame, clock: EventClock) -> DataFrame:
@@ -212,7 +216,7 @@ def _affinity(
     pairs: DataFrame, events: DataFrame, labelled: DataFrame, clock: EventClock, days: int, out: str
 ) -> DataFrame:
     """Share of the user's window events that fall on items with the pair's item label."""
-    met = clock.recent(events, days).dropna(subset=PAIR).groupBy(*PAIR).agg(F.count("*").alias("n"))
+    met = _keyed(clock.recent(events, days)).groupBy(*PAIR).agg(F.count("*").alias("n"))
     by_label = met.join(labelled, "item_id").groupBy("user_id", "label").agg(F.sum("n").alias("on_label"))
     by_user = met.groupBy("user_id").agg(F.sum("n").alias("total"))
     scores = by_label.join(by_user, "user_id").select(
@@ -251,10 +255,14 @@ def cross_features(
     """All user-item features of `pairs` (default: observed pairs) whose user and item have features.
 
     `users` and `items` are the two feature tables; similarity is added where both carry embeddings.
+    Everything keyed by pair is joined first, on one partitioning; the user and item lookups follow.
     """
     events = clock.history(events)
     base = base_pairs(events)
-    wanted = observed_pairs(events) if pairs is None else pairs.select(*PAIR).distinct()
+    facts = _pair_history(base, clock, days)
+    if pairs is not None:
+        facts = pairs.select(*PAIR).distinct().join(facts, PAIR, "left")
+    facts = facts.join(ui_session_context(base, events, hot_rows), PAIR, "left")
     derived = {**_price_columns(), **_match_flags()}
 
     user_columns = [F.col(c) for c in ("user_id", "user_avg_price_30d", "user_price_std_30d", "user_top_category_1")]
@@ -263,16 +271,10 @@ def cross_features(
         user_columns.append(embedding_array("user_behavior_emb").alias("user_emb"))
         item_columns.append(embedding_array("item_behavior_emb").alias("item_emb"))
         derived["ui_user_item_similarity_emb"] = dot(F.col("user_emb"), F.col("item_emb"))
+    derived |= {"ui_user_item_exploration_score": exploration_score(), "ui_recency_bucket": recency_bucket()}
 
-    aligned = (
-        wanted.join(users.select(*user_columns), "user_id")
-        .join(items.select(*item_columns), "item_id")
-        .select(*PAIR, *[c.alias(name) for name, c in derived.items()])
-    )
     return (
-        aligned.join(_pair_history(base, clock, days), PAIR, "left")
-        .join(ui_session_context(base, events, hot_rows), PAIR, "left")
-        .withColumns(
-            {"ui_user_item_exploration_score": exploration_score(), "ui_recency_bucket": recency_bucket()}
-        )
+        facts.join(users.select(*user_columns), "user_id")
+        .join(items.select(*item_columns), "item_id")
+        .select(*PAIR, *[c for c in facts.columns if c not in PAIR], *[c.alias(name) for name, c in derived.items()])
     )

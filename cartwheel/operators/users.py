@@ -87,8 +87,10 @@ def user_diversity(events: DataFrame, clock: EventClock, days: int = WINDOW_DAYS
 
 
 def _distinct_categories(counts: DataFrame) -> DataFrame:
-    # counts holds each (user, category) once, so counting rows counts distinct values
-    return counts.groupBy(USER).agg(F.count("category").alias("user_distinct_categories_viewed_30d"))
+    """Rows of `counts` are distinct categories. Reading `n` keeps this input identical to the one that ranks
+    categories, so both share one shuffle."""
+    seen = F.col("category").isNotNull() & (F.col("n") > 0)
+    return counts.groupBy(USER).agg(F.count_if(seen).alias("user_distinct_categories_viewed_30d"))
 
 
 def user_monetary(events: DataFrame, clock: EventClock, days: int = WINDOW_DAYS) -> DataFrame:
@@ -179,7 +181,7 @@ def user_category_docs(events: DataFrame, clock: EventClock, days: int = WINDOW_
     The document itself would hold one word per event in a single cell; the
     long form says the same and stays distributed however active the user.
     """
-    return user_category_counts(events, clock, days).dropna(subset=["category"]).withColumnRenamed("category", "text")
+    return user_category_counts(events, clock, days).filter(F.col("category").isNotNull()).withColumnRenamed("category", "text")
 
 
 def user_features(

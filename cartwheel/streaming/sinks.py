@@ -25,7 +25,7 @@ def raw_archive(events: DataFrame, files_per_hour: int = 8) -> DataFrame:
     tasks share an hour instead of sending it to one.
     """
     at = F.timestamp_millis("ts") if dict(events.dtypes)["ts"] == "bigint" else F.col("ts")
-    dated = events.dropna(subset=["user_id", "ts"]).withColumns(
+    dated = events.filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull()).withColumns(
         {name: F.date_format(at, pattern) for name, pattern in _PATTERNS.items()}
     )
     salt = spread([F.col("user_id"), F.col("ts")], files_per_hour)
