@@ -12,8 +12,8 @@ HOT_GROUP_ROWS = 1_000_000
 
 
 def hot_groups(df: DataFrame, key: str, min_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Keys whose group is too large for one task."""
-    return df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > min_rows).select(key)
+    """(key, _rows) of the groups that are too large for one task."""
+    return df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > min_rows)
 
 
 def number_within(
@@ -37,8 +37,9 @@ def number_within(
     if hot.isEmpty():
         return _number(df, [key], order, out)
     hot = write_table(hot, "hot-groups")
+    hot_total = hot.agg(F.sum("_rows")).first()[0]
     ordinary = _number(df.join(hot, key, "left_anti"), [key], order, out)
-    split = _number_in_slices(df.join(hot, key, "left_semi"), key, order, out)
+    split = _number_in_slices(df.join(hot, key, "left_semi"), key, order, out, hot_total)
     return ordinary.unionByName(split)
 
 
@@ -46,9 +47,9 @@ def _number(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFra
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
-def _number_in_slices(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
+def _number_in_slices(df: DataFrame, key: str, order: list[str], out: str, rows: int) -> DataFrame:
     shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(shuffle_partitions, df.count() // HOT_GROUP_ROWS + 1)
+    slices = max(shuffle_partitions, rows // HOT_GROUP_ROWS + 1)
     # slice numbers are written down: a recomputed range partitioning may cut elsewhere
     sliced = write_table(
         df.repartitionByRange(slices, key, *order).withColumn("_slice", F.spark_partition_id()),

@@ -9,7 +9,8 @@ buckets, which bounds the only per-entity collect.
 from __future__ import annotations
 
 from pyspark.ml.feature import PCA, HashingTF, PCAModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,9 @@ from pyspark.sql import types as T
 from cartwheel.schemas import EMBEDDING_DIMS, HASH_BUCKETS
 from cartwheel.scratch import write_table
 
+# the tag of sparse vectors in their stored form
+SPARSE = 0
+
 
 def item_documents(items: DataFrame) -> DataFrame:
     """Category path, brand and title of each item as text; items without text are skipped."""
@@ -51,20 +55,26 @@ def tfidf_terms(docs: DataFrame, entity: str) -> DataFrame:
 
 
 def hashed_tfidf(docs: DataFrame, entity: str, buckets: int = HASH_BUCKETS) -> DataFrame:
-    """(entity, weights): TF-IDF over hashed tokens, as a map from bucket to weight."""
+    """(entity, features): TF-IDF over hashed tokens, laid out as a sparse vector is stored."""
     hashing = HashingTF(inputCol="tokens", outputCol="hashed", numFeatures=buckets, binary=True)
     one_token = term_counts(docs, entity).withColumn("tokens", F.array("token"))
     bucket = F.array_position(vector_to_array("hashed"), F.lit(1.0)).cast("int") - 1
     counts = hashing.transform(one_token).groupBy(entity, bucket.alias("bucket")).agg(F.sum("tf").alias("tf"))
     # at most `buckets` entries per entity
-    weights = F.map_from_entries(F.collect_list(F.struct("bucket", "tfidf"))).alias("weights")
-    return _weighted(counts, entity, "bucket").groupBy(entity).agg(weights)
+    entries = F.array_sort(F.collect_list(F.struct("bucket", "tfidf"))).alias("entries")
+    features = F.struct(
+        F.lit(SPARSE).cast("tinyint").alias("type"),
+        F.lit(buckets).alias("size"),
+        F.col("entries.bucket").alias("indices"),
+        F.col("entries.tfidf").alias("values"),
+    )
+    return _weighted(counts, entity, "bucket").groupBy(entity).agg(entries).select(entity, features.alias("features"))
 
 
-def dense_vectors(weights: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
-    every_bucket = F.sequence(F.lit(0), F.lit(buckets - 1))
-    filled = F.transform(every_bucket, lambda b: F.coalesce(F.try_element_at("weights", b), F.lit(0.0)))
-    return weights.withColumn("features", array_to_vector(filled)).drop("weights")
+def stored_vectors(hashed: DataFrame, entity: str) -> DataFrame:
+    """Write hashed weights and read them back as vectors: sparse, and without a row-wise conversion."""
+    schema = T.StructType([hashed.schema[entity], T.StructField("features", VectorUDT())])
+    return write_table(hashed, "hashed-tfidf", schema)
 
 
 def fit_basis(vectors: DataFrame, dims: int = EMBEDDING_DIMS) -> PCAModel:
@@ -86,11 +96,9 @@ def project(vectors: DataFrame, basis: PCAModel, entity: str, prefix: str) -> Da
 def embed(docs: DataFrame, entity: str, prefix: str, basis: PCAModel | None = None) -> DataFrame:
     """Embedding columns `prefix_1..` per entity, for documents that hold any text.
 
-    The hashed weights are written once: fitting reads them twice and projecting
-    once more. Pass a fitted `basis` to place two entities in one space.
+    The vectors are written once: fitting reads them twice and projecting once more. Pass a fitted `basis` to place two entities in one space.
     """
-    weights = write_table(hashed_tfidf(docs, entity), "hashed-tfidf")
-    if weights.isEmpty():
+    vectors = stored_vectors(hashed_tfidf(docs, entity), entity)
+    if vectors.isEmpty():
         return empty_embeddings(docs, entity, prefix)
-    vectors = dense_vectors(weights)
     return project(vectors, basis or fit_basis(vectors), entity, prefix)

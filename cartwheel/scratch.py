@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _local_roots: dict[str, str] = {}
 
@@ -31,11 +32,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write `df` once and return a scan over the written table."""
+def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Write `df` once and return a scan over the written table, read as `schema` if given."""
     path = new_path(df.sparkSession, name)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)

@@ -55,7 +55,7 @@ def test_term_weights(docs):
 
 
 def test_hashed_weights_equal_those_of_whole_documents(docs, assembled):
-    ours = {r.user_id: r.weights for r in text.hashed_tfidf(docs, "user_id").collect()}
+    ours = {r.user_id: dict(zip(*r.features[2:], strict=True)) for r in text.hashed_tfidf(docs, "user_id").collect()}
     theirs = library(assembled, 2).select("user_id", vector_to_array("tfidf").alias("v")).collect()
     assert len(theirs) == len(ours) == 6
     for row in theirs:
@@ -65,7 +65,7 @@ def test_hashed_weights_equal_those_of_whole_documents(docs, assembled):
 
 def test_embeddings_equal_those_of_whole_documents(docs, assembled):
     # two components: the sign of a component is free, its values are not
-    weights = text.dense_vectors(text.hashed_tfidf(docs, "user_id"))
+    weights = text.stored_vectors(text.hashed_tfidf(docs, "user_id"), "user_id")
     ours = {r.user_id: (r.e_1, r.e_2) for r in text.project(weights, text.fit_basis(weights, 2), "user_id", "e").collect()}
     theirs = {r.user_id: r.p for r in library(assembled, 2).select("user_id", vector_to_array("p").alias("p")).collect()}
     for i in (0, 1):
@@ -82,7 +82,7 @@ def test_embedding_shape(docs):
 
 
 def test_shared_basis(docs):
-    basis = text.fit_basis(text.dense_vectors(text.hashed_tfidf(docs, "user_id")))
+    basis = text.fit_basis(text.stored_vectors(text.hashed_tfidf(docs, "user_id"), "user_id"))
     rows = text.embed(docs.limit(3), "user_id", "e", basis)
     assert rows.columns == ["user_id", *[f"e_{i}" for i in range(1, 11)]]
 
