@@ -43,7 +43,11 @@ def term_counts(docs: DataFrame, entity: str) -> DataFrame:
 
 
 def _weighted(counts: DataFrame, entity: str, term: str) -> DataFrame:
-    """Adds df and tf * ln((m + 1) / (df + 1)) to counts that hold each (entity, term) once."""
+    """Adds df and tf * ln((m + 1) / (df + 1)) to counts that hold each (entity, term) once.
+
+    The counts are read three times and far smaller than the documents, so they are written first.
+    """
+    counts = write_table(counts, "term-counts")
     documents = counts.agg(F.count_distinct(entity)).scalar()
     frequency = counts.groupBy(term).agg(F.count("*").alias("df"))
     idf = F.log((documents + 1) / (F.col("df") + 1))
