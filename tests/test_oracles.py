@@ -4,7 +4,9 @@ import pytest
 from compare import differences, duck
 from conftest import SF
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cartwheel.plans.oracle import ORACLES
+from cartwheel.plans.queries import QUERIES
 
 ROWS_ONLY = {"u13_user_embedding", "i9_item_embedding", "x6_ui_similarity_fitted"}
 
@@ -15,16 +17,16 @@ def con():
 
 
 def test_only_fitted_embeddings_lack_a_twin():
-    assert queries().keys() - oracle_sql().keys() == ROWS_ONLY
-    assert not oracle_sql().keys() - queries().keys()
+    assert QUERIES.keys() - ORACLES.keys() == ROWS_ONLY
+    assert not ORACLES.keys() - QUERIES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_twin(spark, con, name):
-    ours = queries()[name](spark, SF).toArrow()
+    ours = QUERIES[name](spark, SF).toArrow()
     assert ours.num_rows > 0
     if name not in ROWS_ONLY:
-        assert differences(ours, con.sql(oracle_sql()[name]).to_arrow_table()) is None
+        assert differences(ours, con.sql(ORACLES[name]).to_arrow_table()) is None
 
 
 def test_entry_returns_features(spark):
