@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe
+from cartwheel.llm import bpe, lines, mixing, secrets
 from cartwheel.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,53 @@ def rank_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
+    mixed = mixing.mix(docs, "doc_id", "text", mixing_attributes())
+    return mixed.select(
+        "doc_id",
+        *[F.col(f"_by_{n}").alias(n) for n in mixing_attributes()],
+        F.round("_keep_probability", 8).alias("keep_probability"),
+        F.col("_kept").alias("kept"),
+    )
+
+
+def mixing_attributes() -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
+
+
+ORACLES["op5_mixing"] = mixing.oracle({"source": "source", "lang": "lang", "topic": mixing.topic_sql()}, mixing.words_sql())
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    # each document stands for a repository, each source for an owner
+    found = secrets.find_secrets(docs, "doc_id", "text", repository="doc_id", owner="source")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+
+    def number(kind: str) -> Column:
+        return F.coalesce(F.size(F.filter("spans", lambda s: s["kind"] == kind)), F.lit(0)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.digest(base), 256).alias("base_sha256"),
+        secrets.digest(F.col("spans")).alias("spans"),
+        F.coalesce(F.size(F.filter("spans", lambda s: s["verdict"] == "owner_specific")), F.lit(0)).cast("long").alias("n_owner_specific"),
+        F.coalesce(F.size(F.filter("spans", lambda s: s["verdict"] == "copied")), F.lit(0)).cast("long").alias("n_copied"),
+    )
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_windows(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", "text")
+
+
+ORACLES["op8_line_dedup"] = lines.ORACLE
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = rank_file()
