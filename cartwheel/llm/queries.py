@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, lines, mixing, secrets
-from cartwheel.llm.common import documents
+from cartwheel.llm import bpe, cells, lines, mixing, scan, secrets
+from cartwheel.llm.common import documents, embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,12 @@ def rank_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query
+def op4_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embeddings(spark, sf_dir)
+    return scan.search(rows, "vec_id", "embedding", rows.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
@@ -83,3 +89,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells.near_copies(embeddings(spark, sf_dir), "vec_id", "embedding", "label", least_cosine=0.98)
