@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, cells, lines, mixing, scan, secrets
-from cartwheel.llm.common import documents, embeddings
+from cartwheel.llm import bpe, cells, language, lines, mixing, scan, secrets, toxicity
+from cartwheel.llm.common import documents, embeddings, hold_out, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,25 @@ def rank_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", hold_out(F.col("doc_id"), 5, 0).alias("held_out"))
+    model = language.fit(docs.filter("NOT held_out AND lang IS NOT NULL"), "doc_id", "text", "lang")
+    return language.identify(docs.select("doc_id", "held_out", "text"), "text", model)
+
+
+def toxicity_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learned from the labelled rows that are not held out."""
+    return toxicity.fit(docs, "doc_id", "text", labels(spark, sf_dir), "doc_id", "toxic", ~hold_out(F.col("doc_id"), 5, 0))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", hold_out(F.col("doc_id"), 5, 0).alias("held_out"))
+    scored = toxicity.score_texts(docs, "text", toxicity_model(docs, spark, sf_dir))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op4_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = embeddings(spark, sf_dir)
