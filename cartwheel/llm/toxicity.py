@@ -31,7 +31,9 @@ REMEMBERED = 200_000
 
 _AROUND = re.compile(r"^[\W_]+|[\W_]+$")
 _QUOTES = frozenset("\"“”„‟«»‹›‘’‚`")
-FEATURES = ("words", "stems", "weak", "misspelled", "quoted", "any", "log_share")
+FEATURES = ("words", "stems", "weak", "quoted", "any", "log_share")
+# what a misspelled word counts beside a word as it is learned
+MISSPELLED = 0.7
 
 
 class Automaton:
@@ -76,6 +78,7 @@ class Lexicon:
     words: list[str]
     stems: list[str]
     weak: list[str] = field(default_factory=list)  # those of them that clean texts hold too
+    innocent: list[str] = field(default_factory=list)  # words of clean texts that are an edit away from a term
     trie: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -84,7 +87,7 @@ class Lexicon:
             for letter in word:
                 node = node.setdefault(letter, {})
             node[""] = word
-        self.exact, self.unsure = frozenset(self.words), frozenset(self.weak)
+        self.exact, self.unsure, self.spared = frozenset(self.words), frozenset(self.weak), frozenset(self.innocent)
         self.stem_set, self.stem_lengths = frozenset(self.stems), sorted({len(s) for s in self.stems})
         # one edit leaves the first or the second half of a word as it is
         long = [w for w in self.words if len(w) >= FUZZY_LENGTH and w not in self.unsure]
@@ -93,13 +96,15 @@ class Lexicon:
         self.lengths = frozenset(n + d for n in map(len, long) for d in (-1, 0, 1))
 
     def find(self, raw: str) -> int:
-        """-1 for no term, else the place in FEATURES: a word, a stem, a weak one, a misspelled word. `raw` is lower case."""
+        """-1 for no term, else 0 a word, 1 a stem, 2 a weak one, 3 a misspelled word. `raw` is lower case."""
         token = _AROUND.sub("", raw)
         if token in self.exact:
             return 2 if token in self.unsure else 0
         for n in self.stem_lengths:
             if token[:n] in self.stem_set and len(token) >= n:
                 return 2 if token[:n] in self.unsure else 1
+        if token in self.spared:
+            return -1
         # marks inside or around a word may stand for letters
         for form in (token, raw) if raw != token else (token,):
             if len(form) in self.lengths and self._misspelled(form):
@@ -165,8 +170,15 @@ def features(text: str | None, seen: _Seen) -> list[float]:
     for at, kind in enumerate(map(seen.__getitem__, tokens)):
         if kind >= 0:
             counts[4 if quoted(tokens, at) else kind] += 1
-    used = sum(counts[:4])
-    return [*(math.log1p(c) for c in counts), float(counts[0] + counts[1] > 0), math.log1p(1000 * used / max(len(tokens), 1))]
+    words, stems, weak, misspelled, mentioned = counts
+    return [
+        math.log1p(words + MISSPELLED * misspelled),
+        math.log1p(stems),
+        math.log1p(weak),
+        math.log1p(mentioned),
+        float(words + stems + misspelled > 0),
+        math.log1p(1000 * (words + stems + weak + misspelled) / max(len(tokens), 1)),
+    ]
 
 
 @dataclass
@@ -238,7 +250,7 @@ def _lexicon(sample: DataFrame) -> Lexicon:
         return Lexicon([], [])
     base = n[1] / (n[0] + n[1])
     counts = sample.select("text", "toxic").mapInArrow(_counted, "term string, clean long, toxic long")
-    total = counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    total = write_table(counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-terms")
     share = (F.col("toxic") / (F.col("toxic") + F.col("clean"))).alias("share")
     gain = F.col("toxic") * F.log(F.col("share") / base) + F.when(
         F.col("clean") > 0, F.col("clean") * F.log((1 - F.col("share")) / (1 - base))
@@ -263,7 +275,16 @@ def _lexicon(sample: DataFrame) -> Lexicon:
         (words if term.endswith("$") else stems).append(whole)
         if row["share"] < SURE:
             weak.append(whole)
-    return Lexicon(words, stems, weak)
+    lexicon = Lexicon(words, stems, weak)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([lexicon.find(t.as_py()[:-1]) == 3 for t in batch.column("term")], pa.bool_()))
+
+    # a word that is an edit away from a term, and no likelier toxic than others, is a word of its own
+    own = total.filter(F.col("term").endswith("$") & (F.col("toxic") < PRECISION * (F.col("toxic") + F.col("clean"))))
+    near_words = own.select("term", "clean").mapInArrow(near, "term string, clean long").orderBy(F.desc("clean"), "term").limit(LEXICON_ENTRIES)
+    return Lexicon(words, stems, weak, [r["term"][:-1] for r in near_words.collect()])
 
 
 def _measured(lexicon: Lexicon):
