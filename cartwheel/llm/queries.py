@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, cells, language, lines, mixing, scan, secrets, toxicity
+from cartwheel.llm import bpe, cells, context_mixing, language, lines, mixing, scan, secrets, toxicity
 from cartwheel.llm.common import documents, embeddings, hold_out, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def rank_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return context_mixing.score_texts(docs, "doc_id", "text", held_out=hold_out(F.col("doc_id"), 7, 2))
+
+
 @query
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", hold_out(F.col("doc_id"), 5, 0).alias("held_out"))
