@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, cells, context_mixing, language, lines, mixing, scan, secrets, toxicity
+from cartwheel.llm import bpe, cells, context_mixing, language, lines, mixing, scan, secrets, shingles, toxicity
 from cartwheel.llm.common import documents, embeddings, hold_out, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.similar_documents(documents(spark, sf_dir), "doc_id", "text", words=3, percent=90)
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_windows(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", "text")
