@@ -12,6 +12,8 @@ from cartwheel.scratch import write_table
 SWEEPS = 8
 # the share of a value grows as its tokens to this power: 1 keeps the corpus, 0 makes all values equal
 TEMPERATURE = 0.5
+# the share of all tokens that the sample shall hold, and steps to find the rate that gives it
+BUDGET, RATE_STEPS = 0.5, 8
 
 # the form a text has stands for its topic, told by marks it contains; the first that fits counts
 TOPICS = (
@@ -73,16 +75,17 @@ def mix(
     by: dict[str, Column],
     power: float = TEMPERATURE,
     sweeps: int = SWEEPS,
+    budget: float = BUDGET,
     seed: int = 17,
     targets: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """`df` with `_cell_weight` (calibrated tokens per token), `_keep_probability` and `_kept`.
+    """`df` with `_cell_weight` (tokens in the target mix per token held), `_keep_probability` and `_kept`.
 
     `by` names the attributes whose marginals are raked: token counts per cell
     meet the targets (given, or `tempered` by default) of all attributes at once.
-    A document is kept with a probability in proportion to its cell's weight; the
-    cell with the largest weight keeps all of its documents, so that no document
-    would have to repeat. NULL attributes are a value of their own, `unknown`. A
+    A document is kept with a probability in proportion to its cell's weight, 1 at
+    most, at the rate that gives `budget` of all tokens in expectation. A cell that
+    would need more than it holds keeps all of its documents; none repeats. NULL attributes are a value of their own, `unknown`. A
     text without words weighs nothing and is kept with the probability of its
     cell. Rows with the same id are kept or left together.
     """
@@ -93,9 +96,14 @@ def mix(
     )
     targets = targets or {a: write_table(tempered(cells, a, "_tokens", power), "mixing-targets") for a in names}
     raked = rake(cells, names, "_tokens", targets, sweeps)
-    factors = raked.withColumn("_factor", F.when(F.col("_tokens") > 0, F.col("weight") / F.col("_tokens")))
-    most = raked.filter(F.col("_tokens") > 0).agg(F.max(F.col("weight") / F.col("_tokens"))).scalar()
-    factors = write_table(factors.select(*names, "_factor", (F.col("_factor") / most).alias("_p")), "mixing-factors")
+    total = raked.agg(F.sum("_tokens")).first()[0] or 0
+    # tokens in the target mix per token held
+    factors = raked.withColumn("_factor", F.when(F.col("_tokens") > 0, F.col("weight") * float(total) / F.col("_tokens")))
+    rate = budget
+    for _ in range(RATE_STEPS):
+        held = factors.agg(F.sum(F.col("_tokens") * F.least(F.lit(1.0), F.col("_factor") * rate))).first()[0]
+        rate = rate * budget * total / held if held else rate
+    factors = write_table(factors.select(*names, "_factor", F.least(F.lit(1.0), F.col("_factor") * rate).alias("_p")), "mixing-factors")
     return (
         labelled.join(factors, names, "left")
         .withColumn("_cell_weight", F.coalesce("_factor", F.lit(0.0)))
@@ -105,7 +113,7 @@ def mix(
     )
 
 
-def oracle(by: dict[str, str], tokens: str, power: float = TEMPERATURE, sweeps: int = SWEEPS, seed: int = 17) -> str:
+def oracle(by: dict[str, str], tokens: str, power: float = TEMPERATURE, sweeps: int = SWEEPS, budget: float = BUDGET, seed: int = 17) -> str:
     """The same in SQL: one common table per sweep and attribute. `by` and `tokens` are SQL over `documents`."""
     names = list(by)
     keys = ", ".join(names)
@@ -126,8 +134,15 @@ def oracle(by: dict[str, str], tokens: str, power: float = TEMPERATURE, sweeps:
                 f"LEFT JOIN (SELECT {n}, sum(w) AS total FROM w{k} GROUP BY {n}) s USING ({n}) LEFT JOIN target_{n} t USING ({n}))"
             )
             k += 1
-    steps.append(f"factor AS (SELECT {keys}, w / nullif(tokens, 0) AS f FROM w{k})")
-    steps.append(f"p AS (SELECT {keys}, coalesce(f / (SELECT max(f) FROM factor), 1.0) AS p, coalesce(f, 0.0) AS f FROM factor)")
+    steps.append("total AS MATERIALIZED (SELECT sum(tokens) AS t FROM w0)")
+    steps.append(f"factor AS MATERIALIZED (SELECT {keys}, tokens, w * (SELECT t FROM total) / nullif(tokens, 0) AS f FROM w{k})")
+    steps.append(f"rate0 AS (SELECT CAST({budget} AS DOUBLE) AS rate)")
+    for step in range(RATE_STEPS):
+        rate = f"(SELECT rate FROM rate{step})"
+        steps.append(
+            f"rate{step + 1} AS MATERIALIZED (SELECT {rate} * {budget} * (SELECT t FROM total) / sum(tokens * least(1.0, f * {rate})) AS rate FROM factor)"
+        )
+    steps.append(f"p AS (SELECT {keys}, coalesce(least(1.0, f * (SELECT rate FROM rate{RATE_STEPS})), 1.0) AS p FROM factor)")
     draw = f"CAST('0x' || substr(md5('{seed}:' || CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) / {float(16**12)!r}"
     return (
         f"WITH {', '.join(steps)} SELECT doc_id, {keys}, round(p, 8) AS keep_probability, {draw} < p AS kept "

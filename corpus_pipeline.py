@@ -3,10 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartwheel.llm import bpe, lines, mixing, shingles, toxicity
+from cartwheel.llm.queries import mixing_attributes, rank_file, toxicity_model
 from cartwheel.scratch import new_path
 
-STAGES: list = []
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; what is toxic is learned from the labelled ones among them that are not held out."""
+    scored = toxicity.score_texts(docs, "text", toxicity_model(docs, spark, sf_dir), score="_toxicity")
+    return scored.filter("_toxicity < 0.5").select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, less the later occurrences of three lines in a row; `n_chars` is that of the text that is left.
+
+    A document that loses its whole text is gone: an earlier one holds all of its lines.
+    """
+    cut = lines.drop_repeated_windows(docs, "doc_id", "text", removed="_lines_removed")
+    emptied = (F.col("_lines_removed") > 0) & ~F.col("text").rlike(r"\S")
+    n_chars = F.when(F.col("_lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return cut.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by five-word shingles of similarity 0.8 or more, the one with the smallest id.
+
+    Rows without an id are kept; of repeated rows with one id and equal shingles one is.
+    """
+    groups = shingles.similar_documents(docs, "doc_id", "text", words=5, percent=80)
+    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    first = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
+    return first.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+
+
+def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens meet tempered shares of source, language and topic at once."""
+    return mixing.mix(docs, "doc_id", "text", mixing_attributes()).filter("_kept").select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, the packed ids, their number, and whether they decode to the text."""
+    path, pattern = rank_file()
+    rows = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha"))
+    decoded = bpe.decode_ids(bpe.encode_texts(rows, "text", path, pattern), path, pattern, decoded="_decoded")
+    return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", (F.sha2("_decoded", 256) == F.col("_sha")).alias("round_trip"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
+    ("ngram_join", one_of_each_group),
+    ("mixing", mixed_to_targets),
+    ("bpe", token_ids),
+]
 
 # SQL can express neither the toxicity scores nor the token ids: the tests hold the rows against a plain version
 ORACLE_SQL: str | None = None
