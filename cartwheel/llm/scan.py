@@ -19,6 +19,8 @@ COLUMNS = 16
 EPSILON = 2.1
 # rows of the sample that search it, to see how many lists must be probed, and the share of neighbours to be reached
 TRIAL_QUERIES, REACHED = 500, 0.97
+# candidates that a list shall hold on average, as long as the sample can tell so many lists apart
+LIST_ROWS = 2048
 # candidates and queries that meet in one task
 CANDIDATES, QUERIES = 4096, 512
 
@@ -135,7 +137,7 @@ def search(
     each on their own. Fewer than k candidates give all of them.
 
     Centroids are fitted on a bounded sample; every row is put into a list. By
-    default there are about sqrt(n) lists, and as many are probed as the sample's own
+    default there is a list for every LIST_ROWS rows, and as many are probed as the sample's own
     neighbours call for. A large list is cut into blocks of candidates, and the queries that
     probe it into blocks too, so one task never holds more than a block of each.
     """
@@ -145,7 +147,7 @@ def search(
     if not len(picked):
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n = rows.count()
-    lists = lists or max(1, min(MOST_CENTROIDS, len(picked) // 8, round(math.sqrt(n))))
+    lists = lists or max(1, min(MOST_CENTROIDS, len(picked) // 8, math.ceil(n / LIST_ROWS)))
     centroids = k_means(picked, lists, spherical=False)
     probes = min(len(centroids), probes or probes_for(picked, centroids, k, REACHED))
     stored = write_table(_in_lists(rows, centroids, 0), "list-rows")
