@@ -136,7 +136,7 @@ def identify(df: DataFrame, text: str, model: Classifier | None, predicted: str
     """
     df = df.drop(*({predicted, score} - {text}))
     kept = [c for c in df.columns if c != text]
-    rows = df.select(*kept, F.col(text).alias(text), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    rows = df.select(*kept, F.col(text).alias(text), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
     if model is None:
         return rows.select(*kept, F.lit("und").alias(predicted), F.lit(0.0).alias(score))
     schema = rows.select(*kept, F.lit("").alias(predicted), F.lit(0.0).alias(score)).schema
@@ -147,7 +147,7 @@ def identify(df: DataFrame, text: str, model: Classifier | None, predicted: str
             for start in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(start, TEXTS)
                 rows = np.zeros((part.num_rows, BITS), np.uint8)
-                letters = np.array(part.column("_letters").to_pylist(), bool)
+                letters = np.array(part.column("__letters").to_pylist(), bool)
                 for k, value in enumerate(part.column(text)):
                     if letters[k]:
                         presence(value.as_py(), rows[k])

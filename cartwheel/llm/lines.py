@@ -11,7 +11,7 @@ WINDOW = 3
 
 # positions of the lines that hold something visible, each with two hashes of the line
 _FULL_LINES = (
-    "filter(transform(_lines, (l, i) -> struct(i AS at, xxhash64(l) AS a, xxhash64(l, 7) AS b, "
+    "filter(transform(__line_lines, (l, i) -> struct(i AS at, xxhash64(l) AS a, xxhash64(l, 7) AS b, "
     "l RLIKE '[^ \\\\t-\\\\r]' AS full)), x -> x.full)"
 )
 _WINDOWS = (
@@ -20,47 +20,47 @@ _WINDOWS = (
     "array(_l[i].at, _l[i+1].at, _l[i+2].at) AS covers)))"
 )
 # runs of neighbouring positions in the sorted list of covered ones
-_STARTS = "filter(_gone, (x, i) -> i = 0 OR _gone[i - 1] < x - 1)"
-_ENDS = "filter(_gone, (x, i) -> i = size(_gone) - 1 OR _gone[i + 1] > x + 1)"
+_STARTS = "filter(__line_gone, (x, i) -> i = 0 OR __line_gone[i - 1] < x - 1)"
+_ENDS = "filter(__line_gone, (x, i) -> i = size(__line_gone) - 1 OR __line_gone[i + 1] > x + 1)"
 # what lies before the first run, between two runs, and after the last
 _KEPT = (
-    "flatten(transform(sequence(0, size(_spans)), k -> slice(_lines, "
-    "IF(k = 0, 0, _spans[k - 1].last + 1) + 1, "
-    "IF(k < size(_spans), _spans[k].first, size(_lines)) - IF(k = 0, 0, _spans[k - 1].last + 1))))"
+    "flatten(transform(sequence(0, size(__line_spans)), k -> slice(__line_lines, "
+    "IF(k = 0, 0, __line_spans[k - 1].last + 1) + 1, "
+    "IF(k < size(__line_spans), __line_spans[k].first, size(__line_lines)) - IF(k = 0, 0, __line_spans[k - 1].last + 1))))"
 )
 
 
 def repeated_windows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(_id, _key, _spans): the runs of lines, from `first` to `last` (from 0), that go from each text that loses any."""
+    """(__line_id, __line_key, __line_spans): the runs of lines, from `first` to `last` (from 0), that go from each text that loses any."""
     lines = df.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("_id"),
-        F.xxhash64(text).alias("_key"),
-        F.split(F.col(text), "\n", -1).alias("_lines"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("__line_id"),
+        F.xxhash64(text).alias("__line_key"),
+        F.split(F.col(text), "\n", -1).alias("__line_lines"),
     )
     windows = (
-        lines.select("_id", "_key", F.expr(_FULL_LINES).alias("_l"))
+        lines.select("__line_id", "__line_key", F.expr(_FULL_LINES).alias("_l"))
         .filter(F.size("_l") >= WINDOW)
-        .select("_id", "_key", F.expr(_WINDOWS).alias("_at", "_w"))
-        .select("_id", "_key", "_at", F.col("_w.h").alias("_h"), F.col("_w.g").alias("_g"), F.col("_w.covers").alias("_covers"))
+        .select("__line_id", "__line_key", F.expr(_WINDOWS).alias("_at", "_w"))
+        .select("__line_id", "__line_key", "_at", F.col("_w.h").alias("_h"), F.col("_w.g").alias("_g"), F.col("_w.covers").alias("_covers"))
     )
     # read twice: for the first occurrences and for the others
     windows = write_table(windows, "line-windows")
     firsts = (
         windows.groupBy("_h", "_g")
-        .agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "_at")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("__line_id", "__line_key", "_at")).alias("first"))
         .filter(F.col("n") > 1)
         .select("_h", "_g", "first")
     )
     firsts = write_table(firsts, "line-firsts")
     return (
         windows.join(firsts, ["_h", "_g"])
-        .filter(F.struct("_id", "_key", "_at") != F.col("first"))
-        .groupBy("_id", "_key")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_covers")))).alias("_gone"))
+        .filter(F.struct("__line_id", "__line_key", "_at") != F.col("first"))
+        .groupBy("__line_id", "__line_key")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_covers")))).alias("__line_gone"))
         .select(
-            "_id",
-            "_key",
-            F.expr(f"zip_with({_STARTS}, {_ENDS}, (a, b) -> struct(a AS first, b AS last))").alias("_spans"),
+            "__line_id",
+            "__line_key",
+            F.expr(f"zip_with({_STARTS}, {_ENDS}, (a, b) -> struct(a AS first, b AS last))").alias("__line_spans"),
         )
     )
 
@@ -82,18 +82,18 @@ def drop_repeated_windows(df: DataFrame, doc_id: str, text: str, removed: str =
     hold is one row per task in the search for first occurrences, and the other
     side of a join that may be split.
     """
-    df = df.drop(removed)
+    df = df.drop(removed, "__line_id", "__line_key", "__line_spans", "__line_lines")
     spans = repeated_windows(df, doc_id, text)
     keyed = df.withColumns(
-        {"_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))), "_key": F.xxhash64(text)}
+        {"__line_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))), "__line_key": F.xxhash64(text)}
     )
     lines = F.split(F.col(text), "\n", -1)
     return (
-        keyed.join(spans, ["_id", "_key"], "left")
-        .withColumn("_lines", F.when(F.col("_spans").isNotNull(), lines))
-        .withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.array_join(F.expr(_KEPT), "\n")))
-        .withColumn(removed, F.coalesce(F.expr("aggregate(_spans, 0, (n, s) -> n + s.last - s.first + 1)"), F.lit(0)))
-        .drop("_id", "_key", "_spans", "_lines")
+        keyed.join(spans, ["__line_id", "__line_key"], "left")
+        .withColumn("__line_lines", F.when(F.col("__line_spans").isNotNull(), lines))
+        .withColumn(text, F.when(F.col("__line_spans").isNull(), F.col(text)).otherwise(F.array_join(F.expr(_KEPT), "\n")))
+        .withColumn(removed, F.coalesce(F.expr("aggregate(__line_spans, 0, (n, s) -> n + s.last - s.first + 1)"), F.lit(0)))
+        .drop("__line_id", "__line_key", "__line_spans", "__line_lines")
     )
 
 

@@ -65,7 +65,7 @@ def rake(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, Da
 
 def uniform(key: Column, seed: int) -> Column:
     """A number in [0, 1) that follows from the key alone, so that a lost task draws the same again."""
-    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), 1, 12), 16, 10).cast("double") / float(16**12)
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") / float(16**12)
 
 
 def mix(
@@ -87,9 +87,11 @@ def mix(
     most, at the rate that gives `budget` of all tokens in expectation. A cell that
     would need more than it holds keeps all of its documents; none repeats. NULL attributes are a value of their own, `unknown`. A
     text without words weighs nothing and is kept with the probability of its
-    cell. Rows with the same id are kept or left together.
+    cell. Rows with the same id are kept or left together; a NULL id is drawn as empty
+    text. Columns named like the outputs are replaced.
     """
     names = [f"_by_{n}" for n in by]
+    df = df.drop("_cell_weight", "_keep_probability", "_kept", "__mix_p", "__mix_factor")
     labelled = df.withColumns({a: F.coalesce(c.cast("string"), F.lit("unknown")) for a, c in zip(names, by.values(), strict=True)})
     cells = write_table(
         labelled.groupBy(*names).agg(F.sum(words_in(F.col(text))).alias("_tokens")), "mixing-cells"
@@ -98,18 +100,18 @@ def mix(
     raked = rake(cells, names, "_tokens", targets, sweeps)
     total = raked.agg(F.sum("_tokens")).first()[0] or 0
     # tokens in the target mix per token held
-    factors = raked.withColumn("_factor", F.when(F.col("_tokens") > 0, F.col("weight") * float(total) / F.col("_tokens")))
+    factors = raked.withColumn("__mix_factor", F.when(F.col("_tokens") > 0, F.col("weight") * float(total) / F.col("_tokens")))
     rate = budget
     for _ in range(RATE_STEPS):
-        held = factors.agg(F.sum(F.col("_tokens") * F.least(F.lit(1.0), F.col("_factor") * rate))).first()[0]
+        held = factors.agg(F.sum(F.col("_tokens") * F.least(F.lit(1.0), F.col("__mix_factor") * rate))).first()[0]
         rate = rate * budget * total / held if held else rate
-    factors = write_table(factors.select(*names, "_factor", F.least(F.lit(1.0), F.col("_factor") * rate).alias("_p")), "mixing-factors")
+    factors = write_table(factors.select(*names, "__mix_factor", F.least(F.lit(1.0), F.col("__mix_factor") * rate).alias("__mix_p")), "mixing-factors")
     return (
         labelled.join(factors, names, "left")
-        .withColumn("_cell_weight", F.coalesce("_factor", F.lit(0.0)))
-        .withColumn("_keep_probability", F.coalesce("_p", F.lit(1.0)))
+        .withColumn("_cell_weight", F.coalesce("__mix_factor", F.lit(0.0)))
+        .withColumn("_keep_probability", F.coalesce("__mix_p", F.lit(1.0)))
         .withColumn("_kept", uniform(F.col(doc_id), seed) < F.col("_keep_probability"))
-        .drop("_factor", "_p")
+        .drop("__mix_factor", "__mix_p")
     )
 
 
