@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import components
@@ -29,6 +29,8 @@ from cartwheel.scratch import write_table
 
 # a shingle in more prefixes than this comes last in the order of all shingles
 HOT = 40
+# bits that tell which texts have to be read again
+BITMAP = 1 << 22
 REMEMBERED = 300_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -79,35 +81,65 @@ def _summaries(words: int, percent: int):
                 members = shingle_set(value.as_py(), words, known)
                 sizes.append(len(members))
                 classes.append(_class_of(members))
-                prefixes.append(members[: _prefix_length(len(members), percent)] if len(members) else members)
+                # twice the prefix: what comes in for shingles that move to the end of the order
+                prefixes.append(members[: 2 * _prefix_length(len(members), percent)] if len(members) else members)
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "front"])
 
     return summarise
 
 
-def _sets(words: int):
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """BITMAP bits that tell which ids may be among the given ones; of this size whatever their number."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(BITMAP))
+    words = ids.select(F.floor(slot / 32).alias("word"), F.expr("shiftleft(1L, int(pmod(pmod(xxhash64(id), %d), 32)))" % BITMAP).alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(BITMAP // 32, np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(cls, members) of the documents with the given ids, and of a few others; texts are not shuffled for it."""
+    wanted = _bitmap(ids)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for batch in batches:
-            sets, classes = [], []
-            for value, cls in zip(batch.column("text"), batch.column("cls").to_pylist(), strict=True):
-                members = shingle_set(value.as_py(), words, known)
-                # an id may stand for several texts: the class tells the right one
-                if _class_of(members) == cls:
-                    sets.append(members)
-                    classes.append(cls)
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "members"])
+            slots = batch.column("slot").to_numpy(zero_copy_only=False)
+            sets = [
+                shingle_set(batch.column("text")[k].as_py(), words, known)
+                for k in np.flatnonzero(wanted[slots >> 5] >> (slots & 31) & 1).tolist()
+            ]
+            columns = [pa.array([_class_of(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["cls", "members"])
 
-    return build
+    rows = docs.filter("doc_id IS NOT NULL").select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).alias("slot"), "text")
+    return rows.mapInArrow(build, "cls long, members array<long>")
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _promising(met: DataFrame, percent: int) -> DataFrame:
+    """(a_unit, b_unit, common) of the pairs whose prefixes allow the similarity; `met` has a row per shared member.
+
+    Up to the last shared member both prefixes are known in full: what one holds
+    and the other does not adds up to the places before it less the shared ones.
+    What follows is shared by neither, as far as the prefix that ends first goes.
+    Sets differ in at most (100 - p) / (100 + p) of the sum of their sizes.
+    """
+    sizes = F.col("a_n") + F.col("b_n")
+    pairs = (
+        met.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
+        .groupBy("a_unit", "b_unit", "a_n", "b_n", "a_length", "b_length")
+        .agg(F.count("*").alias("common"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"))
+    )
+    apart = F.col("a_pos") + F.col("b_pos") + 2 - 2 * F.col("common") + F.least(F.col("a_length") - F.col("a_pos") - 1, F.col("b_length") - F.col("b_pos") - 1)
+    return pairs.filter(apart * (100 + percent) <= sizes * (100 - percent)).select("a_unit", "b_unit", "common")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (u, v) whose sets are similar enough."""
+    asked = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
+    sets = write_table(_sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words), "shingle-sets")
     both = (
         pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
         .join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
@@ -126,80 +158,91 @@ def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent
     component. An empty table gives no rows.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = write_table(docs.mapInArrow(_summaries(words, percent), "doc_id long, n long, cls long, prefix array<long>"), "shingle-rows")
-    taking_part = rows.filter("n > 0 AND doc_id IS NOT NULL")
+    rows = write_table(docs.mapInArrow(_summaries(words, percent), "doc_id long, n long, cls long, front array<long>"), "shingle-rows")
+    length = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
     # equal sets are one class: the large part of a group of copies ends here
     classes = write_table(
-        taking_part.groupBy("cls").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "shingle-classes"
+        rows.filter("n > 0 AND doc_id IS NOT NULL")
+        .groupBy("cls")
+        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("front").alias("front"))
+        .withColumn("length", length),
+        "shingle-classes",
     )
     # equal prefixes and sizes are one group, led by its smallest class
-    key = [F.xxhash64("n", "prefix").alias("h"), F.xxhash64(F.lit(1), "prefix", "n").alias("g")]
-    keyed = classes.select("cls", *key)
-    groups = write_table(keyed.groupBy("h", "g").agg(F.min("cls").alias("head"), F.count("*").alias("size")), "shingle-groups")
-    members = write_table(keyed.join(groups, ["h", "g"]).select("cls", "head", "size"), "shingle-members")
-    heads = classes.join(groups.select(F.col("head").alias("cls")), "cls").select(F.col("cls").alias("unit"), "n", F.explode("prefix").alias("token"))
-    postings = write_table(heads, "shingle-postings")
-    counts = write_table(postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "shingle-counts")
-    shared = postings.join(counts, "token")
-    busy = write_table(
-        shared.groupBy("unit").agg(F.max("df").alias("most"))
-        .unionByName(groups.filter("size > 1").select(F.col("head").alias("unit"), F.lit(0).cast("long").alias("most")))
-        .groupBy("unit").agg(F.max("most").alias("most")),
-        "shingle-busy",
+    prefix = F.slice("front", F.lit(1), F.col("length"))
+    keyed = classes.select("cls", F.xxhash64("n", prefix).alias("h"), F.xxhash64(F.lit(1), prefix, "n").alias("g"))
+    groups = write_table(keyed.groupBy("h", "g").agg(F.min("cls").alias("head"), F.count("*").alias("size")).filter("size > 1"), "shingle-groups")
+    followers = write_table(keyed.join(groups, ["h", "g"]).filter("cls <> head").select("cls", "head"), "shingle-followers")
+
+    # ---- the order of shingles: those that many groups hold come last ----
+    leading = F.col("head").isNull()
+    postings = (
+        classes.join(followers, "cls", "left")
+        .select(F.col("cls").alias("unit"), "head", "n", "length", F.size("front").alias("seen"), F.posexplode("front").alias("at", "token"))
+    )
+    postings = write_table(postings, "shingle-postings")
+    counts = write_table(postings.groupBy("token").agg(F.count_if(leading).alias("df"), F.count("*").alias("all")).filter("all > 1"), "shingle-counts")
+    shared = postings.join(counts.select("token", (F.col("df") > HOT).cast("int").alias("late")), "token")
+    so_far = Window.partitionBy("unit").orderBy("at")
+    whole_unit = Window.partitionBy("unit")
+    placed = write_table(
+        shared.select(
+            "unit", "head", "n", "length", "seen", "at", "token", "late",
+            F.sum("late").over(so_far).alias("before"),
+            F.sum("late").over(whole_unit).alias("late_seen"),
+            F.max((F.col("late") == 1) & (F.col("at") < F.col("length"))).over(whole_unit).alias("moved"),
+        ),
+        "shingle-placed",
+    )
+    # a group whose prefix changes is no longer one: each of its classes gets a prefix of its own
+    moved = write_table(placed.filter(F.col("moved") & leading).select(F.col("unit").alias("head")).distinct(), "shingle-moved")
+    loose = followers.join(moved, "head", "left_semi").select(F.col("cls").alias("unit"))
+    bound = write_table(followers.join(moved, "head", "left_anti"), "shingle-bound")
+    own = placed.filter(leading).unionByName(placed.filter(~leading).join(loose, "unit", "left_semi"))
+    # those without enough other shingles among the ones seen so far need all of their shingles
+    is_short = (F.col("seen") - F.col("late_seen") < F.col("length"))
+    short = write_table(own.filter(is_short).select(F.col("unit").alias("cls"), "length").distinct(), "shingle-short")
+    short_sets = write_table(
+        _sets_of(docs, classes.join(short.select("cls"), "cls").select(F.col("low").alias("id")), words).join(short, "cls"), "shingle-short-sets"
     )
-    active = members.join(busy.withColumnRenamed("unit", "head"), "head").select("cls", "head", "most")
-    wanted = active.join(classes.select("cls", "low"), "cls").select(F.col("low").alias("doc_id"), "cls")
-    sets = write_table(docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(_sets(words), "cls long, members array<long>"), "shingle-sets")
-
-    # ---- the order of shingles: those that many hold come last ----
-    pressed = active.filter(F.col("most") > HOT).select("cls")
-    again = sets.join(pressed, "cls").select(F.explode("members").alias("token")).groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > HOT)
-    hot = write_table(again.select("token").unionByName(counts.filter(F.col("df") > HOT).select("token")).distinct(), "shingle-hot")
-    # every group with such a shingle in its prefix gets a new prefix for each of its classes
-    moved = write_table(postings.join(hot, "token").select("unit").distinct(), "shingle-moved")
-    moved_classes = active.join(moved.withColumnRenamed("unit", "head"), "head").select("cls")
-    entries = sets.join(moved_classes, "cls").select("cls", F.size("members").cast("long").alias("n"), F.explode("members").alias("token"))
     ordered = (
-        entries.join(hot.withColumn("late", F.lit(1)), "token", "left")
-        .groupBy("cls", "n")
-        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("late", F.lit(0)).alias("late"), "token"))).alias("order"))
+        short_sets.select("cls", "length", F.size("members").cast("long").alias("n"), F.explode("members").alias("token"))
+        .join(counts.filter(F.col("df") > HOT).select("token", F.lit(1).alias("late")), "token", "left")
+        .groupBy("cls", "n", "length")
+        .agg(F.array_sort(F.collect_set(F.struct(F.coalesce("late", F.lit(0)).alias("late"), "token"))).alias("order"))
     )
-    length = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
-    renewed = ordered.select(F.col("cls").alias("unit"), "n", F.explode(F.slice("order", F.lit(1), length)).alias("o")).select("unit", "n", "o.token")
-    lists = write_table(
-        postings.join(counts.select("token"), "token").join(moved, "unit", "left_anti").select("unit", "n", "token").unionByName(renewed), "shingle-lists"
+    filled = ordered.select(F.col("cls").alias("unit"), "n", "length", F.posexplode(F.slice("order", F.lit(1), F.col("length"))).alias("pos", "o"))
+    filled = filled.select("unit", "n", "length", "pos", "o.token")
+    kept = own.filter(~is_short & (F.col("late") == 0) & (F.col("at") - F.col("before") < F.col("length"))).select(
+        "unit", "n", "length", (F.col("at") - F.col("before")).cast("int").alias("pos"), "token"
     )
-    first = write_table(lists.groupBy("token").agg(F.min("unit").alias("pivot"), F.count("*").alias("df")).filter("df > 1"), "shingle-pivots")
-    lists = write_table(lists.join(first.select("token"), "token"), "shingle-shared")
+    lists = write_table(kept.unionByName(filled), "shingle-lists")
+    lead = F.min(F.struct("unit", "n", "length", "pos")).alias("lead")
+    first = lists.groupBy("token").agg(lead, F.count("*").alias("df")).filter("df > 1").select("token", *[F.col(f"lead.{c}").alias(f"b_{c}") for c in ("unit", "n", "length", "pos")])
+    lists = write_table(lists.join(write_table(first, "shingle-pivots"), "token"), "shingle-shared")
 
     # ---- first, one comparison for each class: with the class it shares most lists with among those that lead them ----
-    votes = lists.join(first, "token").filter(F.col("unit") != F.col("pivot")).groupBy("unit", "pivot").agg(F.count("*").alias("votes"))
-    chosen = votes.groupBy("unit").agg(F.max_by("pivot", F.struct("votes", -F.col("pivot"))).alias("pivot"))
-    inside = active.join(moved.withColumnRenamed("unit", "head"), "head", "left_anti").filter(F.col("cls") != F.col("head"))
-    pairs = chosen.select(F.col("unit").alias("u"), F.col("pivot").alias("v")).unionByName(inside.select(F.col("cls").alias("u"), F.col("head").alias("v")))
-    links = write_table(_verified(pairs, sets, percent), "shingle-links")
+    votes = _promising(lists.withColumnsRenamed({c: f"a_{c}" for c in ("unit", "n", "length", "pos")}).filter("a_unit <> b_unit"), percent)
+    chosen = votes.groupBy("a_unit").agg(F.max_by("b_unit", F.struct("common", -F.col("b_unit"))).alias("b_unit"))
+    pairs = chosen.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("v")).unionByName(bound.select(F.col("cls").alias("u"), F.col("head").alias("v")))
+    links = write_table(_verified(write_table(pairs, "shingle-pairs"), docs, classes, words, percent), "shingle-links")
     joined = write_table(components(links, "shingle-components"), "shingle-joined")
 
     # ---- then every candidate that is not connected yet ----
-    placed = active.join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "head", F.coalesce("component", "cls").alias("component"))
-    # a class that was given its own prefix is a unit of its own
-    unit = placed.join(moved.withColumnRenamed("unit", "head").withColumn("own", F.lit(1)), "head", "left").select(
-        "cls", "component", F.when(F.col("own").isNull(), F.col("head")).otherwise(F.col("cls")).alias("unit")
-    )
+    # the classes, and the unit of the lists that each stands behind
+    standing = lists.select(F.col("unit").alias("cls"), "unit").distinct().unionByName(bound.select("cls", F.col("head").alias("unit")))
+    standing = standing.unionByName(bound.select(F.col("head").alias("cls"), F.col("head").alias("unit"))).distinct()
+    unit = standing.join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "unit", F.coalesce("component", "cls").alias("component"))
     unit = write_table(unit, "shingle-units")
     whole = unit.groupBy("unit").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    side = lists.join(whole, "unit").select("token", "unit", "n", F.when(F.col("low") == F.col("high"), F.col("low")).alias("component"))
+    side = lists.join(whole, "unit").select("token", "unit", "n", "length", "pos", F.when(F.col("low") == F.col("high"), F.col("low")).alias("component"))
     # lists whose units are all connected already need no pairs at all
     open_lists = side.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("component").alias("known"), F.count("*").alias("all"))
     open_lists = open_lists.filter("least IS NULL OR least <> most OR known < all").select("token")
     side = write_table(side.join(open_lists, "token"), "shingle-open")
-    left, right = (side.select("token", *[F.col(c).alias(f"{p}_{c}") for c in ("unit", "n", "component")]) for p in ("a", "b"))
-    unit_pairs = (
-        left.join(right, "token")
-        .filter((F.col("a_unit") < F.col("b_unit")) & _sizes_fit(F.col("a_n"), F.col("b_n"), percent) & ~F.coalesce(F.col("a_component") == F.col("b_component"), F.lit(False)))
-        .select("a_unit", "b_unit")
-        .distinct()
-    )
+    left, right = (side.withColumnsRenamed({c: f"{p}_{c}" for c in ("unit", "n", "length", "pos", "component")}) for p in ("a", "b"))
+    apart = ~F.coalesce(F.col("a_component") == F.col("b_component"), F.lit(False))
+    unit_pairs = _promising(left.join(right, "token").filter((F.col("a_unit") < F.col("b_unit")) & apart), percent).select("a_unit", "b_unit")
     mixed = whole.filter("low <> high").select(F.col("unit").alias("a_unit"), F.col("unit").alias("b_unit"))
     expanded = (
         unit_pairs.unionByName(mixed)
@@ -209,7 +252,7 @@ def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent
         .select("u", "v")
     )
     expanded = write_table(expanded, "shingle-pairs")
-    links = links.unionByName(_verified(expanded, sets, percent))
+    links = links.unionByName(_verified(expanded, docs, classes, words, percent))
     found = write_table(components(links, "shingle-final"), "shingle-found")
     named = classes.select("cls", "low").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "low", F.coalesce("component", "cls").alias("component"))
     lowest = write_table(named.groupBy("component").agg(F.min("low").alias("component_id")), "shingle-lowest")
