@@ -31,6 +31,8 @@ from cartwheel.scratch import write_table
 HOT = 40
 # bits that tell which texts have to be read again
 BITMAP = 1 << 22
+# bits of the sketch of a set
+SKETCH = 1024
 REMEMBERED = 300_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -81,8 +83,8 @@ def _summaries(words: int, percent: int):
                 members = shingle_set(value.as_py(), words, known)
                 sizes.append(len(members))
                 classes.append(_class_of(members))
-                # twice the prefix: what comes in for shingles that move to the end of the order
-                prefixes.append(members[: 2 * _prefix_length(len(members), percent)] if len(members) else members)
+                # the prefix and half as much: what comes in for shingles that move to the end of the order
+                prefixes.append(members[: _prefix_length(len(members), percent) * 3 // 2] if len(members) else members)
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "front"])
 
@@ -100,7 +102,11 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(cls, members) of the documents with the given ids, and of a few others; texts are not shuffled for it."""
+    """(cls, size, sketch, members) of the documents with the given ids, and of a few others; texts are not shuffled for it.
+
+    The sketch has a bit for each member, SKETCH bits in all: two sketches never
+    differ in more bits than their sets differ in members.
+    """
     wanted = _bitmap(ids)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +117,21 @@ def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 shingle_set(batch.column("text")[k].as_py(), words, known)
                 for k in np.flatnonzero(wanted[slots >> 5] >> (slots & 31) & 1).tolist()
             ]
-            columns = [pa.array([_class_of(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["cls", "members"])
+            sketches = []
+            for x in sets:
+                bits = np.zeros(SKETCH, np.uint8)
+                np.add.at(bits, (x & (SKETCH - 1)), 1)  # parities: members that both hold cancel out
+                sketches.append(np.packbits(bits & 1).view(np.int64))
+            columns = [
+                pa.array([_class_of(x) for x in sets], pa.int64()),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array(sketches, pa.list_(pa.int64())),
+                pa.array(sets, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["cls", "size", "sketch", "members"])
 
     rows = docs.filter("doc_id IS NOT NULL").select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).alias("slot"), "text")
-    return rows.mapInArrow(build, "cls long, members array<long>")
+    return rows.mapInArrow(build, "cls long, size long, sketch array<long>, members array<long>")
 
 
 def _promising(met: DataFrame, percent: int) -> DataFrame:
@@ -140,6 +156,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     """Those of the pairs (u, v) whose sets are similar enough."""
     asked = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
     sets = write_table(_sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words), "shingle-sets")
+    # most pairs differ in so many bits of their sketches that their sets need not be looked at
+    a, b = (sets.select(F.col("cls").alias(x), F.col("size").alias(f"{x}_size"), F.col("sketch").alias(f"{x}_sketch")) for x in ("u", "v"))
+    apart = F.expr("aggregate(zip_with(u_sketch, v_sketch, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    pairs = write_table(
+        pairs.join(a, "u").join(b, "v").filter(apart * (100 + percent) <= (F.col("u_size") + F.col("v_size")) * (100 - percent)).select("u", "v").distinct(),
+        "shingle-close",
+    )
     both = (
         pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
         .join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
@@ -178,11 +201,13 @@ def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent
     leading = F.col("head").isNull()
     postings = (
         classes.join(followers, "cls", "left")
-        .select(F.col("cls").alias("unit"), "head", "n", "length", F.size("front").alias("seen"), F.posexplode("front").alias("at", "token"))
+        .select(F.col("cls").alias("unit"), "head", "n", F.posexplode("front").alias("at", "token"))
     )
     postings = write_table(postings, "shingle-postings")
     counts = write_table(postings.groupBy("token").agg(F.count_if(leading).alias("df"), F.count("*").alias("all")).filter("all > 1"), "shingle-counts")
     shared = postings.join(counts.select("token", (F.col("df") > HOT).cast("int").alias("late")), "token")
+    # both follow from the size: no need to carry them along
+    shared = shared.withColumn("length", length).withColumn("seen", F.least("n", F.floor(F.col("length") * 3 / 2)))
     so_far = Window.partitionBy("unit").orderBy("at")
     whole_unit = Window.partitionBy("unit")
     placed = write_table(
