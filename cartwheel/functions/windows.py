@@ -29,7 +29,12 @@ class EventClock:
 
     def history(self, events: DataFrame) -> DataFrame:
         """All events known at the anchor. An anchor taken from the data excludes nothing."""
-        return events.filter(F.col("ts") <= self.anchor) if self.explicit else events
+        if not self.explicit:
+            return events
+        known = events.filter(F.col("ts") <= self.anchor)
+        if "event_date" in events.columns:  # later partitions are not read
+            known = known.filter(F.col("event_date") <= F.to_date(self.anchor))
+        return known
 
     def recent(self, events: DataFrame, days: int) -> DataFrame:
         """Events of the window; on a date-partitioned table this prunes partitions as well."""

@@ -21,12 +21,24 @@ def silver_users(events: DataFrame) -> DataFrame:
 
 
 def silver_items(events: DataFrame) -> DataFrame:
-    """Item attributes; the category path is the earliest non-null one."""
-    earliest = F.min(F.when(F.col("category_path").isNotNull(), F.struct("ts", "category_path")))
-    return (
+    """Item attributes; the category path is the earliest non-null one.
+
+    Events are first added up by item and path, in a hash aggregate of plain
+    numbers; only those few rows meet in the choice of the earliest path.
+    """
+    by_path = (
         events.filter(F.col("item_id").isNotNull())
-        .groupBy("item_id")
-        .agg(earliest.alias("_earliest"), F.avg("price").alias("base_price"), F.min("ts").alias("created_ts"))
+        .groupBy("item_id", "category_path")
+        .agg(F.min("ts").alias("_first"), F.sum("price").alias("_sum"), F.count("price").alias("_priced"))
+    )
+    earliest = F.min(F.when(F.col("category_path").isNotNull(), F.struct(F.col("_first").alias("ts"), "category_path")))
+    return (
+        by_path.groupBy("item_id")
+        .agg(
+            earliest.alias("_earliest"),
+            F.try_divide(F.sum("_sum"), F.sum("_priced")).alias("base_price"),
+            F.min("_first").alias("created_ts"),
+        )
         .select(
             "item_id",
             F.concat(F.lit(ITEM_TITLE_PREFIX), "item_id").alias("title"),

@@ -147,24 +147,33 @@ def item_temporal(
 def item_category_popularity(
     events: DataFrame, items: DataFrame, clock: EventClock, days: int = WINDOW_DAYS
 ) -> DataFrame:
-    labelled = items.select(ITEM, first_category().alias("label"))
-    return _popularity(events, labelled, clock, days, "item_category_popularity_30d")
+    return _category_popularity(_event_counts(events, clock, days), items)
 
 
 def item_brand_popularity(
     events: DataFrame, items: DataFrame, clock: EventClock, days: int = WINDOW_DAYS
 ) -> DataFrame:
-    labelled = items.select(ITEM, F.col("brand").alias("label"))
-    return _popularity(events, labelled, clock, days, "item_brand_popularity_30d")
+    return _brand_popularity(_event_counts(events, clock, days), items)
 
 
-def _popularity(events: DataFrame, labelled: DataFrame, clock: EventClock, days: int, out: str) -> DataFrame:
-    """Window events of the item's label over those of the busiest label.
+def _event_counts(events: DataFrame, clock: EventClock, days: int) -> DataFrame:
+    return _known(clock.recent(events, days)).groupBy(ITEM).agg(F.count("*").alias("n"))
+
+
+def _category_popularity(per_item: DataFrame, items: DataFrame) -> DataFrame:
+    return _popularity(per_item, items.select(ITEM, first_category().alias("label")), "item_category_popularity_30d")
+
+
+def _brand_popularity(per_item: DataFrame, items: DataFrame) -> DataFrame:
+    return _popularity(per_item, items.select(ITEM, F.col("brand").alias("label")), "item_brand_popularity_30d")
+
+
+def _popularity(per_item: DataFrame, labelled: DataFrame, out: str) -> DataFrame:
+    """Window events (`n` per item) of the item's label over those of the busiest label.
 
     Events are counted per item before they meet the labels, and per label before
     labels meet items again.
     """
-    per_item = _known(clock.recent(events, days)).groupBy(ITEM).agg(F.count("*").alias("n"))
     per_label = (
         per_item.join(labelled, ITEM)
         .filter(F.col("label").isNotNull())
@@ -182,7 +191,10 @@ def item_discount_rate(events: DataFrame, items: DataFrame, clock: EventClock, d
     The base price is one number per item, so the mean needs only the item's
     average price, and events are aggregated before the join.
     """
-    seen = item_monetary(events, clock, days).select(ITEM, "item_avg_price_30d")
+    return _discount_rate(item_monetary(events, clock, days).select(ITEM, "item_avg_price_30d"), items)
+
+
+def _discount_rate(seen: DataFrame, items: DataFrame) -> DataFrame:
     base = F.col("base_price")
     rate = F.when(base > 0, (base - F.col("item_avg_price_30d")) / base)
     return items.join(seen, ITEM).select(ITEM, rate.alias("item_discount_rate_avg_30d"))
@@ -214,6 +226,9 @@ def item_features(
         .join(item_content(items), ITEM, "left")
     )
     if declared_only:
-        for operator in (item_category_popularity, item_brand_popularity, item_discount_rate):
-            features = features.join(operator(events, items, clock, days), ITEM, "left")
+        # both come from the window's aggregate: its shuffle is the same and is reused
+        counted = window.select(ITEM, F.col("total_events_30d").alias("n"))
+        priced = window.select(ITEM, "item_avg_price_30d")
+        for extra in (_category_popularity(counted, items), _brand_popularity(counted, items), _discount_rate(priced, items)):
+            features = features.join(extra, ITEM, "left")
     return features if embeddings is None else features.join(embeddings, ITEM, "left")

@@ -28,9 +28,9 @@ def feature_view(table: DataFrame, view: FeatureView) -> DataFrame:
 
 def latest_per_entity(snapshots: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The newest dated row per entity; an entity has at most one row per day."""
+    newest = snapshots.groupBy(*keys).agg(F.max("date").alias("date"))
     rest = [c for c in snapshots.columns if c not in (*keys, "date")]
-    newest = F.max_by(F.struct("date", *rest), F.col("date")).alias("newest")
-    return snapshots.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    return snapshots.join(newest, [*keys, "date"]).select(*keys, "date", *rest)
 
 
 def materialize(
@@ -58,7 +58,7 @@ def point_in_time_join(
 
     Snapshots are daily, so a label can match the midnights of its TTL and no
     others. The days are looked up for each distinct (entity, day span) by an
-    equi-join on (entity, day); however many labels an entity has, it contributes
+    equi-join on (entity, day) among the days that have one; however many labels an entity has, it contributes
     at most two spans per day. Features are fetched once the day is known.
     """
     first_midnight = F.date_trunc("day", F.col(label_ts) - F.make_dt_interval(days=F.lit(ttl_days)))
@@ -70,13 +70,11 @@ def point_in_time_join(
         }
     )
     by = [*keys, "_first", "_last"]
-    days = (
-        spans.select(*by)
-        .distinct()
-        .filter(F.col("_first") <= F.col("_last"))
-        .withColumn("_day", F.explode(F.sequence("_first", "_last")))
-    )
     dated = snapshots.withColumn("_day", F.to_date("date")).drop("date")
+    # only days that have a snapshot can match: a list as long as there are snapshots, not as the TTL has days
+    known = dated.agg(F.array_sort(F.collect_set("_day"))).scalar()
+    days = spans.select(*by).distinct().withColumn("_known", known).withColumn("_day", F.explode("_known"))
+    days = days.filter(F.col("_day").between(F.col("_first"), F.col("_last"))).drop("_known")
     matched = (
         days.join(dated.select(*keys, "_day"), [*keys, "_day"])
         .groupBy(*by)

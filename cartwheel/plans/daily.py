@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.functions.windows import EventClock, Instant, event_clock
 from cartwheel.operators.cleaning import silver_events
@@ -58,11 +59,18 @@ class DailyJobs:
     def clock(self, events: DataFrame) -> EventClock:
         return event_clock(events, self.anchor, self.as_of, date_partitioned=True)
 
-    def silver_events(self, bronze_path: str) -> None:
-        write_silver_events(silver_events(bronze_scan(self.spark, bronze_path)), self.path("silver/events"), self.fmt)
+    def silver_events(self, bronze_path: str, replace_all: bool = False, schema: T.StructType | None = None) -> None:
+        """Clean events of a bronze folder, which may be that of one day: other days stay unless `replace_all`.
+
+        Name the files' `schema` where it is known; else their footers are sampled.
+        """
+        events = silver_events(bronze_scan(self.spark, bronze_path, schema))
+        write_silver_events(events, self.path("silver/events"), self.fmt, replace_all)
 
     def silver_entities(self, catalog: DataFrame | None = None) -> None:
         events = self.read("silver/events")
+        if self.anchor is not None:  # a past day knows neither later prices nor later categories
+            events = self.clock(events).history(events)
         items = silver_items(events)
         if catalog is not None:
             items = silver_items_with_catalog(items, catalog)
@@ -96,7 +104,7 @@ class DailyJobs:
         view: FeatureView = VIEWS[name]
         source = feature_source(self.spark, self.path(name), self.fmt).drop("event_timestamp")
         rows = materialize(feature_view(source, view), view, start, end)
-        online_upsert(rows, self.path(f"online/{view.name}"), batch_id)
+        online_upsert(rows, self.path(f"online/{view.name}"), batch_id, writer=f"{view.name}-{self.date}")
 
     def run(self, bronze_path: str, catalog: DataFrame | None = None) -> None:
         self.silver_events(bronze_path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from cartwheel.plans.queries import SNAPSHOT_DATES
+from cartwheel.plans.queries import SNAPSHOT_AGES
 from cartwheel.schemas import (
     CROSS_VIEW,
     DEVICES,
@@ -21,6 +21,11 @@ from cartwheel.schemas import (
 DAYS = "{days}"  # window length, filled in by `_sql`
 
 
+def _snapshot(age: int) -> str:
+    """Midnight of the snapshot that lies so many days before the newest day."""
+    return f"(SELECT CAST(max(CAST(ts AS DATE)) AS TIMESTAMP) - INTERVAL {age} DAY FROM silver)"
+
+
 def _in(values: list[str]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -315,14 +320,15 @@ PARTS: dict[str, str] = {
     # snapshots: user volume as known at each date
     "snapshots": " UNION ALL ".join(
         f"""SELECT user_id, count(*) AS user_total_events_30d, {_n('view')} AS user_views_30d,
-        {_n('add_to_cart')} AS user_add_to_cart_30d, {_n('purchase')} AS user_purchases_30d, DATE '{date}' AS date
-        FROM silver WHERE ts <= TIMESTAMP '{anchor}' AND ts >= TIMESTAMP '{anchor}' - INTERVAL 30 DAY GROUP BY user_id"""
-        for date, anchor in zip(SNAPSHOT_DATES, SNAPSHOT_DATES, strict=True)
+        {_n('add_to_cart')} AS user_add_to_cart_30d, {_n('purchase')} AS user_purchases_30d, CAST(any_value(midnight) AS DATE) AS date
+        FROM silver, (SELECT {_snapshot(age)} AS midnight) WHERE ts <= midnight AND ts >= midnight - INTERVAL 30 DAY GROUP BY user_id"""
+        for age in SNAPSHOT_AGES
     ),
     "rebuilt_snapshots": f"""
-        SELECT * FROM snapshots WHERE date <> DATE '{SNAPSHOT_DATES[0]}' UNION ALL
-        SELECT user_id, count(*), {_n('view')}, {_n('add_to_cart')}, {_n('purchase')}, DATE '{SNAPSHOT_DATES[0]}'
-        FROM silver WHERE ts <= TIMESTAMP '2024-01-05' GROUP BY user_id""",
+        SELECT * FROM snapshots WHERE date <> {_snapshot(SNAPSHOT_AGES[0])} UNION ALL
+        SELECT user_id, count(*), {_n('view')}, {_n('add_to_cart')}, {_n('purchase')}, CAST(any_value(midnight) AS DATE)
+        FROM silver, (SELECT {_snapshot(SNAPSHOT_AGES[0])} AS midnight)
+        WHERE ts <= midnight - INTERVAL 5 DAY AND ts >= midnight - INTERVAL 35 DAY GROUP BY user_id""",
 }
 
 
@@ -482,16 +488,24 @@ ORACLES: dict[str, str] = {
     "s3_event_stream_source": _sql(f"SELECT {_JSON_EVENT}, ts FROM timed"),
     "s4_decode_events": _sql(f"SELECT {_JSON_EVENT}, ts FROM timed"),
     "s5_feature_source": _sql("SELECT *, CAST(date AS TIMESTAMP) AS event_timestamp FROM snapshots"),
-    "s6_write_silver_events": _sql(f"SELECT {EVENT}, event_date, event_hour FROM silver"),
+    "s6_write_silver_events": _sql(
+        f"""SELECT {EVENT}, event_date, event_hour FROM silver
+        WHERE event_date < (SELECT max(event_date) FROM silver) OR event_type <> 'view' OR event_hour > 1
+        OR event_hour NOT IN (SELECT event_hour FROM silver WHERE event_type <> 'view'
+                              AND event_date = (SELECT max(event_date) FROM silver))"""
+    ),
     "s7_write_entity_table": _sql(_rounded("silver_items", ["base_price"], path=True)),
     "s8_write_gold_snapshot": _sql("SELECT * FROM rebuilt_snapshots"),
     "s9_raw_archive_sink": _sql(
         f"""SELECT {EVENT}, CAST(year(make_timestamp(ts * 1000)) AS INTEGER) AS year,
         CAST(month(make_timestamp(ts * 1000)) AS INTEGER) AS month, CAST(day(make_timestamp(ts * 1000)) AS INTEGER) AS day,
-        CAST(hour(make_timestamp(ts * 1000)) AS INTEGER) AS hour FROM raw"""
+        CAST(hour(make_timestamp(ts * 1000)) AS INTEGER) AS hour
+        FROM (SELECT * REPLACE (CASE WHEN device <> 'ios' OR page <> 'cart' THEN user_id END AS user_id,
+              CASE WHEN device <> 'android' OR page <> 'home' THEN ts END AS ts) FROM raw)"""
     ),
     "s10_online_upsert": _sql(
-        "SELECT key, value, updated_at_ms, 3600::BIGINT AS ttl_sec, 7::BIGINT AS batch_id FROM online"
+        """SELECT key, value, updated_at_ms, 3600::BIGINT AS ttl_sec, writer, 7::BIGINT AS batch_id
+        FROM online, (SELECT unnest(['first', 'second']) AS writer)"""
     ),
     "s11_online_read": _sql(
         """SELECT key, value, updated_at_ms, 86400::BIGINT AS ttl_sec
@@ -586,9 +600,8 @@ ORACLES: dict[str, str] = {
         FROM candidates JOIN user_monetary USING (user_id) JOIN item_monetary USING (item_id)"""
     ),
     "x6_ui_similarity": _sql(
-        "SELECT user_id, item_id, round("
-        + " + ".join(f"u.embedding[{i}]::DOUBLE * i.embedding[{i}]::DOUBLE" for i in range(1, 11))
-        + """, 8) AS ui_user_item_similarity_emb FROM observed
+        """SELECT user_id, item_id,
+        round(list_inner_product(u.embedding::DOUBLE[], i.embedding::DOUBLE[]), 8) AS ui_user_item_similarity_emb FROM observed
         JOIN embeddings u ON concat('u_', u.vec_id) = user_id JOIN embeddings i ON concat('i_', i.vec_id) = item_id"""
     ),
     "x7_ui_recency_bucket": _sql(
@@ -618,8 +631,10 @@ ORACLES: dict[str, str] = {
     "r1_watermark": _sql(
         """, timed_ids AS (
           SELECT make_timestamp(ts * 1000) AS ts, event_type,
-                 CASE WHEN day(make_timestamp(ts * 1000)) < 11 THEN 0 WHEN day(make_timestamp(ts * 1000)) < 21 THEN 1 ELSE 2 END
-                 + CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END AS arrival FROM numbered),
+                 (CAST(make_timestamp(ts * 1000) AS DATE) - first) * 3 // (last - first + 1)
+                 + CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END AS arrival
+          FROM numbered, (SELECT min(CAST(make_timestamp(ts * 1000) AS DATE)) AS first,
+                                 max(CAST(make_timestamp(ts * 1000) AS DATE)) AS last FROM numbered)),
         marks AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival) - INTERVAL 10 SECOND AS mark
                   FROM timed_ids GROUP BY arrival),
         bucketed AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM timed_ids)
@@ -668,7 +683,7 @@ ORACLES: dict[str, str] = {
           'rt_updated_at_ms': epoch_ms(CAST(date AS TIMESTAMP))}}}})::VARCHAR AS value,
         epoch_ms(CAST(date AS TIMESTAMP)) AS updated_at_ms, 2592000::BIGINT AS ttl_sec
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS rn FROM snapshots
-              WHERE date < DATE '{SNAPSHOT_DATES[-1]}') WHERE rn = 1"""
+              WHERE date < {_snapshot(SNAPSHOT_AGES[-1])}) WHERE rn = 1"""
     ),
     "f6_point_in_time_join": _sql(
         """SELECT user_id, item_id, label_ts, s.date AS feature_date, user_total_events_30d, user_views_30d,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,6 @@ from cartwheel.operators import cleaning, entities, items, pairs, text, users, v
 from cartwheel.plans.retail_tables import catalog, numbered_events, raw_event_stream, raw_events, raw_events_without_paths, table
 from cartwheel.schemas import (
     CROSS_VIEW,
-    EMBEDDING_DIMS,
     ITEM_CATALOG,
     ITEM_VIEW,
     USER_CATALOG,
@@ -32,8 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-# dates of the dated snapshots used below, inside the span of the events
-SNAPSHOT_DATES = ("2024-01-10", "2024-01-20", "2024-01-30")
+# dated snapshots used below: so many days before the newest day of the clean events
+SNAPSHOT_AGES = (20, 10, 0)
 SNAPSHOT_VIEW = FeatureView("user_activity", ("user_id",), 30, USER_VIEW.fields[:4])
 
 
@@ -133,13 +133,16 @@ def _(spark, sf_dir):
 
 @query("s5_feature_source")
 def _(spark, sf_dir):
-    return tables.feature_source(spark, snapshot_table(spark, sf_dir))
+    return tables.feature_source(spark, snapshot_table(spark, sf_dir)[0])
 
 
 @query("s6_write_silver_events")
 def _(spark, sf_dir):
-    path = new_path(spark, "silver")
-    tables.write_silver_events(silver(spark, sf_dir), path)
+    """All days, then the newest one again without its views: the other days stay."""
+    path, events = new_path(spark, "silver"), stored_silver(spark, sf_dir)
+    tables.write_silver_events(events, path, replace_all=True)
+    newest = events.filter(F.col("event_date") == events.agg(F.max("event_date")).scalar())
+    tables.write_silver_events(newest.filter("event_type <> 'view' OR event_hour > 1"), path)
     return tables.table_scan(spark, path)
 
 
@@ -153,27 +156,33 @@ def _(spark, sf_dir):
 @query("s8_write_gold_snapshot")
 def _(spark, sf_dir):
     """Three dates, then the first one again with another anchor: only that date changes."""
-    path = snapshot_table(spark, sf_dir)
-    events = silver(spark, sf_dir)
-    rebuilt = users.user_volume(events, event_clock(events, anchor="2024-01-05"))
-    tables.write_gold_snapshot(rebuilt, path, SNAPSHOT_DATES[0])
+    path, events, dates = snapshot_table(spark, sf_dir)
+    rebuilt = users.user_volume(events, event_clock(events, anchor=dates[0] - timedelta(days=5)))
+    tables.write_gold_snapshot(rebuilt, path, f"{dates[0]:%Y-%m-%d}")
     return tables.table_scan(spark, path)
 
 
-def snapshot_table(spark: SparkSession, sf_dir: str) -> str:
+def snapshot_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, list[datetime]]:
+    """Folder of the snapshots, the events they come from, and their dates; a snapshot knows the events up to its midnight."""
     path = new_path(spark, "gold-users")
     events = stored_silver(spark, sf_dir)
-    for date in SNAPSHOT_DATES:
-        tables.write_gold_snapshot(users.user_volume(events, event_clock(events, anchor=date)), path, date)
-    return path
+    newest = events.agg(F.max(F.to_date("ts")).cast("string")).first()[0]
+    dates = [datetime.fromisoformat(newest) - timedelta(days=age) for age in SNAPSHOT_AGES]
+    for date in dates:
+        tables.write_gold_snapshot(users.user_volume(events, event_clock(events, anchor=date)), path, f"{date:%Y-%m-%d}")
+    return path, events, dates
 
 
 @query("s9_raw_archive_sink")
 def _(spark, sf_dir):
-    raw = raw_event_stream(spark, sf_dir)
-    path = finished(
-        lambda p, c: sinks.raw_archive_sink(raw, p, c, every=None, files_per_hour=1), spark, "raw-archive"
+    """Also events that lack a user or a time: the archive keeps what came."""
+    raw = raw_event_stream(spark, sf_dir).withColumns(
+        {
+            "user_id": F.when((F.col("device") != "ios") | (F.col("page") != "cart"), F.col("user_id")),
+            "ts": F.when((F.col("device") != "android") | (F.col("page") != "home"), F.col("ts")),
+        }
     )
+    path = finished(lambda p, c: sinks.raw_archive_sink(raw, p, c, every=None), spark, "raw-archive")
     return spark.read.parquet(path)
 
 
@@ -187,10 +196,12 @@ def batch_online_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("s10_online_upsert")
 def _(spark, sf_dir):
+    """Two writers that use the same batch number, and a batch that is written twice."""
     path = new_path(spark, "online")
-    rows = batch_online_rows(spark, sf_dir)
-    online.online_upsert(rows, path, 7)
-    online.online_upsert(rows, path, 7)  # a retried batch
+    rows = write_table(batch_online_rows(spark, sf_dir), "online-rows")
+    online.online_upsert(rows, path, 7, "first")
+    online.online_upsert(rows, path, 7, "second")
+    online.online_upsert(rows, path, 7, "first")
     return online.online_log(spark, path)
 
 
@@ -199,7 +210,7 @@ def _(spark, sf_dir):
     """Two batches, read three days after the newest: only keys written within their day-long TTL are live."""
     rows = write_table(batch_online_rows(spark, sf_dir).withColumn("ttl_sec", F.lit(86400).cast("bigint")), "online-rows")
     path = new_path(spark, "online")
-    middle = F.unix_millis(F.lit("2024-01-16").cast("timestamp"))
+    middle = rows.agg(((F.min("updated_at_ms") + F.max("updated_at_ms")) / 2).cast("bigint")).scalar()
     online.online_upsert(rows.filter(F.col("updated_at_ms") < middle), path, 0)
     online.online_upsert(rows.filter(F.col("updated_at_ms") >= middle), path, 1)
     newest = rows.agg(F.max("updated_at_ms")).scalar()
@@ -479,7 +490,7 @@ def _(spark, sf_dir):
 @query("x6_ui_similarity")
 def _(spark, sf_dir):
     """Dot product of given vectors: users and items take the vector of their number."""
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, EMBEDDING_DIMS).alias("emb"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("emb"))
     user_side = vectors.select(F.concat(F.lit("u_"), "vec_id").alias("user_id"), F.col("emb").alias("user_emb"))
     item_side = vectors.select(F.concat(F.lit("i_"), "vec_id").alias("item_id"), F.col("emb").alias("item_emb"))
     return pairs.ui_similarity(pairs.observed_pairs(silver(spark, sf_dir)), user_side, item_side)
@@ -564,8 +575,9 @@ def _(spark, sf_dir):
     The stream stops after each arrival and resumes from its checkpoint.
     """
     events = cleaning.normalize_ts(numbered_events(spark, sf_dir))
-    day, late = F.dayofmonth("ts"), F.when(F.col("event_id") % 20 == 0, 1).otherwise(0)
-    arrival = F.when(day < 11, 0).when(day < 21, 1).otherwise(2) + late
+    first, last = (events.agg(end(F.to_date("ts"))).scalar() for end in (F.min, F.max))
+    third = F.floor(F.datediff(F.to_date("ts"), first) * 3 / (F.datediff(last, first) + 1)).cast("int")
+    arrival = third + F.when(F.col("event_id") % 20 == 0, 1).otherwise(0)
     arrivals = write_table(events.select("event_id", "ts", "event_type", arrival.alias("arrival")), "arrivals")
     landing, path, checkpoint = (new_path(spark, n) for n in ("landing", "windows", "windows-checkpoint"))
     for number in range(4):
@@ -609,7 +621,7 @@ def _(spark, sf_dir):
     windows = rt.rt_user_features(event_stream(spark, sf_dir), F.col("window_end"))
     stamped = windows.withColumn("rt_updated_at_ms", F.unix_millis("window_end")).drop("window_start", "window_end")
     path = finished(lambda p, c: sinks.rt_to_online(stamped, ["user_id"], USER_KEY_PREFIX, p, c), spark, "online")
-    return online.online_log(spark, path).drop("batch_id")
+    return online.online_log(spark, path).drop("batch_id", "writer")
 
 
 # ---- feature store ----
@@ -651,18 +663,19 @@ def _(spark, sf_dir):
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table_scan(spark, snapshot_table(spark, sf_dir))
+    return tables.table_scan(spark, snapshot_table(spark, sf_dir)[0])
 
 
 @query("f5_materialize")
 def _(spark, sf_dir):
     """Snapshots of the 30 days before the last one, which lies outside the open end of the range."""
-    dated = views.feature_view(snapshots(spark, sf_dir), SNAPSHOT_VIEW)
-    end = F.lit(SNAPSHOT_DATES[-1]).cast("timestamp")
+    stored, _, dates = snapshot_table(spark, sf_dir)
+    dated = views.feature_view(tables.table_scan(spark, stored), SNAPSHOT_VIEW)
+    end = F.lit(dates[-1])
     rows = views.materialize(dated, SNAPSHOT_VIEW, end - F.make_dt_interval(F.lit(30)), end)
     path = new_path(spark, "online")
     online.online_upsert(rows, path, 0)
-    return online.online_log(spark, path).drop("batch_id")
+    return online.online_log(spark, path).drop("batch_id", "writer")
 
 
 @query("f6_point_in_time_join")

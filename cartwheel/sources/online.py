@@ -1,7 +1,8 @@
 """Keyed online rows: JSON payloads with a time to live, kept as an append-only change log.
 
-A write never reads the store. A batch replaces its own partition, so a retried
-batch leaves the same rows, and readers take the newest live row per key.
+A write never reads the store. A batch replaces its writer's own partition of that
+number, so a retried batch leaves the same rows, two writers never touch each
+other's, and readers take the newest live row per key.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.schemas import ONLINE_TTL_SEC, UPDATED_AT
 
-LOG_SCHEMA = "key string, value string, updated_at_ms bigint, ttl_sec bigint, batch_id bigint"
+LOG_SCHEMA = "key string, value string, updated_at_ms bigint, ttl_sec bigint, writer string, batch_id bigint"
 
 
 def online_rows(
@@ -37,12 +38,13 @@ def online_rows(
     )
 
 
-def online_upsert(rows: DataFrame, path: str, batch_id: int) -> None:
+def online_upsert(rows: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
+    """Replace batch `batch_id` of `writer`: the id of a stream, or the name of a job and its run."""
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("writer", "batch_id")
         .parquet(path)
     )
 
@@ -56,7 +58,7 @@ def online_read(log: DataFrame, as_of_ms: int | Column | None = None) -> DataFra
     if as_of_ms is None:
         as_of_ms = F.unix_millis(F.current_timestamp())
     as_of = F.lit(as_of_ms) if isinstance(as_of_ms, int) else as_of_ms
-    newest = F.max(F.struct("updated_at_ms", "batch_id", "value", "ttl_sec")).alias("newest")
+    newest = F.max(F.struct("updated_at_ms", "batch_id", "writer", "value", "ttl_sec")).alias("newest")
     return (
         log.groupBy("key")
         .agg(newest)

@@ -24,16 +24,18 @@ def feature_source(spark: SparkSession, path: str, fmt: str = "parquet", date_co
     return table_scan(spark, path, fmt).withColumn("event_timestamp", F.to_timestamp(date_column))
 
 
-def write_silver_events(events: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the clean event table, partitioned by date and hour.
+def write_silver_events(events: DataFrame, path: str, fmt: str = "parquet", replace_all: bool = False) -> None:
+    """Write clean events, partitioned by date and hour.
 
-    Rebalancing gathers each hour into few files, and lets AQE split an hour
+    Only the hours that `events` holds are replaced, so a day can be rebuilt
+    alone; with `replace_all` every other hour goes too. Rebalancing gathers each hour into few files, and lets AQE split an hour
     that holds far more rows than the others.
     """
     (
         events.hint("rebalance", *EVENT_PARTITIONS)
         .write.format(fmt)
         .mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*EVENT_PARTITIONS)
         .save(path)
     )

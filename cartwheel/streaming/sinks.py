@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartwheel.functions.skew import spread
 from cartwheel.schemas import ONLINE_TTL_SEC
 from cartwheel.sources.online import online_rows, online_upsert
 
@@ -19,17 +20,16 @@ def _trigger(every: str | None) -> dict:
 
 
 def raw_archive(events: DataFrame, files_per_hour: int = 8) -> DataFrame:
-    """Events with their UTC hour folders, rows without a user or time left out.
+    """All events with their UTC hour folders; those without a time have NULL folders of their own.
 
-    A live batch falls into one or two hours. The salt lets `files_per_hour`
-    tasks share an hour instead of sending it to one.
+    The archive is the only raw copy, so nothing is left out here. A live batch
+    falls into one or two hours. The salt lets `files_per_hour` tasks share an
+    hour; it is drawn per row, so one event that comes many times is shared too.
     """
     at = F.timestamp_millis("ts") if dict(events.dtypes)["ts"] == "bigint" else F.col("ts")
-    dated = events.filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull()).withColumns(
-        {name: F.date_format(at, pattern) for name, pattern in _PATTERNS.items()}
-    )
-    salt = spread([F.col("user_id"), F.col("ts")], files_per_hour)
-    return dated.repartition(*ARCHIVE_PARTITIONS, salt)
+    dated = events.withColumns({name: F.date_format(at, pattern) for name, pattern in _PATTERNS.items()})
+    salted = dated.withColumn("_salt", F.floor(F.rand(17) * files_per_hour))
+    return salted.repartition(*ARCHIVE_PARTITIONS, "_salt").drop("_salt")
 
 
 def raw_archive_sink(
@@ -68,10 +68,16 @@ def rt_to_online(
     now_ms: Column | None = None,
     ttl_sec: int = ONLINE_TTL_SEC,
 ) -> StreamingQuery:
-    """Deliver stream rows to the online log, one log partition per micro-batch."""
+    """Deliver stream rows to the online log, one log partition per micro-batch.
+
+    The stream writes under the id that its checkpoint holds: a restart from the
+    checkpoint goes on with its own batches, another stream never meets them.
+    """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        online_upsert(online_rows(batch, id_columns, prefix, now_ms, ttl_sec), path, batch_id)
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        writer = stream_id or hashlib.sha256(checkpoint.encode()).hexdigest()
+        online_upsert(online_rows(batch, id_columns, prefix, now_ms, ttl_sec), path, batch_id, writer)
 
     return (
         features.writeStream.outputMode("append")

@@ -1,12 +1,12 @@
 import json
 
 import pytest
-from conftest import NEWEST, event
+from conftest import DAY, NEWEST, event
 from pyspark.sql import functions as F
 
 from cartwheel.operators import cleaning
 from cartwheel.scratch import new_path
-from cartwheel.sources import online, streams
+from cartwheel.sources import online, streams, tables
 from cartwheel.streaming import features as rt
 from cartwheel.streaming import sinks
 
@@ -155,7 +155,25 @@ def test_json_decoding(spark):
     assert rows[0].price == 9.5 and rows[0].referrer is None
 
 
-def test_raw_archive_folders_and_dropped_nulls(spark, events_of):
+def test_raw_archive_keeps_events_without_user_or_time(spark, events_of):
     archived = sinks.raw_archive(events_of(event(), event(ts=None), event(user_id=None), event(ts=NEWEST + 3_600_000)))
-    hours = sorted((r.year, r.month, r.day, r.hour) for r in archived.collect())
-    assert hours == [("2024", "01", "31", "00"), ("2024", "01", "31", "01")]
+    hours = [(r.year, r.month, r.day, r.hour) for r in archived.collect()]
+    first, second, none = ("2024", "01", "31", "00"), ("2024", "01", "31", "01"), (None,) * 4
+    assert sorted(hours, key=str) == sorted([first, first, second, none], key=str)
+
+
+def test_two_writers_of_one_batch_number(spark, tmp_path):
+    path = str(tmp_path / "online")
+    online.online_upsert(online_rows(spark, [("a", 1, 1000)]), path, 0, "one")
+    online.online_upsert(online_rows(spark, [("b", 2, 1000)]), path, 0, "two")
+    assert sorted(r.key for r in online.online_log(spark, path).collect()) == ["k:a", "k:b"]
+
+
+def test_one_day_is_rewritten_alone(spark, events_of, tmp_path):
+    path = str(tmp_path / "silver")
+    days = cleaning.silver_events(events_of(event(), event(ts=NEWEST - DAY), event(ts=NEWEST - 2 * DAY)))
+    tables.write_silver_events(days, path)
+    tables.write_silver_events(days.filter(F.col("ts") < F.timestamp_millis(F.lit(NEWEST - DAY))), path)
+    assert tables.table_scan(spark, path).count() == 3
+    tables.write_silver_events(days.limit(1), path, replace_all=True)
+    assert tables.table_scan(spark, path).count() == 1
