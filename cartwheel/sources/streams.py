@@ -26,18 +26,26 @@ def file_event_stream(
     return reader.parquet(path)
 
 
-def kafka_event_stream(spark: SparkSession, servers: str, topic: str, options: dict[str, str] | None = None) -> DataFrame:
+def kafka_event_stream(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    options: dict[str, str] | None = None,
+    events_per_trigger: int | None = 5_000_000,
+) -> DataFrame:
     """Decoded JSON events of a topic, from the latest offsets on.
 
     Needs the Kafka source package on the classpath. The consumer group of a job
-    is its checkpoint: give every query its own `checkpointLocation`.
+    is its checkpoint: give every query its own `checkpointLocation`. A backlog is
+    taken in batches of `events_per_trigger`.
     """
+    limit = {} if events_per_trigger is None else {"maxOffsetsPerTrigger": str(events_per_trigger)}
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
-        .options(**(options or {}))
+        .options(**limit, **(options or {}))
         .load()
     )
     return decode_json_events(raw.select(F.col("value").cast("string").alias("value")))
@@ -51,14 +59,23 @@ def _instant(text: Column) -> Column:
 def decode_json_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to the ten event columns; `ts` becomes event time and `price` a double."""
     event = F.from_json(F.col(value), JSON_SCHEMA)
-    fields = messages.select(event.alias("event")).select("event.*")
-    return fields.withColumns({"price": F.col("price").cast("double"), "ts": _instant(F.col("ts"))})
+    return _event_columns(messages.select(event.alias("event")))
+
+
+def _event_columns(decoded: DataFrame) -> DataFrame:
+    """The same columns and types whatever the wire format was."""
+    fields = decoded.select("event.*")
+    return fields.withColumns({"price": F.col("price").cast("double"), "ts": _instant(F.col("ts").cast("string"))})
 
 
 def decode_avro_events(messages: DataFrame, avro_schema: str, value: str = "value", header_bytes: int = 5) -> DataFrame:
-    """Avro bytes behind a registry header to event columns. Needs the Avro package on the classpath."""
+    """Avro bytes behind a registry header to event columns; NULLs where the header's first byte is not zero.
+
+    Needs the Avro package on the classpath.
+    """
     from pyspark.sql.avro.functions import from_avro
 
     start = header_bytes + 1
-    body = F.expr(f"substring({value}, {start}, length({value}) - {header_bytes})")
-    return messages.select(from_avro(body, avro_schema).alias("event")).select("event.*")
+    framed = F.expr(f"substring({value}, 1, 1) = X'00'")
+    body = F.when(framed, F.expr(f"substring({value}, {start}, length({value}) - {header_bytes})"))
+    return _event_columns(messages.select(from_avro(body, avro_schema).alias("event")))
