@@ -242,6 +242,15 @@ def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent
         "unit", "n", "length", (F.col("at") - F.col("before")).cast("int").alias("pos"), "token"
     )
     lists = write_table(kept.unionByName(filled), "shingle-lists")
+    # a shingle of one front only is shared after all where a filled list took it from beyond its own front
+    taken = lists.select("token").distinct().join(counts.select("token"), "token", "left_anti")
+    lone = postings.join(taken, "token", "left_semi").join(short.select(F.col("cls").alias("unit")), "unit", "left_anti")
+    lone = lone.filter(leading).unionByName(lone.filter(~leading).join(loose, "unit", "left_semi"))
+    lone = write_table(lone.select("unit", "n", "at", "token", F.lit(0).alias("late")), "shingle-lone")
+    ahead = placed.filter("late = 1").select("unit", "n", "at", "token", "late").join(lone.select("unit").distinct(), "unit", "left_semi")
+    lone = lone.unionByName(ahead).withColumns({"length": length, "pos": (F.col("at") - F.sum("late").over(so_far)).cast("int")})
+    lone = write_table(lone.filter((F.col("late") == 0) & (F.col("pos") < F.col("length"))).select("unit", "n", "length", "pos", "token"), "shingle-lone-lists")
+    lists = lists.unionByName(lone)
     lead = F.min(F.struct("unit", "n", "length", "pos")).alias("lead")
     first = lists.groupBy("token").agg(lead, F.count("*").alias("df")).filter("df > 1").select("token", *[F.col(f"lead.{c}").alias(f"b_{c}") for c in ("unit", "n", "length", "pos")])
     lists = write_table(lists.join(write_table(first, "shingle-pivots"), "token"), "shingle-shared")

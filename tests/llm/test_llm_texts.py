@@ -252,6 +252,21 @@ def test_shingle_components(spark, monkeypatch, words, percent, hot):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, words, percent)
 
 
+def test_short_texts_that_share_a_frequent_shingle(spark):
+    """Texts of 9 and 10 shingles, the first of which very many fronts hold: one list is filled up from beyond its front."""
+    known = shingles._WordHashes()
+    phrases = [f"p{k} q{k} r{k}" for k in range(5000)]
+    phrase = min(phrases, key=lambda p: shingles.shingle_set(p, 3, known)[0])
+    rows = []
+    for k in range(shingles.HOT + 20):
+        text = " ".join([phrase, *(f"w{k}x{i}" for i in range(8))])
+        rows += [(2 * k, text), (2 * k + 1, f"{text} more{k}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = shingles.similar_documents(df, "doc_id", "text", 3, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 3, 90)
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
+
+
 def test_shingles_on_odd_rows(spark):
     found = shingles.similar_documents(docs_of(spark, ODD), "doc_id", "text", 3, 90).collect()
     assert len(found) == len(ODD) and [r.component_id for r in found if r.doc_id is None] == [None]
