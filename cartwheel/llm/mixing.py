@@ -14,6 +14,8 @@ SWEEPS = 8
 TEMPERATURE = 0.5
 # the share of all tokens that the sample shall hold, and steps to find the rate that gives it
 BUDGET, RATE_STEPS = 0.5, 8
+# how near a sample that meets the targets comes to all tokens of the scarcest value
+ROOM = 0.9
 
 # the form a text has stands for its topic, told by marks it contains; the first that fits counts
 TOPICS = (
@@ -45,24 +47,44 @@ def tempered(cells: DataFrame, by: str, tokens: str, power: float) -> DataFrame:
     return shares.select(by, (F.pow("t", F.lit(power)) / total).alias("target"))
 
 
-def rake(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], sweeps: int = SWEEPS, most: float | None = None) -> DataFrame:
     """`cells` with `weight`: the share of all tokens each cell shall have so that every marginal meets its target.
 
     `cells` has one row per combination of `by`. A sweep scales the weights to
     the targets of each attribute in turn. Marginals are sums by key that are
     partly added up before the shuffle; weights are written down after every
-    sweep, so that no lineage grows. Cells without tokens keep weight 0.
+    sweep, so that no lineage grows. Cells without tokens keep weight 0. Weights
+    that `cells` has already are where it starts. With `most`, no cell's weight
+    exceeds its tokens times that: scaling and cutting in turn come to weights
+    that meet both, if there are any.
     """
-    current = cells.withColumn("weight", F.col(tokens).cast("double"))
+    current = cells if "weight" in cells.columns else cells.withColumn("weight", F.col(tokens).cast("double"))
     for _ in range(sweeps):
         for name in by:
             marginal = current.groupBy(name).agg(F.sum("weight").alias("_sum"))
             scale = marginal.join(targets[name], name).select(name, (F.col("target") / F.col("_sum")).alias("_scale"))
             current = current.join(scale, name, "left").withColumn("weight", F.coalesce(F.col("weight") * F.col("_scale"), F.lit(0.0))).drop("_scale")
+            if most is not None:
+                current = current.withColumn("weight", F.least("weight", F.col(tokens) * most))
         current = write_table(current, "raked-cells")
     return current
 
 
+def rake_within(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], total: float, budget: float, sweeps: int = SWEEPS) -> DataFrame:
+    """As `rake`, with weights as even as it takes for a sample of up to `budget` of the `total` tokens to meet the targets.
+
+    No sample without repeats is larger than the scarcest value allows. Aiming a
+    little below that, weights are first raked within what each cell holds, then
+    without that bound, so that the marginals are met in any case.
+    """
+    share = budget
+    for name in by:
+        held = cells.groupBy(name).agg(F.sum(tokens).alias("_sum")).join(targets[name].filter("target > 0"), name)
+        room = held.agg(F.min(F.col("_sum") / (F.col("target") * float(total)))).first()[0]
+        share = min(share, ROOM * room) if room else share
+    return rake(rake(cells, by, tokens, targets, 2 * sweeps, 1 / (share * total)), by, tokens, targets, 2 * sweeps)
+
+
 def uniform(key: Column, seed: int) -> Column:
     """A number in [0, 1) that follows from the key alone, so that a lost task draws the same again."""
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))), 1, 12), 16, 10).cast("double") / float(16**12)
@@ -78,6 +100,7 @@ def mix(
     budget: float = BUDGET,
     seed: int = 17,
     targets: dict[str, DataFrame] | None = None,
+    meet: bool = False,
 ) -> DataFrame:
     """`df` with `_cell_weight` (tokens in the target mix per token held), `_keep_probability` and `_kept`.
 
@@ -85,7 +108,9 @@ def mix(
     meet the targets (given, or `tempered` by default) of all attributes at once.
     A document is kept with a probability in proportion to its cell's weight, 1 at
     most, at the rate that gives `budget` of all tokens in expectation. A cell that
-    would need more than it holds keeps all of its documents; none repeats. NULL attributes are a value of their own, `unknown`. A
+    would need more than it holds keeps all of its documents; none repeats, and the sample falls short of the targets there.
+    With `meet` the sample meets the targets in expectation and `budget` is only an
+    upper limit: no probability is cut at 1. NULL attributes are a value of their own, `unknown`. A
     text without words weighs nothing and is kept with the probability of its
     cell. Rows with the same id are kept or left together; a NULL id is drawn as empty
     text. Columns named like the outputs are replaced.
@@ -97,12 +122,17 @@ def mix(
         labelled.groupBy(*names).agg(F.sum(words_in(F.col(text))).alias("_tokens")), "mixing-cells"
     )
     targets = targets or {a: write_table(tempered(cells, a, "_tokens", power), "mixing-targets") for a in names}
-    raked = rake(cells, names, "_tokens", targets, sweeps)
-    total = raked.agg(F.sum("_tokens")).first()[0] or 0
+    total = cells.agg(F.sum("_tokens")).first()[0] or 0
+    if meet and total:
+        raked = rake_within(cells, names, "_tokens", targets, total, budget, sweeps)
+    else:
+        raked = rake(cells, names, "_tokens", targets, sweeps)
     # tokens in the target mix per token held
     factors = raked.withColumn("__mix_factor", F.when(F.col("_tokens") > 0, F.col("weight") * float(total) / F.col("_tokens")))
     rate = budget
-    for _ in range(RATE_STEPS):
+    if meet:
+        rate = min(budget, 1 / (factors.agg(F.max("__mix_factor")).first()[0] or 1.0))
+    for _ in range(0 if meet else RATE_STEPS):
         held = factors.agg(F.sum(F.col("_tokens") * F.least(F.lit(1.0), F.col("__mix_factor") * rate))).first()[0]
         rate = rate * budget * total / held if held else rate
     factors = write_table(factors.select(*names, "__mix_factor", F.least(F.lit(1.0), F.col("__mix_factor") * rate).alias("__mix_p")), "mixing-factors")

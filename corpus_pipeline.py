@@ -39,8 +39,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet tempered shares of source, language and topic at once."""
-    return mixing.mix(docs, "doc_id", "text", mixing_attributes()).filter("_kept").select(*docs.columns)
+    """A sample whose tokens meet tempered shares of source, language and topic at once in expectation, half of all tokens at most."""
+    return mixing.mix(docs, "doc_id", "text", mixing_attributes(), meet=True).filter("_kept").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

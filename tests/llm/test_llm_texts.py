@@ -160,6 +160,21 @@ def test_mixing_meets_marginals(spark):
     assert abs(words[mixed._kept].sum() / words.sum() - mixing.BUDGET) < 0.05
 
 
+def test_keep_probabilities_meet_marginals(spark):
+    random = np.random.default_rng(7)
+    rows = [
+        (i, "w " * int(random.integers(1, 30)), "de" if random.random() < 0.1 else "en", "rare" if random.random() < 0.05 else "big") for i in range(3000)
+    ]
+    by = {"source": F.col("source"), "lang": F.col("lang")}
+    mixed = mixing.mix(docs_of(spark, rows), "doc_id", "text", by, power=0.5, sweeps=8, meet=True).toPandas()
+    words = mixed.text.str.split().str.len()
+    held = words * mixed._keep_probability
+    for name in ("_by_source", "_by_lang"):
+        tempered = words.groupby(mixed[name]).sum() ** 0.5
+        assert np.allclose(held.groupby(mixed[name]).sum() / held.sum(), tempered / tempered.sum(), atol=1e-3)
+    assert mixed._keep_probability.max() <= 1 and 0.1 < held.sum() / words.sum() <= mixing.BUDGET
+
+
 def test_mixing_on_odd_rows(spark):
     out = mixing.mix(docs_of(spark, ODD), "doc_id", "text", mixing_attributes())
     assert out.count() == len(ODD) and out.filter("_keep_probability IS NULL OR _kept IS NULL AND doc_id IS NOT NULL").count() == 0
