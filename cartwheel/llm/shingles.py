@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.llm.common import components
 from cartwheel.scratch import write_table
@@ -180,6 +181,23 @@ def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent
     documents with equal sets. A row with a NULL id takes no part and gets a NULL
     component. An empty table gives no rows.
     """
+    return similar_classes(df, doc_id, text, words, percent).drop("cls")
+
+
+def with_class(df: DataFrame, text: str, words: int) -> DataFrame:
+    """`df` with `_cls`, which tells equal shingle sets, as `cls` in `similar_classes` does."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
+        for batch in batches:
+            found = [_class_of(shingle_set(value.as_py(), words, known)) for value in batch.column(text)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, "_cls"])
+
+    return df.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField("_cls", T.LongType())]))
+
+
+def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """`similar_documents` with `cls`, the same for rows with equal shingle sets."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = write_table(docs.mapInArrow(_summaries(words, percent), "doc_id long, n long, cls long, front array<long>"), "shingle-rows")
     length = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
@@ -293,5 +311,5 @@ def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent
     result = write_table(named.join(lowest, "component").select("cls", "component_id"), "shingle-result")
     takes_part = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return rows.join(result, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(takes_part, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "cls", F.col("n").alias("n_shingles"), F.when(takes_part, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     )

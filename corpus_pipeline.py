@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import bpe, lines, mixing, shingles, toxicity
 from cartwheel.llm.queries import mixing_attributes, rank_file, toxicity_model
-from cartwheel.scratch import new_path
+from cartwheel.scratch import new_path, write_table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +31,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of documents connected by five-word shingles of similarity 0.8 or more, the one with the smallest id.
 
     Rows without an id are kept; of repeated rows with one id and equal shingles one is.
+    Rows with one id and other shingles are documents of their own.
     """
-    groups = shingles.similar_documents(docs, "doc_id", "text", words=5, percent=80)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return first.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    groups = write_table(shingles.similar_classes(docs, "doc_id", "text", words=5, percent=80).filter("doc_id IS NOT NULL"), "pipeline-groups")
+    ids = groups.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("component_id").alias("component_id")).filter("doc_id = component_id")
+    single = docs.join(ids.filter("rows = 1"), "doc_id", "left_semi")
+    # rows that share an id are told apart by their shingles, and equal ones stand in the order of their values
+    kept = groups.filter("doc_id = component_id").select("doc_id", F.col("cls").alias("_cls"))
+    repeated = shingles.with_class(docs.join(ids.filter("rows > 1"), "doc_id", "left_semi").select(*docs.columns), "text", words=5)
+    repeated = repeated.join(kept, ["doc_id", "_cls"], "left_semi").groupBy("doc_id", "_cls").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return single.select(*docs.columns).unionByName(repeated).unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

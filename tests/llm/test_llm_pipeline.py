@@ -47,3 +47,13 @@ def test_a_missing_part_of_a_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = write_table(stage(spark, docs, SF), "test-odd")
     assert docs.count() <= len(rows)
+
+
+def test_one_row_of_repeated_ids(spark):
+    """Equal texts under one id leave one row; so do copies that share an id with another text."""
+    long = " ".join(f"w{k}" for k in range(30))
+    rows = [(5, long), (5, long), (5, long.upper()), (3, "a b c d e f"), (3, "g h i j k l"), (4, "a b c d e f"), (4, "only this one here"), (2, ""), (2, ""), (None, "x"), (None, "x")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.one_of_each_group(spark, docs, SF).collect()
+    found = sorted(((r.doc_id or 0, r.text) for r in left))
+    assert found == sorted([(5, min(long, long.upper())), (3, "a b c d e f"), (3, "g h i j k l"), (4, "only this one here"), (2, ""), (0, "x"), (0, "x")])
