@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, cells, context_mixing, language, lines, mixing, scan, secrets, shingles, toxicity
+from cartwheel.llm import bpe, cells, context_mixing, language, lines, mixing, periodic, scan, secrets, shingles, toxicity
 from cartwheel.llm.common import documents, embeddings, hold_out, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_copies(embeddings(spark, sf_dir), "vec_id", "embedding", "label", least_cosine=0.98)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.expr(periodic.planted_period("doc_id", "text")).alias("text"))
+    found = periodic.find_runs(docs, "text").withColumns({name: F.expr(sql) for name, sql in periodic.summary().items()})
+    return found.select(
+        "doc_id",
+        "n_runs",
+        *[F.col(f"best.{n}").alias(n) for n in ("start", "length", "period")],
+        F.expr("cast(floor(1000 * best.length / best.period) AS bigint)").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
