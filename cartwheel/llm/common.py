@@ -22,6 +22,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}" in taken:
+        name = f"_{name}"
+    return f"_{name}"
+
+
 def hold_out(key: Column, folds: int, fold: int) -> Column:
     """True for rows whose crc32 of the id as text leaves `fold`; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds == fold

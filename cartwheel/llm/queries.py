@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, cells, context_mixing, language, lines, mixing, periodic, scan, secrets, shingles, toxicity
+from cartwheel.llm import bpe, cells, context_mixing, language, licenses, lines, mixing, periodic, scan, secrets, shingles, toxicity
 from cartwheel.llm.common import documents, embeddings, hold_out, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,15 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_copies(embeddings(spark, sf_dir), "vec_id", "embedding", "label", least_cosine=0.98)
 
 
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(documents(spark, sf_dir).select("doc_id", "text"), "text")
+    return found.select("doc_id", "n_words", *[F.expr(sql).alias(name) for name, sql in licenses.summary().items()])
+
+
+ORACLES["op12_licenses"] = licenses.oracle()
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.expr(periodic.planted_period("doc_id", "text")).alias("text"))
