@@ -7,63 +7,61 @@ from pyspark.sql import functions as F
 
 from cartwheel.scratch import write_table
 
-# a group of this many rows still sorts comfortably inside one task
-HOT_GROUP_ROWS = 1_000_000
+SLICE = "_slice"
 
 
-def hot_groups(df: DataFrame, key: str, min_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """(key, _rows) of the groups that are too large for one task."""
-    return df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > min_rows)
+def range_slices(df: DataFrame, key: list[str], order: list[str], name: str = "range-slices") -> DataFrame:
+    """`df` written down in the order of (key, order), with the number of the slice each row lies in.
 
+    A group of any size, that of the NULL key included, spreads over as many slices as its share of the rows is worth.
+    Slice numbers are written, since a recomputed range partitioning may cut elsewhere.
+    """
+    return write_table(df.repartitionByRange(*key, *order).withColumn(SLICE, F.spark_partition_id()), name)
 
-def number_within(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    out: str,
-    counted: DataFrame | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """`row_number` of each row within its `key` group by `order` (a total order).
 
-    Ordinary groups use a plain window. Hot groups are range-partitioned by
-    (key, order) so that one group spreads over many tasks; each slice is
-    numbered on its own and shifted by the sizes of the group's earlier slices.
+def _same(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
+    same = F.lit(True)
+    for name in key:
+        same = same & left[name].eqNullSafe(right[f"_{name}"])
+    return same
+
+
+def running(
+    slices: DataFrame, key: list[str], order: list[str], sums: dict[str, Column] | None = None, xors: dict[str, Column] | None = None
+) -> DataFrame:
+    """`slices` (of `range_slices`) with totals over each row's `key` group, from its first row by `order` (a total order) to the row itself.
 
-    Group sizes are counted on `counted` if given: a cheaper table that holds at
-    least the rows of `df`, such as one from before a dedupe.
+    Every slice is totalled on its own; a group that goes on from earlier slices
+    adds what it had there. Those additions are one row per slice border at most,
+    which is why they may be broadcast.
     """
-    hot = hot_groups(df if counted is None else counted, key, hot_rows)
-    if hot.isEmpty():
-        return _number(df, [key], order, out)
-    hot = write_table(hot, "hot-groups")
-    hot_total = hot.agg(F.sum("_rows")).first()[0]
-    ordinary = _number(df.join(hot, key, "left_anti"), [key], order, out)
-    split = _number_in_slices(df.join(hot, key, "left_semi"), key, order, out, hot_total)
-    return ordinary.unionByName(split)
-
-
-def _number(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-
-
-def _number_in_slices(df: DataFrame, key: str, order: list[str], out: str, rows: int) -> DataFrame:
-    shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(shuffle_partitions, rows // HOT_GROUP_ROWS + 1)
-    # slice numbers are written down: a recomputed range partitioning may cut elsewhere
-    sliced = write_table(
-        df.repartitionByRange(slices, key, *order).withColumn("_slice", F.spark_partition_id()),
-        "range-slices",
-    )
-    sizes = sliced.groupBy(key, "_slice").agg(F.count("*").alias("_size"))
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(key, "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"))
-    numbered = _number(sliced, [key, "_slice"], order, "_local")
-    return (
-        numbered.join(shift, [key, "_slice"])
-        .withColumn(out, (F.col("_local") + F.col("_shift")).cast("int"))
-        .drop("_local", "_shift", "_slice")
-    )
+    folds = {n: (F.sum, c) for n, c in (sums or {}).items()} | {n: (F.bit_xor, c) for n, c in (xors or {}).items()}
+    valued = slices.withColumns({n: c for n, (_, c) in folds.items()})
+    names = [f"_{name}" for name in key]
+    # only a slice's greatest key can go on in the next one
+    last = valued.groupBy(SLICE).agg(F.max(F.struct(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)])).alias("last"))
+    last = last.select("last.*").distinct()
+    parts = valued.join(F.broadcast(last), _same(valued, last, key), "left_semi").groupBy(*key, SLICE).agg(*[fold(n).alias(n) for n, (fold, _) in folds.items()])
+    earlier = Window.partitionBy(*key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(
+        *[F.col(k).alias(n) for k, n in zip(key, names, strict=True)],
+        F.col(SLICE).alias(f"_{SLICE}"),
+        *[fold(n).over(earlier).alias(f"_before_{n}") for n, (fold, _) in folds.items()],
+    ).filter(" OR ".join(f"`_before_{n}` IS NOT NULL" for n in folds))
+    so_far = Window.partitionBy(*key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = valued.withColumns({n: fold(n).over(so_far) for n, (fold, _) in folds.items()})
+    joined = within.join(F.broadcast(before), _same(within, before, [*key, SLICE]), "left")
+
+    def total(name: str, fold) -> Column:
+        start = F.coalesce(F.col(f"_before_{name}"), F.lit(0))
+        return F.col(name) + start if fold is F.sum else F.col(name).bitwiseXOR(start)
+
+    return joined.withColumns({n: total(n, fold) for n, (fold, _) in folds.items()}).select(*within.columns)
+
+
+def number_within(slices: DataFrame, key: list[str], order: list[str], out: str) -> DataFrame:
+    """The 1-based place of each row of `slices` in its `key` group by `order`."""
+    return running(slices, key, order, sums={out: F.lit(1)}).withColumn(out, F.col(out).cast("int")).drop(SLICE)
 
 
 def spread(column_values: list[Column], writers: int) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import first_category, is_type
-from cartwheel.functions.skew import HOT_GROUP_ROWS, number_within
+from cartwheel.functions.skew import SLICE, number_within, range_slices
 from cartwheel.functions.windows import EventClock
 from cartwheel.schemas import EMBEDDING_DIMS, OLDEST_RECENCY_BUCKET, RECENCY_BUCKETS, WINDOW_DAYS
 
@@ -78,10 +78,17 @@ def _pair_history(base: DataFrame, clock: EventClock, days: int) -> DataFrame:
     return _with_last_seen(totals.withColumns({c: F.when(recent, F.col(c)) for c in names}), clock)
 
 
-def session_positions(base: DataFrame, events: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Adds `pos`, the 1-based index of each row in its session. `events` is what `base` was made from, if stored."""
-    order = ["ts", "item_id", "event_type", "user_id"]
-    return number_within(base, "session_id", order, "pos", events, hot_rows)
+SESSION_ORDER = ["ts", "item_id", "event_type", "user_id"]
+
+
+def session_slices(base: DataFrame) -> DataFrame:
+    """`base` written in the order of sessions: a session of any size spreads over as many slices as it has rows for."""
+    return range_slices(base, ["session_id"], SESSION_ORDER, "session-slices")
+
+
+def session_positions(slices: DataFrame) -> DataFrame:
+    """Adds `pos`, the 1-based index of each row in its session, to what `session_slices` returned."""
+    return number_within(slices, ["session_id"], SESSION_ORDER, "pos")
 
 
 def _pair_sessions(positions: DataFrame) -> DataFrame:
@@ -90,13 +97,11 @@ def _pair_sessions(positions: DataFrame) -> DataFrame:
     )
 
 
-def ui_session_context(
-    base: DataFrame, events: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def ui_session_context(slices: DataFrame) -> DataFrame:
     """From the session in which the pair met most often: last position and number of meetings."""
     best = F.max(F.struct("events", "session_id", "position")).alias("best")
     return (
-        _pair_sessions(session_positions(base, events, hot_rows))
+        _pair_sessions(session_positions(slices))
         .groupBy(*PAIR)
         .agg(best)
         .select(
@@ -107,18 +112,16 @@ def ui_session_context(
     )
 
 
-def ui_session_context_spec(
-    base: DataFrame, events: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def ui_session_context_spec(slices: DataFrame) -> DataFrame:
     """From the pair's latest session: last position, and the number of all events in that session."""
     latest = F.max(F.struct("ended", "session_id", "position")).alias("latest")
-    totals = base.groupBy("session_id").agg(F.count("*").alias("ui_session_event_count"))
+    totals = slices.groupBy("session_id").agg(F.count("*").alias("ui_session_event_count"))
     return (
-        _pair_sessions(session_positions(base, events, hot_rows))
+        _pair_sessions(session_positions(slices))
         .groupBy(*PAIR)
         .agg(latest)
         .select(*PAIR, "latest.session_id", F.col("latest.position").alias("ui_position_in_session"))
-        .join(totals, "session_id")
+        .join(totals.withColumnRenamed("session_id", "_session"), F.col("session_id").eqNullSafe(F.col("_session")))
         .select(*PAIR, "ui_position_in_session", "ui_session_event_count")
     )
 
@@ -250,7 +253,6 @@ def cross_features(
     clock: EventClock,
     pairs: DataFrame | None = None,
     days: int = WINDOW_DAYS,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """All user-item features of `pairs` (default: observed pairs) whose user and item have features.
 
@@ -258,11 +260,11 @@ def cross_features(
     Everything keyed by pair is joined first, on one partitioning; the user and item lookups follow.
     """
     events = clock.history(events)
-    base = base_pairs(events)
-    facts = _pair_history(base, clock, days)
+    slices = session_slices(base_pairs(events))
+    facts = _pair_history(slices.drop(SLICE), clock, days)
     if pairs is not None:
         facts = pairs.select(*PAIR).distinct().join(facts, PAIR, "left")
-    facts = facts.join(ui_session_context(base, events, hot_rows), PAIR, "left")
+    facts = facts.join(ui_session_context(slices), PAIR, "left")
     derived = {**_price_columns(), **_match_flags()}
 
     user_columns = [F.col(c) for c in ("user_id", "user_avg_price_30d", "user_price_std_30d", "user_top_category_1")]

@@ -581,6 +581,10 @@ ORACLES: dict[str, str] = {
     "x2_ui_cooccurrence_10d_window": _sql("SELECT * FROM ui_cooccurrence", days=10),
     "x3_ui_session_context": _sql("SELECT * FROM ui_session_context"),
     "x3_ui_session_context_split_sessions": _sql("SELECT * FROM ui_session_context"),
+    "x3_ui_session_context_one_session": _sql(
+        """SELECT user_id, item_id, CAST(max(pos) AS INTEGER) AS ui_position_in_session, count(*) AS ui_session_event_count
+        FROM (SELECT *, row_number() OVER (ORDER BY ts, item_id, event_type, user_id) AS pos FROM base) GROUP BY user_id, item_id"""
+    ),
     "x3b_ui_session_context_spec": _sql("SELECT * FROM ui_session_context_spec"),
     "x4_ui_category_match": _sql(
         """SELECT user_id, item_id,

@@ -444,16 +444,17 @@ def _(spark, sf_dir):
     return pairs.ui_cooccurrence(pairs.base_pairs(silver(spark, sf_dir)), silver_clock(spark, sf_dir), days=10)
 
 
-def _sessions(name: str, build: Callable[..., DataFrame], **settings) -> None:
+def _sessions(name: str, build: Callable[[DataFrame], DataFrame], merged: bool = False) -> None:
     @query(name)
     def _(spark, sf_dir):
-        events = stored_silver(spark, sf_dir)
-        return build(pairs.base_pairs(events), events, **settings)
+        base = pairs.base_pairs(silver(spark, sf_dir))
+        # one session for all users is longer than any slice
+        return build(pairs.session_slices(base.withColumn("session_id", F.lit("s_all")) if merged else base))
 
 
 _sessions("x3_ui_session_context", pairs.ui_session_context)
-# the same result with nearly every session treated as a hot one
-_sessions("x3_ui_session_context_split_sessions", pairs.ui_session_context, hot_rows=1)
+_sessions("x3_ui_session_context_split_sessions", pairs.ui_session_context)
+_sessions("x3_ui_session_context_one_session", pairs.ui_session_context, merged=True)
 _sessions("x3b_ui_session_context_spec", pairs.ui_session_context_spec)
 
 

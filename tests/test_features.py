@@ -3,8 +3,10 @@ from collections import Counter, defaultdict
 
 import pytest
 from conftest import DAY, NEWEST, SF, event
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from cartwheel.functions.skew import range_slices, running
 from cartwheel.functions.windows import event_clock
 from cartwheel.operators import cleaning, entities, items, pairs, users
 from cartwheel.plans.queries import QUERIES
@@ -167,17 +169,59 @@ def expected_context(base):
     return {pair: (position, count) for pair, (count, _, position) in best.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20, 0])
-def test_session_positions_with_and_without_splitting(events_of, hot_rows):
+@pytest.fixture
+def many_slices(spark):
+    """Slices are as many as shuffle partitions, however small."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_positions_in_sessions_that_span_slices(events_of, many_slices):
     events, _ = silver(events_of, *random_rows(400))
     base = pairs.base_pairs(events)
-    found = {
-        (r.user_id, r.item_id): (r.ui_position_in_session, r.ui_session_event_count)
-        for r in pairs.ui_session_context(base, events, hot_rows).collect()
-    }
+    slices = pairs.session_slices(base)
+    assert slices.filter("session_id = 'big'").select("_slice").distinct().count() > 5
+    found = {(r.user_id, r.item_id): (r.ui_position_in_session, r.ui_session_event_count) for r in pairs.ui_session_context(slices).collect()}
     assert found == expected_context(base.collect())
 
 
+def test_positions_in_a_hot_null_session(events_of, many_slices):
+    """Rows without a session are one group like any other, and are split like it."""
+    events, _ = silver(events_of, *random_rows(300, seed=8))
+    base = pairs.base_pairs(events).withColumn("session_id", F.when(F.col("session_id") != "big", F.col("session_id")))
+    slices = pairs.session_slices(base)
+    assert slices.filter("session_id IS NULL").select("_slice").distinct().count() > 5
+    rows = [r.asDict() for r in pairs.session_positions(slices).collect()]
+    sessions = defaultdict(list)
+    for r in rows:
+        sessions[r["session_id"]].append((r["ts"], r["item_id"], r["event_type"], r["user_id"], r["pos"]))
+    assert len(rows) == base.count() and None in sessions
+    for members in sessions.values():
+        assert [m[-1] for m in sorted(members)] == list(range(1, len(members) + 1))
+    named = [Row(**{**r, "session_id": r["session_id"] or ""}) for r in rows]
+    found = {(r.user_id, r.item_id): (r.ui_position_in_session, r.ui_session_event_count) for r in pairs.ui_session_context(slices).collect()}
+    assert found == expected_context(named)
+    latest = pairs.ui_session_context_spec(slices).collect()
+    assert len(latest) == len(found) and max(r.ui_session_event_count for r in latest) == len(sessions[None])
+
+
+def test_running_sums_and_checksums(spark, many_slices):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 1, 1, 2]), k, rng.randrange(100)) for k in range(500)]
+    slices = range_slices(spark.createDataFrame(rows, "g int, at int, x long"), ["g"], ["at"])
+    out = running(slices, ["g"], ["at"], sums={"total": F.col("x"), "n": F.lit(1)}, xors={"check": F.col("x")}).collect()
+    expected, state = {}, defaultdict(lambda: [0, 0, 0])
+    for g, at, x in rows:
+        s = state[g]
+        s[:] = [s[0] + x, s[1] + 1, s[2] ^ x]
+        expected[at] = tuple(s)
+    assert {r.at: (r.total, r.n, r.check) for r in out} == expected and len(out) == len(rows)
+
+
 def test_pair_features_for_seen_and_unseen_pairs(spark, events_of):
     events, clock = silver(events_of, *random_rows(300), event(user_id="new", item_id="i99", ts=NEWEST - 40 * DAY))
     user_side = users.user_features(events, clock)
