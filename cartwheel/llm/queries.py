@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import bpe, cells, context_mixing, language, licenses, lines, mixing, periodic, scan, secrets, shingles, toxicity
+from cartwheel.llm import bpe, cells, context_mixing, language, licenses, lines, mixing, periodic, prefix_trie, scan, secrets, shingles, toxicity
 from cartwheel.llm.common import documents, embeddings, hold_out, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,12 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_copies(embeddings(spark, sf_dir), "vec_id", "embedding", "label", least_cosine=0.98)
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.trie(*prefix_trie.with_shared_openings(prefix_trie.numbered_turns(rows, "conv_id", "turn", "role", "text")))
+
+
 @query
 def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_licenses(documents(spark, sf_dir).select("doc_id", "text"), "text")
