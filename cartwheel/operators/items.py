@@ -21,6 +21,7 @@ from cartwheel.functions.exprs import (
 )
 from cartwheel.functions.windows import EventClock
 from cartwheel.schemas import EVENING, ITEM_NUM_ATTRIBUTES, ITEM_NUM_IMAGES, MORNING, WINDOW_DAYS
+from cartwheel.scratch import write_table
 
 ITEM = "item_id"
 ROUNDING = 1e-9
@@ -78,15 +79,20 @@ def item_distinct_users(events: DataFrame, clock: EventClock, days: int = WINDOW
         .groupBy(ITEM, "user_id")
         .agg(F.count_if(is_type("view")).alias("views"), F.count_if(is_type("purchase")).alias("purchases"))
     )
+    return distinct_users(per_user)
+
+
+def distinct_users(per_user: DataFrame) -> DataFrame:
+    """Viewers and buyers from views and purchases per (item, user)."""
     named = F.col("user_id").isNotNull()
-    return per_user.groupBy(ITEM).agg(
+    return per_user.filter(F.col(ITEM).isNotNull()).groupBy(ITEM).agg(
         F.count_if(named & (F.col("views") > 0)).alias("item_distinct_users_viewed_30d"),
         F.count_if(named & (F.col("purchases") > 0)).alias("item_distinct_users_purchased_30d"),
     )
 
 
 def item_recency(events: DataFrame, clock: EventClock) -> DataFrame:
-    return (
+    seen = (
         _known(clock.history(events))
         .groupBy(ITEM)
         .agg(
@@ -94,13 +100,17 @@ def item_recency(events: DataFrame, clock: EventClock) -> DataFrame:
             last_time("view").alias("last_view_ts"),
             last_time("purchase").alias("last_purchase_ts"),
         )
-        .withColumns(
-            {
-                "item_time_since_last_event_sec": seconds_between("last_ts", clock.as_of),
-                "item_time_since_last_view_sec": seconds_between("last_view_ts", clock.as_of),
-                "item_time_since_last_purchase_sec": seconds_between("last_purchase_ts", clock.as_of),
-            }
-        )
+    )
+    return with_recency(seen, clock)
+
+
+def with_recency(seen: DataFrame, clock: EventClock) -> DataFrame:
+    return seen.withColumns(
+        {
+            "item_time_since_last_event_sec": seconds_between("last_ts", clock.as_of),
+            "item_time_since_last_view_sec": seconds_between("last_view_ts", clock.as_of),
+            "item_time_since_last_purchase_sec": seconds_between("last_purchase_ts", clock.as_of),
+        }
     )
 
 
@@ -220,13 +230,17 @@ def item_features(
         .transform(item_rates)
         .transform(item_log_popularity)
     )
-    features = (
-        window.join(item_distinct_users(events, clock, days), ITEM, "left")
-        .join(item_recency(events, clock), ITEM, "left")
-        .join(item_content(items), ITEM, "left")
-    )
+    return assemble(window, item_distinct_users(events, clock, days), item_recency(events, clock), items, embeddings, declared_only)
+
+
+def assemble(
+    window: DataFrame, distinct: DataFrame, recency: DataFrame, items: DataFrame, embeddings: DataFrame | None = None, declared_only: bool = False
+) -> DataFrame:
+    """The pieces of the item features by item; the declared extras come from the window's totals."""
+    if declared_only:  # read once for the features and once per extra: written, so that events are not read as often
+        window = write_table(window, "item-window")
+    features = window.join(distinct, ITEM, "left").join(recency, ITEM, "left").join(item_content(items), ITEM, "left")
     if declared_only:
-        # both come from the window's aggregate: its shuffle is the same and is reused
         counted = window.select(ITEM, F.col("total_events_30d").alias("n"))
         priced = window.select(ITEM, "item_avg_price_30d")
         for extra in (_category_popularity(counted, items), _brand_popularity(counted, items), _discount_rate(priced, items)):

@@ -81,12 +81,12 @@ def user_diversity(events: DataFrame, clock: EventClock, days: int = WINDOW_DAYS
         .groupBy(USER)
         .agg(F.count_distinct("item_id").alias("user_distinct_items_viewed_30d"))
     )
-    return items.join(_distinct_categories(user_category_counts(events, clock, days)), USER, "left").fillna(
+    return items.join(distinct_categories(user_category_counts(events, clock, days)), USER, "left").fillna(
         0, ["user_distinct_categories_viewed_30d"]
     )
 
 
-def _distinct_categories(counts: DataFrame) -> DataFrame:
+def distinct_categories(counts: DataFrame) -> DataFrame:
     """Rows of `counts` are distinct categories. Reading `n` keeps this input identical to the one that ranks
     categories, so both share one shuffle."""
     seen = F.col("category").isNotNull() & (F.col("n") > 0)
@@ -109,10 +109,10 @@ def user_recency(events: DataFrame, clock: EventClock) -> DataFrame:
             last_time("purchase").alias("last_purchase_ts"),
         )
     )
-    return _with_recency(seen, clock)
+    return with_recency(seen, clock)
 
 
-def _with_recency(seen: DataFrame, clock: EventClock) -> DataFrame:
+def with_recency(seen: DataFrame, clock: EventClock) -> DataFrame:
     return seen.withColumns(
         {
             "user_time_since_last_event_sec": seconds_between("last_ts", clock.as_of),
@@ -128,7 +128,7 @@ def _session_lengths(events: DataFrame) -> DataFrame:
     return _known(events).groupBy(USER, "session_id").agg(F.count("*").alias("length"), F.max("ts").alias("ended"))
 
 
-def _length_stats(length: Column) -> list[Column]:
+def length_stats(length: Column) -> list[Column]:
     return [
         F.avg(length).alias("user_avg_session_length_events_30d"),
         F.percentile(length, F.lit(0.5)).alias("user_median_session_length_events_30d"),
@@ -141,7 +141,7 @@ def _length_of_last() -> Column:
 
 
 def user_sessions(events: DataFrame, clock: EventClock, days: int = WINDOW_DAYS) -> DataFrame:
-    return _session_lengths(clock.recent(events, days)).groupBy(USER).agg(*_length_stats(F.col("length")))
+    return _session_lengths(clock.recent(events, days)).groupBy(USER).agg(*length_stats(F.col("length")))
 
 
 def user_last_session(events: DataFrame, clock: EventClock) -> DataFrame:
@@ -163,10 +163,10 @@ def user_temporal_mix(events: DataFrame, clock: EventClock, days: int = WINDOW_D
 
 
 def user_top_categories(events: DataFrame, clock: EventClock, days: int = WINDOW_DAYS) -> DataFrame:
-    return _top_three(user_category_counts(events, clock, days))
+    return top_three(user_category_counts(events, clock, days))
 
 
-def _top_three(counts: DataFrame) -> DataFrame:
+def top_three(counts: DataFrame) -> DataFrame:
     """The three most frequent categories, ties by name; `rank <= 3` is cut on the map side as well."""
     by_frequency = Window.partitionBy(USER).orderBy(F.desc("n"), "category")
     top = counts.withColumn("rank", F.row_number().over(by_frequency)).filter(F.col("rank") <= 3)
@@ -207,8 +207,8 @@ def user_features(
     features = (
         user_conversion(window)
         .join(_history(events, clock, days, short_days), USER, "left")
-        .join(_distinct_categories(counts), USER, "left")
-        .join(_top_three(counts), USER, "left")
+        .join(distinct_categories(counts), USER, "left")
+        .join(top_three(counts), USER, "left")
         .fillna(0, ["user_distinct_categories_viewed_30d"])
     )
     return features if embeddings is None else features.join(embeddings, USER, "left")
@@ -237,8 +237,8 @@ def _history(events: DataFrame, clock: EventClock, days: int, short_days: int) -
         F.max("viewed").alias("last_view_ts"),
         F.max("carted").alias("last_cart_ts"),
         F.max("purchased").alias("last_purchase_ts"),
-        *_length_stats(F.when(F.col("in_window") > 0, F.col("in_window"))),
+        *length_stats(F.when(F.col("in_window") > 0, F.col("in_window"))),
         F.nullif(F.count_if(F.col("in_short") > 0), F.lit(0)).alias("user_sessions_7d"),
         _length_of_last(),
     )
-    return _with_recency(seen, clock)
+    return with_recency(seen, clock)

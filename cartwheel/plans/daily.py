@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date as Date
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,15 +14,26 @@ from cartwheel.operators.cleaning import silver_events
 from cartwheel.operators.entities import silver_items, silver_items_with_catalog, silver_users
 from cartwheel.operators.items import item_features
 from cartwheel.operators.pairs import cross_features
+from cartwheel.operators.states import (
+    day_states,
+    in_days,
+    item_features_from_states,
+    item_lives,
+    item_sketches,
+    user_features_from_states,
+    user_lives,
+    user_sketches,
+)
 from cartwheel.operators.text import embed, item_documents
 from cartwheel.operators.users import user_category_docs, user_features
 from cartwheel.operators.views import feature_view, materialize
-from cartwheel.schemas import CROSS_VIEW, ITEM_VIEW, USER_VIEW, FeatureView
+from cartwheel.schemas import CROSS_VIEW, ITEM_VIEW, USER_VIEW, WINDOW_DAYS, FeatureView
 from cartwheel.sources.online import online_upsert
 from cartwheel.sources.tables import (
     bronze_scan,
     feature_source,
     table_scan,
+    write_day_states,
     write_entity_table,
     write_gold_snapshot,
     write_silver_events,
@@ -94,6 +108,52 @@ class DailyJobs:
         features = item_features(events, items, self.clock(events), embeddings, declared_only=declared_only)
         self._write_gold(features, "gold/item_features")
 
+    # ---- the same snapshots from daily states: a day's run reads one day of events ----
+
+    @property
+    def day(self) -> Date:
+        return Date.fromisoformat(self.date)
+
+    def states(self, *names: str) -> dict[str, DataFrame]:
+        return {name: self.read(f"state/{name}") for name in names}
+
+    def lives(self, name: str, before: bool = False) -> DataFrame:
+        """First and last times as of this date, or as of the newest earlier one."""
+        table = self.read(f"state/{name}").withColumn("date", F.col("date").cast("string"))
+        date = table.filter(F.col("date") < self.date).agg(F.max("date")).first()[0] if before else self.date
+        return table.filter(F.col("date") == date).drop("date")
+
+    def day_states(self, first: str | None = None, sketches: bool = False) -> None:
+        """Add this date's states to those of earlier days; with `first`, start anew with all days from there on.
+
+        Reads this date's events, the session states of the window before, and the last
+        lives. Dates run in order; one that is run again replaces its own states, and those after it are to be run again too.
+        """
+        begin = Date.fromisoformat(first) if first else self.day
+        days = (self.day - begin).days + 1
+        events = in_days(self.read("silver/events"), self.day, days)
+        known = None if first else in_days(self.read("state/sessions"), begin - timedelta(days=1), WINDOW_DAYS)
+        for name, rows in day_states(events, known).items():
+            write_day_states(rows, self.path(f"state/{name}"), self.fmt)
+        new = {name: in_days(rows, self.day, days) for name, rows in self.states("sessions", "items", "pairs").items()}
+        if sketches:
+            write_day_states(user_sketches(new["pairs"], new["sessions"]), self.path("state/user_sketches"), self.fmt)
+            write_day_states(item_sketches(new["pairs"]), self.path("state/item_sketches"), self.fmt)
+        for name, build, rows in (("user_lives", user_lives, new["sessions"]), ("item_lives", item_lives, new["items"])):
+            self._write_gold(build(rows, None if first else self.lives(name, before=True)), f"state/{name}")
+
+    def gold_users_from_states(self, as_of: Column | None = None, approximate: bool = False, name: str = "gold/user_features") -> None:
+        states = self.states("sessions", "categories", "user_sketches" if approximate else "pairs")
+        features = user_features_from_states(states, self.lives("user_lives"), self.day, as_of, approximate=approximate)
+        self._write_gold(features, name)
+
+    def gold_items_from_states(self, as_of: Column | None = None, declared_only: bool = False, approximate: bool = False) -> None:
+        states = self.states("items", "item_sketches" if approximate else "pairs")
+        features = item_features_from_states(
+            states, self.lives("item_lives"), self.read("silver/items"), self.day, as_of, declared_only=declared_only, approximate=approximate
+        )
+        self._write_gold(features, "gold/item_features")
+
     def gold_pairs(self, pairs: DataFrame | None = None) -> None:
         events = self.read("silver/events")
         users, items = self.snapshot("gold/user_features"), self.snapshot("gold/item_features")

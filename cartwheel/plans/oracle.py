@@ -721,3 +721,32 @@ ORACLES["i13_item_features"] = _sql(
 ORACLES["i13_item_features_10d_window"] = _sql(
     f"SELECT * EXCLUDE (anchor) REPLACE ({_r(*ITEM_DOUBLES)}, {PATH}) FROM item_features", 10
 )
+
+
+def _as_of_day(text: str, age: int) -> str:
+    """`text` as of the end of the day that lies so many days before the newest, later events not having happened; items stay."""
+    end = f"(SELECT CAST(max(event_date) + {1 - age} AS TIMESTAMP) - INTERVAL 1 MICROSECOND FROM all_silver)"
+    for old, new in (
+        ("silver AS (", "all_silver AS ("),
+        ("clock AS (SELECT max(ts) AS anchor FROM silver)", f"silver AS (SELECT * FROM all_silver WHERE ts <= {end}), clock AS (SELECT {end} AS anchor)"),
+    ):
+        assert text.count(old) == 1
+        text = text.replace(old, new)
+    before, after = text.split("silver_items AS (", 1) if "silver_items AS (" in text else (text, None)
+    text = text if after is None else before + "silver_items AS (" + after.replace("FROM silver", "FROM all_silver", 1)
+    day = f"(SELECT strftime(max(event_date) - {age}, '%Y-%m-%d') FROM all_silver)"
+    return text.replace(" * EXCLUDE (anchor)", f" {day} AS date, * EXCLUDE (anchor)")
+
+
+def _daily(text: str) -> str:
+    """The snapshots of the three newest days."""
+    return " UNION ALL BY NAME ".join(f"SELECT * FROM ({_as_of_day(text, age)})" for age in (2, 1, 0))
+
+
+ORACLES["u14_user_features_from_states"] = _daily(ORACLES["u14_user_features"])
+ORACLES["i13_item_features_from_states"] = _daily(ORACLES["i13_item_features"])
+ORACLES["u14_user_features_sketched"] = f"""
+    SELECT date, count(*) AS users, CAST(sum(user_distinct_items_viewed_30d) AS BIGINT) AS sum_user_distinct_items_viewed_30d,
+           CAST(sum(user_sessions_7d) AS BIGINT) AS sum_user_sessions_7d,
+           0::BIGINT AS off_user_distinct_items_viewed_30d, 0::BIGINT AS off_user_sessions_7d
+    FROM ({ORACLES["u14_user_features_from_states"]}) GROUP BY date"""

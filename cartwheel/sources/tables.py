@@ -41,6 +41,18 @@ def write_silver_events(events: DataFrame, path: str, fmt: str = "parquet", repl
     )
 
 
+def write_day_states(states: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace the days that `states` holds and leave the others alone."""
+    (
+        states.hint("rebalance", EVENT_PARTITIONS[0])
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(EVENT_PARTITIONS[0])
+        .save(path)
+    )
+
+
 def write_entity_table(entities: DataFrame, path: str, fmt: str = "parquet") -> None:
     entities.write.format(fmt).mode("overwrite").save(path)
 
