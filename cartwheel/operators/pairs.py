@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import first_category, is_type
-from cartwheel.functions.skew import SLICE, number_within, range_slices
+from cartwheel.functions.skew import SLICE, number_within, range_slices, spread
 from cartwheel.functions.windows import EventClock
 from cartwheel.schemas import EMBEDDING_DIMS, OLDEST_RECENCY_BUCKET, RECENCY_BUCKETS, WINDOW_DAYS
+from cartwheel.scratch import write_table
 
 PAIR = ["user_id", "item_id"]
 LAST_SEEN = "ui_time_since_user_last_interaction_with_item_sec"
@@ -42,9 +43,41 @@ def observed_pairs(events: DataFrame) -> DataFrame:
     return _keyed(events).select(*PAIR).distinct()
 
 
-def candidate_pairs(events: DataFrame, requested: DataFrame) -> DataFrame:
+def candidate_pairs(events: DataFrame, requested: DataFrame, *more: DataFrame) -> DataFrame:
     """Observed pairs and the pairs a caller asks for, each once."""
-    return observed_pairs(events).union(_keyed(requested).select(*PAIR)).distinct()
+    found = observed_pairs(events)
+    for pairs in (requested, *more):
+        found = found.union(_keyed(pairs).select(*PAIR))
+    return found.distinct()
+
+
+def busiest_items(events: DataFrame, items: DataFrame, clock: EventClock, per_category: int, days: int = WINDOW_DAYS) -> DataFrame:
+    """(category, item_id): the items with most window events among those whose path holds the category, ties by id.
+
+    The rank is cut in every task before the shuffle, so a category that a third of
+    all items belong to brings `per_category` rows per task to where it is ranked.
+    """
+    counts = _keyed(clock.recent(events, days)).groupBy("item_id").agg(F.count("*").alias("n"))
+    filed = items.select("item_id", F.explode(F.array_distinct("category_path")).alias("category")).filter("category IS NOT NULL")
+    by_events = Window.partitionBy("category").orderBy(F.desc("n"), "item_id")
+    ranked = filed.join(counts, "item_id").withColumn("rank", F.row_number().over(by_events))
+    return ranked.filter(F.col("rank") <= per_category).select("category", "item_id")
+
+
+def category_pairs(
+    events: DataFrame, users: DataFrame, items: DataFrame, clock: EventClock, per_category: int = 20, days: int = WINDOW_DAYS, salts: int = 16
+) -> DataFrame:
+    """Each user with the busiest items of their top three categories: at most three times `per_category` pairs a user.
+
+    The items of a category travel as one short list, in `salts` copies, so that
+    the users of a category that everyone prefers are dealt over as many tasks.
+    """
+    busiest = busiest_items(events, items, clock, per_category, days).groupBy("category").agg(F.collect_list("item_id").alias("listed"))
+    busiest = busiest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    wanted = users.filter(F.col("user_id").isNotNull()).select("user_id", F.explode(F.array_compact(F.array(*TOP_CATEGORIES))).alias("category"))
+    wanted = wanted.withColumn("salt", spread([F.col("user_id")], salts).cast("int"))
+    met = wanted.join(busiest, ["category", "salt"]).select("user_id", F.explode("listed").alias("item_id"))
+    return met.distinct()
 
 
 def ui_recency(base: DataFrame, clock: EventClock) -> DataFrame:
@@ -219,7 +252,14 @@ def _affinity(
     pairs: DataFrame, events: DataFrame, labelled: DataFrame, clock: EventClock, days: int, out: str
 ) -> DataFrame:
     """Share of the user's window events that fall on items with the pair's item label."""
-    met = _keyed(clock.recent(events, days)).groupBy(*PAIR).agg(F.count("*").alias("n"))
+    return _share_of_label(pairs, _met(events, clock, days), labelled, out)
+
+
+def _met(events: DataFrame, clock: EventClock, days: int) -> DataFrame:
+    return _keyed(clock.recent(events, days)).groupBy(*PAIR).agg(F.count("*").alias("n"))
+
+
+def _share_of_label(pairs: DataFrame, met: DataFrame, labelled: DataFrame, out: str) -> DataFrame:
     by_label = met.join(labelled, "item_id").groupBy("user_id", "label").agg(F.sum("n").alias("on_label"))
     by_user = met.groupBy("user_id").agg(F.sum("n").alias("total"))
     scores = by_label.join(by_user, "user_id").select(
@@ -253,10 +293,11 @@ def cross_features(
     clock: EventClock,
     pairs: DataFrame | None = None,
     days: int = WINDOW_DAYS,
+    declared_only: bool = False,
 ) -> DataFrame:
     """All user-item features of `pairs` (default: observed pairs) whose user and item have features.
 
-    `users` and `items` are the two feature tables; similarity is added where both carry embeddings.
+    `declared_only=True` adds the two affinities that the catalogue declares beyond the computed set. `users` and `items` are the two feature tables; similarity is added where both carry embeddings.
     Everything keyed by pair is joined first, on one partitioning; the user and item lookups follow.
     """
     events = clock.history(events)
@@ -275,8 +316,16 @@ def cross_features(
         derived["ui_user_item_similarity_emb"] = dot(F.col("user_emb"), F.col("item_emb"))
     derived |= {"ui_user_item_exploration_score": exploration_score(), "ui_recency_bucket": recency_bucket()}
 
-    return (
+    features = (
         facts.join(users.select(*user_columns), "user_id")
         .join(items.select(*item_columns), "item_id")
         .select(*PAIR, *[c for c in facts.columns if c not in PAIR], *[c.alias(name) for name, c in derived.items()])
     )
+    if not declared_only:
+        return features
+    features = write_table(features, "pair-features")  # read for the pairs of each affinity and for the features
+    met = write_table(_met(events, clock, days), "pair-events")
+    for label, out in ((first_category(), "ui_category_affinity_score"), (F.col("brand"), "ui_brand_affinity_score")):
+        scores = _share_of_label(features.select(*PAIR), met, items.select("item_id", label.alias("label")), out)
+        features = features.join(scores, PAIR)
+    return features

@@ -6,6 +6,7 @@ import re
 
 from cartwheel.plans.queries import SNAPSHOT_AGES
 from cartwheel.schemas import (
+    CROSS_CATALOG,
     CROSS_VIEW,
     DEVICES,
     EVENT_TYPES,
@@ -226,6 +227,11 @@ PARTS: dict[str, str] = {
     "requested": "SELECT DISTINCT user_id, item_id FROM raw WHERE event_type = 'error'",
     "observed": "SELECT DISTINCT user_id, item_id FROM silver",
     "candidates": "SELECT * FROM observed UNION SELECT * FROM requested",
+    "busiest": """
+        SELECT category, item_id FROM (
+          SELECT category, item_id, row_number() OVER (PARTITION BY category ORDER BY n DESC, item_id) AS rn
+          FROM (SELECT DISTINCT item_id, unnest(category_path) AS category FROM silver_items)
+          JOIN (SELECT item_id, count(*) AS n FROM recent GROUP BY item_id) USING (item_id) WHERE category IS NOT NULL) WHERE rn <= 5""",
     "ui_recency": f"""
         SELECT *, {_since('last_ui_ts')} AS ui_time_since_user_last_interaction_with_item_sec
         FROM (SELECT user_id, item_id, max(ts) AS last_ui_ts FROM base GROUP BY user_id, item_id), clock""",
@@ -386,6 +392,7 @@ ITEM_DOUBLES = [
     "item_evening_view_share_30d",
 ]
 DECLARED_DOUBLES = ["item_category_popularity_30d", "item_brand_popularity_30d", "item_discount_rate_avg_30d"]
+AFFINITIES = ["ui_category_affinity_score", "ui_brand_affinity_score"]
 CROSS_DOUBLES = ["ui_price_diff_from_user_avg", "ui_price_zscore_for_user", "ui_user_item_exploration_score"]
 
 _JSON_EVENT = f"user_id, session_id, item_id, event_type, round(price::FLOAT::DOUBLE, 8) AS price, {PATH}, device, page, referrer"
@@ -408,6 +415,10 @@ _COMPUTED_INTS = {
     "item_description_length_chars",
     "item_num_images",
     "item_num_attributes",
+    "ui_same_category_flag",
+    "ui_same_top_category_flag",
+    "ui_position_in_session",
+    "ui_recency_bucket",
 }
 
 
@@ -415,7 +426,7 @@ def _profile(catalog: list[Feature], table: str) -> str:
     rows = []
     for f in catalog:
         start = f"SELECT '{f.name}' AS feature, '{f.family}' AS family, '{f.dtype}' AS declared_dtype, count(*) AS row_count"
-        if f.family == "embedding":
+        if f.family in ("embedding", "similarity"):
             rows.append(
                 f"{start}, false AS present, false AS dtype_matches, NULL::BIGINT AS null_count, "
                 f"NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value FROM {table}"
@@ -474,6 +485,12 @@ _AFFINITY = """
     LEFT JOIN (SELECT user_id, count(*) AS total FROM recent GROUP BY user_id) t USING (user_id)"""
 
 
+_AFFINITY_LABELS = {"ui_category_affinity_score": "category_path[1]", "ui_brand_affinity_score": "brand"}
+PARTS["cross_features_declared"] = "SELECT * FROM cross_features " + " ".join(
+    f"JOIN ({_AFFINITY.replace('{out}', out).replace('{label}', label)}) USING (user_id, item_id)" for out, label in _AFFINITY_LABELS.items()
+)
+
+
 def _affinity(out: str, label: str) -> str:
     return _sql(_AFFINITY.replace("{out}", out).replace("{label}", label))
 
@@ -629,9 +646,16 @@ ORACLES: dict[str, str] = {
     "x9_ui_category_affinity": _affinity("ui_category_affinity_score", "category_path[1]"),
     "x10_ui_brand_affinity": _affinity("ui_brand_affinity_score", "brand"),
     "x11_cross_features": _sql(_rounded("cross_features", CROSS_DOUBLES)),
+    "x11_cross_features_declared": _sql(_rounded("cross_features_declared", [*CROSS_DOUBLES, *AFFINITIES]), pairs="candidates"),
     "x11_cross_features_requested_pairs": _sql(_rounded("cross_features", CROSS_DOUBLES), pairs="candidates"),
     "x11_cross_features_10d_window": _sql(_rounded("cross_features", CROSS_DOUBLES), days=10, pairs="candidates"),
     "x12_candidate_pairs": _sql("SELECT * FROM candidates"),
+    "x12_candidate_pairs_by_category": _sql(
+        """SELECT * FROM candidates UNION SELECT user_id, item_id FROM
+        (SELECT user_id, unnest([user_top_category_1, user_top_category_2, user_top_category_3]) AS category FROM user_top_categories)
+        JOIN busiest USING (category)"""
+    ),
+    "x12_busiest_items_10d_window": _sql("SELECT * FROM busiest", days=10),
     "r1_watermark": _sql(
         """, timed_ids AS (
           SELECT make_timestamp(ts * 1000) AS ts, event_type,
@@ -700,6 +724,7 @@ ORACLES: dict[str, str] = {
         LEFT JOIN snapshots s USING (user_id, date)"""
     ),
     "f7_catalog_profile": _sql(_profile(USER_CATALOG, "user_features")),
+    "f7_pair_catalog_profile": _sql(_profile(CROSS_CATALOG, "cross_features_declared"), pairs="candidates"),
     "f7_item_catalog_profile": _sql(_profile(ITEM_CATALOG, "item_features_declared")),
 }
 for name, days in {"": 30, "_10d_window": 10}.items():

@@ -15,6 +15,7 @@ from cartwheel.operators import cleaning, entities, items, pairs, text, users, v
 from cartwheel.plans.daily import DailyJobs
 from cartwheel.plans.retail_tables import catalog, numbered_events, raw_event_stream, raw_events, raw_events_without_paths, table
 from cartwheel.schemas import (
+    CROSS_CATALOG,
     CROSS_VIEW,
     ITEM_CATALOG,
     ITEM_VIEW,
@@ -509,6 +510,20 @@ def _(spark, sf_dir):
     return pairs.candidate_pairs(silver(spark, sf_dir), requested_pairs(spark, sf_dir))
 
 
+@query("x12_candidate_pairs_by_category")
+def _(spark, sf_dir):
+    """Observed and requested pairs, and each user's top categories' five busiest items."""
+    events, clock = stored_silver(spark, sf_dir), silver_clock(spark, sf_dir)
+    by_category = pairs.category_pairs(events, users.user_top_categories(events, clock), entities.silver_items(events), clock, per_category=5)
+    return pairs.candidate_pairs(events, requested_pairs(spark, sf_dir), by_category)
+
+
+@query("x12_busiest_items_10d_window")
+def _(spark, sf_dir):
+    events = stored_silver(spark, sf_dir)
+    return pairs.busiest_items(events, entities.silver_items(events), silver_clock(spark, sf_dir), per_category=5, days=10)
+
+
 def _match(name: str, build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> None:
     @query(name)
     def _(spark, sf_dir):
@@ -578,14 +593,14 @@ _affinity("x9_ui_category_affinity", pairs.ui_category_affinity)
 _affinity("x10_ui_brand_affinity", pairs.ui_brand_affinity)
 
 
-def gold_pairs(spark: SparkSession, sf_dir: str, requested: bool, days: int = 30) -> DataFrame:
+def gold_pairs(spark: SparkSession, sf_dir: str, requested: bool, days: int = 30, declared_only: bool = False) -> DataFrame:
     events, clock = stored_silver(spark, sf_dir), silver_clock(spark, sf_dir)
     user_side = write_table(users.user_features(events, clock, days=days), "user-features")
     item_side = write_table(
         items.item_features(events, catalogued_items(spark, sf_dir, events), clock, days=days), "item-features"
     )
     wanted = pairs.candidate_pairs(events, requested_pairs(spark, sf_dir)) if requested else None
-    return pairs.cross_features(events, user_side, item_side, clock, wanted, days)
+    return pairs.cross_features(events, user_side, item_side, clock, wanted, days, declared_only)
 
 
 @query("x11_cross_features")
@@ -598,6 +613,11 @@ def _(spark, sf_dir):
     return gold_pairs(spark, sf_dir, requested=True)
 
 
+@query("x11_cross_features_declared")
+def _(spark, sf_dir):
+    return gold_pairs(spark, sf_dir, requested=True, declared_only=True)
+
+
 @query("x11_cross_features_10d_window")
 def _(spark, sf_dir):
     return gold_pairs(spark, sf_dir, requested=True, days=10)
@@ -732,6 +752,11 @@ def _(spark, sf_dir):
     return views.catalog_profile(gold_users(spark, sf_dir), USER_CATALOG)
 
 
+@query("f7_pair_catalog_profile")
+def _(spark, sf_dir):
+    return views.catalog_profile(gold_pairs(spark, sf_dir, requested=True, declared_only=True), CROSS_CATALOG)
+
+
 @query("f7_item_catalog_profile")
 def _(spark, sf_dir):
     return views.catalog_profile(gold_items(spark, sf_dir, declared_only=True), ITEM_CATALOG)
