@@ -105,8 +105,12 @@ def event_contract_report(raw: DataFrame) -> DataFrame:
     return counts.select("checked", F.inline(F.array(*per_rule)))
 
 
+def broken_rules() -> Column:
+    """Names of the contract rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in _violations().items()]))
+
+
 def split_by_contract(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that keep the contract, quarantined rows with the rules they break)."""
-    broken = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in _violations().items()]))
-    judged = raw.withColumn("broken_rules", broken)
+    judged = raw.withColumn("broken_rules", broken_rules())
     return judged.filter(F.size("broken_rules") == 0).drop("broken_rules"), judged.filter(F.size("broken_rules") > 0)

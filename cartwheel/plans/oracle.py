@@ -485,6 +485,10 @@ _AFFINITY = """
     LEFT JOIN (SELECT user_id, count(*) AS total FROM recent GROUP BY user_id) t USING (user_id)"""
 
 
+PARTS["lettered"] = f"""
+    SELECT *, CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'parses'
+              ELSE concat_ws(',', {', '.join(f"CASE WHEN {broken} THEN '{rule}' END" for rule, broken in _CONTRACT.items())}) END AS rules
+    FROM (SELECT * REPLACE (make_timestamp(ts * 1000) AS ts) FROM numbered)"""
 _AFFINITY_LABELS = {"ui_category_affinity_score": "category_path[1]", "ui_brand_affinity_score": "brand"}
 PARTS["cross_features_declared"] = "SELECT * FROM cross_features " + " ".join(
     f"JOIN ({_AFFINITY.replace('{out}', out).replace('{label}', label)}) USING (user_id, item_id)" for out, label in _AFFINITY_LABELS.items()
@@ -672,6 +676,30 @@ ORACLES: dict[str, str] = {
           AND window_start + INTERVAL 5 MINUTE <= (SELECT max(mark) FROM marks)
         GROUP BY 1, 2, 3"""
     ).replace(") , timed_ids", "), timed_ids"),
+    "c7_dedupe_stream": _sql(f"SELECT {EVENT} FROM silver"),
+    "r3_session_updates": _sql(
+        """, gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 12 HOUR, true) AS opens FROM keyed),
+        numbered_sessions AS (SELECT *, sum(opens::INTEGER) OVER (PARTITION BY user_id ORDER BY ts) AS nr FROM gaps)
+        SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 12 HOUR AS session_end, CAST(count(*) AS INTEGER) AS session_len,
+               CAST(count(*) FILTER (WHERE event_type IN ('view', 'add_to_cart')) AS INTEGER) AS clicks_in_session,
+               epoch_us(max(ts)) // 1000000 * 1000 AS last_event_ts
+        FROM numbered_sessions GROUP BY user_id, nr
+        HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) - INTERVAL 12 DAY FROM keyed)"""
+    ).replace(") , gaps", "), gaps"),
+    "r5_rt_item_popularity_fresh": _sql(
+        f""", days AS (SELECT *, CAST(ts AS DATE) AS day FROM timed),
+        span AS (SELECT min(day) AS first, max(day) AS last FROM days),
+        arrived_in AS (SELECT ts, (day - first) * 3 // (last - first + 1) AS arrival, day FROM days, span),
+        marks AS (SELECT arrival, max(ts) - INTERVAL 10 SECOND AS mark, min(day) AS day FROM arrived_in GROUP BY arrival),
+        told AS (SELECT r.*, (SELECT min(arrival) FROM marks WHERE mark >= r.window_end) AS arrival FROM rt_items r),
+        volumes AS (SELECT arrival, item_id, count(*) AS n FROM silver, marks
+                    WHERE arrival > 0 AND ts <= CAST(marks.day AS TIMESTAMP) AND ts >= CAST(marks.day AS TIMESTAMP) - INTERVAL 30 DAY GROUP BY 1, 2)
+        SELECT t.* EXCLUDE (category_hint, arrival) REPLACE ({_r(*_RT_ITEMS)}),
+        round(rt_item_event_rate_per_min_5m - coalesce(n, 0) / 43200.0::DOUBLE, 8) AS rt_item_popularity_delta_vs_30d
+        FROM told t LEFT JOIN volumes USING (arrival, item_id)"""
+    ).replace(") , days", "), days"),
+    "c9_kept_messages": _sql(f"SELECT {_JSON_EVENT}, ts FROM lettered WHERE rules = ''"),
+    "c9_dead_letters": _sql("SELECT rules, count(*) AS letters FROM lettered WHERE rules <> '' GROUP BY rules"),
     "r2_rt_user_features": _sql(_rounded("rt_users", list(_RT_USERS))),
     "r3_user_feature_update": _sql(
         """SELECT user_id, CAST(rt_user_current_session_length AS INTEGER) AS session_len,
@@ -775,3 +803,28 @@ ORACLES["u14_user_features_sketched"] = f"""
            CAST(sum(user_sessions_7d) AS BIGINT) AS sum_user_sessions_7d,
            0::BIGINT AS off_user_distinct_items_viewed_30d, 0::BIGINT AS off_user_sessions_7d
     FROM ({ORACLES["u14_user_features_from_states"]}) GROUP BY date"""
+
+
+def _over(name: str, *changes: tuple[str, str]) -> str:
+    """Another query's twin with parts of it changed."""
+    text = ORACLES[name]
+    for old, new in changes:
+        assert old in text, old
+        text = text.replace(old, new)
+    return text
+
+
+_ROLLING = (
+    "time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,",
+    "time_bucket(INTERVAL 1 MINUTE, ts) - before * INTERVAL 1 MINUTE AS window_start,",
+), (
+    "time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end FROM timed",
+    "time_bucket(INTERVAL 1 MINUTE, ts) - before * INTERVAL 1 MINUTE + INTERVAL 5 MINUTE AS window_end FROM timed, range(5) AS panes(before)",
+)
+ORACLES["r2_rt_user_features_rolling"] = _over("r2_rt_user_features", *_ROLLING)
+ORACLES["r4_rt_item_features_rolling"] = _over("r4_rt_item_features", *_ROLLING)
+_CLEAN = ("INTERVAL 5 MINUTE AS window_end FROM timed", "INTERVAL 5 MINUTE AS window_end FROM silver"), (
+    "max(ts) - INTERVAL 10 SECOND AS watermark FROM timed",
+    "max(ts) - INTERVAL 12 DAY AS watermark FROM silver",
+)
+ORACLES["r2_rt_user_features_deduped"] = _over("r2_rt_user_features", *_CLEAN)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -630,24 +630,130 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.watermark(cleaning.normalize_ts(raw_event_stream(spark, sf_dir)))
 
 
-@query("r1_watermark")
-def _(spark, sf_dir):
-    """Four arrivals in order of time; every twentieth event comes one arrival late and meets a closed window.
-
-    The stream stops after each arrival and resumes from its checkpoint.
-    """
+def by_thirds(spark: SparkSession, sf_dir: str, late: Column) -> DataFrame:
+    """Raw events with the number of their arrival: the third of all days they lie in, and one more where they are `late`."""
     events = cleaning.normalize_ts(numbered_events(spark, sf_dir))
     first, last = (events.agg(end(F.to_date("ts"))).scalar() for end in (F.min, F.max))
     third = F.floor(F.datediff(F.to_date("ts"), first) * 3 / (F.datediff(last, first) + 1)).cast("int")
-    arrival = third + F.when(F.col("event_id") % 20 == 0, 1).otherwise(0)
-    arrivals = write_table(events.select("event_id", "ts", "event_type", arrival.alias("arrival")), "arrivals")
-    landing, path, checkpoint = (new_path(spark, n) for n in ("landing", "windows", "windows-checkpoint"))
+    return write_table(events.withColumn("arrival", third + F.when(late, 1).otherwise(0)), "arrivals")
+
+
+def in_arrivals(arrivals: DataFrame, run: Callable[[DataFrame, int], object]) -> None:
+    """Files land arrival by arrival; the stream stops after each and resumes from its checkpoint."""
+    spark, landing = arrivals.sparkSession, new_path(arrivals.sparkSession, "landing")
     for number in range(4):
         arrivals.filter(F.col("arrival") == number).drop("arrival").write.mode("append").parquet(landing)
-        stream = streams.file_event_stream(spark, landing, arrivals.drop("arrival").schema)
-        counts = rt.windowed_counts(rt.watermark(stream))
-        sinks.table_sink(counts, path, checkpoint).awaitTermination()
-    return spark.read.schema(counts.schema).parquet(path)
+        run(streams.file_event_stream(spark, landing, arrivals.drop("arrival").schema), number).awaitTermination()
+
+
+def streamed_in_arrivals(arrivals: DataFrame, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    spark = arrivals.sparkSession
+    path, checkpoint, schema = new_path(spark, name), new_path(spark, f"{name}-checkpoint"), []
+
+    def run(stream: DataFrame, number: int):
+        rows = build(stream)
+        schema.append(rows.schema)
+        return sinks.table_sink(rows, path, checkpoint)
+
+    in_arrivals(arrivals, run)
+    return spark.read.schema(schema[-1]).parquet(path)
+
+
+# longer than a third of all days, so that nothing that comes one arrival late is too late
+LONG_DELAY = "12 days"
+
+
+def copies_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second copy of every fiftieth event comes one arrival after the first."""
+    copies = Window.partitionBy("event_id").orderBy("ts")
+    events = cleaning.normalize_ts(numbered_events(spark, sf_dir)).withColumn("copy", F.row_number().over(copies))
+    first, last = (events.agg(end(F.to_date("ts"))).scalar() for end in (F.min, F.max))
+    third = F.floor(F.datediff(F.to_date("ts"), first) * 3 / (F.datediff(last, first) + 1)).cast("int")
+    return write_table(events.withColumn("arrival", third + F.col("copy") - 1).drop("copy", "event_id"), "arrivals")
+
+
+def clean_stream(stream: DataFrame, delay: str) -> DataFrame:
+    return rt.watermark(cleaning.clean_rows(stream), delay)
+
+
+@query("r1_watermark")
+def _(spark, sf_dir):
+    """Four arrivals in order of time; every twentieth event comes one arrival late and meets a closed window."""
+    arrivals = by_thirds(spark, sf_dir, F.col("event_id") % 20 == 0).select("event_id", "ts", "event_type", "arrival")
+    return streamed_in_arrivals(arrivals, lambda stream: rt.windowed_counts(rt.watermark(stream)), "windows")
+
+
+@query("c7_dedupe_stream")
+def _(spark, sf_dir):
+    return streamed_in_arrivals(copies_apart(spark, sf_dir), lambda stream: rt.dedupe_stream(clean_stream(stream, LONG_DELAY)), "deduped")
+
+
+@query("r2_rt_user_features_deduped")
+def _(spark, sf_dir):
+    def build(stream):
+        return rt.rt_user_features(rt.dedupe_stream(clean_stream(stream, LONG_DELAY)), F.col("window_end"))
+
+    return streamed_in_arrivals(copies_apart(spark, sf_dir), build, "rt-users")
+
+
+@query("r2_rt_user_features_rolling")
+def _(spark, sf_dir):
+    arrivals = by_thirds(spark, sf_dir, F.lit(False))
+    return streamed_in_arrivals(arrivals, lambda stream: rt.rt_user_features(rt.watermark(stream), F.col("window_end"), rolling=True), "rt-users")
+
+
+@query("r4_rt_item_features_rolling")
+def _(spark, sf_dir):
+    arrivals = by_thirds(spark, sf_dir, F.lit(False))
+    return streamed_in_arrivals(arrivals, lambda stream: rt.rt_item_features(rt.watermark(stream), F.col("window_end"), rolling=True), "rt-items")
+
+
+@query("r3_session_updates")
+def _(spark, sf_dir):
+    """Every twentieth event comes one arrival late and may join two sessions."""
+    arrivals = by_thirds(spark, sf_dir, F.col("event_id") % 20 == 0).drop("event_id")
+    return streamed_in_arrivals(arrivals, lambda stream: rt.session_updates(clean_stream(stream, LONG_DELAY), "12 hours"), "sessions")
+
+
+@query("r5_rt_item_popularity_fresh")
+def _(spark, sf_dir):
+    """Before the second and third arrival comes a new snapshot of the items, of the events before that arrival."""
+    arrivals = by_thirds(spark, sf_dir, F.lit(False)).drop("event_id")
+    clean = cleaning.silver_events(arrivals.drop("arrival"))
+    starts = {r.arrival: r.day for r in arrivals.groupBy("arrival").agg(F.min(F.to_date("ts")).cast("string").alias("day")).collect()}
+    snapshots, path, checkpoint = (new_path(spark, n) for n in ("gold-items", "rt-items", "rt-items-checkpoint"))
+
+    def run(stream: DataFrame, number: int):
+        if number in (1, 2):
+            volume = items.item_volume(clean, event_clock(clean, anchor=starts[number]))
+            tables.write_gold_snapshot(volume.select("item_id", "total_events_30d"), snapshots, starts[number])
+        return sinks.popularity_sink(rt.rt_item_features(rt.watermark(stream), F.col("window_end")), snapshots, path, checkpoint)
+
+    in_arrivals(arrivals, run)
+    return spark.read.parquet(path).drop("writer", "batch_id")
+
+
+def judged_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(kept events, dead letters) of JSON messages in four arrivals; every 41st is cut short, every 43rd is no event."""
+    arrivals = by_thirds(spark, sf_dir, F.col("event_id") % 20 == 0)
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    fields = ["user_id", "session_id", "item_id", "event_type", F.col("price").cast("float").alias("price"), "category_path", "device", "page", "referrer"]
+    text = F.to_json(F.struct(*fields, iso.alias("ts")))
+    text = F.when(F.col("event_id") % 41 == 0, F.substring(text, 1, 60)).when(F.col("event_id") % 43 == 0, F.lit("[1, 2]")).otherwise(text)
+    kept, dead, checkpoint = (new_path(spark, n) for n in ("kept", "dead", "contract-checkpoint"))
+    in_arrivals(arrivals.select(text.alias("value"), "arrival"), lambda stream, _: sinks.contract_sink(stream, kept, dead, checkpoint))
+    return spark.read.parquet(kept), spark.read.parquet(dead)
+
+
+@query("c9_kept_messages")
+def _(spark, sf_dir):
+    return judged_messages(spark, sf_dir)[0].drop("writer", "batch_id")
+
+
+@query("c9_dead_letters")
+def _(spark, sf_dir):
+    dead = judged_messages(spark, sf_dir)[1]
+    return dead.groupBy(F.concat_ws(",", "broken_rules").alias("rules")).agg(F.count("*").alias("letters"))
 
 
 @query("r2_rt_user_features")

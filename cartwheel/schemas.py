@@ -70,6 +70,8 @@ OLDEST_RECENCY_BUCKET = 3
 # ---- fixed values: stream windows and online records ----
 STREAM_WINDOW = "5 minutes"
 STREAM_WINDOW_MINUTES = 5
+PANE = "1 minute"
+SESSION_GAP = "30 minutes"
 WATERMARK_DELAY = "10 seconds"
 ONLINE_TTL_SEC = 3600
 USER_KEY_PREFIX = "user_features_rt:"

@@ -62,9 +62,19 @@ def decode_json_events(messages: DataFrame, value: str = "value") -> DataFrame:
     return _event_columns(messages.select(event.alias("event")))
 
 
-def _event_columns(decoded: DataFrame) -> DataFrame:
-    """The same columns and types whatever the wire format was."""
-    fields = decoded.select("event.*")
+def parse_json_events(messages: DataFrame, value: str = "value") -> DataFrame:
+    """The ten event columns, the `raw` text, and whether it `parses`: a JSON object with the declared types."""
+    corrupt = "_corrupt"
+    schema = T.StructType([*JSON_SCHEMA.fields, T.StructField(corrupt, T.StringType())])
+    event = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": corrupt})
+    decoded = messages.select(event.alias("event"), F.col(value).alias("raw"))
+    parses = F.col("event").isNotNull() & F.col(f"event.{corrupt}").isNull() & F.col("raw").rlike(r"^\s*\{")
+    return _event_columns(decoded.withColumn("parses", F.coalesce(parses, F.lit(False))), "raw", "parses").drop(corrupt)
+
+
+def _event_columns(decoded: DataFrame, *beside: str) -> DataFrame:
+    """The same columns and types whatever the wire format was, and what stands `beside` the event."""
+    fields = decoded.select("event.*", *beside)
     return fields.withColumns({"price": F.col("price").cast("double"), "ts": _instant(F.col("ts").cast("string"))})
 
 

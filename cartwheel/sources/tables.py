@@ -68,3 +68,31 @@ def write_gold_snapshot(features: DataFrame, path: str, date: str, fmt: str = "p
         .partitionBy("date")
         .save(path)
     )
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, writer: str) -> None:
+    """Replace one batch of one writer: a batch that is written again leaves the same rows."""
+    (
+        rows.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("writer", "batch_id")
+        .parquet(path)
+    )
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds anything, by the file system that Spark itself would use."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def newest_snapshot(spark: SparkSession, path: str, schema: str, date_column: str = "date") -> DataFrame:
+    """The rows of the newest date as the folder stands now; none if there is no folder yet."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    # a fresh listing each time: which files there are is not kept from an earlier read
+    spark.catalog.refreshByPath(path)
+    table = spark.read.schema(f"{schema}, {date_column} string").parquet(path)
+    newest = table.agg(F.max(date_column)).first()[0]
+    return table.filter(F.col(date_column) == newest).drop(date_column)

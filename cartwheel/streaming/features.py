@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import first_category, is_type
-from cartwheel.schemas import EVENT_TYPES, STREAM_WINDOW, STREAM_WINDOW_MINUTES, WATERMARK_DELAY, WINDOW_DAYS
+from cartwheel.schemas import EVENT_IDENTITY, EVENT_TYPES, PANE, SESSION_GAP, STREAM_WINDOW, STREAM_WINDOW_MINUTES, WATERMARK_DELAY, WINDOW_DAYS
 
 
 def watermark(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -14,6 +14,15 @@ def watermark(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     return events.withWatermark("ts", delay)
 
 
+def dedupe_stream(events: DataFrame) -> DataFrame:
+    """The first arrival of every event; copies that come within the watermark's delay after it are dropped.
+
+    Needs `watermark` before it. A key leaves the state once the watermark passes
+    its event's time plus the delay, so the state holds the keys of one delay.
+    """
+    return events.dropDuplicatesWithinWatermark(EVENT_IDENTITY)
+
+
 def windowed_counts(events: DataFrame, window: str = STREAM_WINDOW) -> DataFrame:
     """Events per window and type: what a watermark lets through, made visible."""
     return (
@@ -33,19 +42,34 @@ def _since(last_ms: str, as_of: Column | None) -> Column:
     return F.unix_timestamp(now) - (F.col(last_ms) / 1000).cast("bigint")
 
 
-def rt_user_features(events: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Per user and tumbling window. `as_of` (default: now) may refer to window_start and window_end.
+def _windows(events: DataFrame, key: str, sums: list[Column], maxima: list[Column], rolling: bool) -> DataFrame:
+    """Aggregates per `key` and window of the stream's length.
+
+    Rolling windows begin every minute. An event is counted once, in its
+    minute's pane; panes, kept as partial aggregates, are summed over the windows they lie in.
+    """
+    if not rolling:
+        return events.groupBy(F.window("ts", STREAM_WINDOW), key).agg(*sums, *maxima)
+    panes = events.groupBy(F.window("ts", PANE).alias("pane"), key).agg(*sums, *maxima)
+    names = [c for c in panes.columns if c not in ("pane", key)]
+    added, greatest = names[: len(sums)], names[len(sums) :]
+    windows = F.window(F.window_time("pane"), STREAM_WINDOW, PANE).alias("window")
+    return panes.groupBy(windows, key).agg(*[F.sum(c).alias(c) for c in added], *[F.max(c).alias(c) for c in greatest])
+
+
+def rt_user_features(events: DataFrame, as_of: Column | None = None, rolling: bool = False) -> DataFrame:
+    """Per user and window, tumbling or `rolling` by the minute. `as_of` (default: now) may refer to window_start and window_end.
 
     The last device, page, item and price belong to one event: the newest, ties
     by the greatest (item, device, page, price).
     """
-    last = F.max(F.struct("ts", "item_id", "device", "page", "price"))
-    windows = events.groupBy(F.window("ts", STREAM_WINDOW), "user_id").agg(
-        last.alias("last"),
+    sums = [
         *_rolling_counts("rt_user"),
         F.count("*").alias("rt_user_current_session_length"),
         F.count_if(F.col("event_type").isin(EVENT_TYPES)).alias("rt_user_interaction_streak"),
-    )
+    ]
+    last = F.max(F.struct("ts", "item_id", "device", "page", "price")).alias("last")
+    windows = _windows(events, "user_id", sums, [last], rolling)
     return (
         windows.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
         .withColumn("rt_user_last_event_ts_ms", F.unix_timestamp("last.ts") * 1000)
@@ -83,24 +107,43 @@ def user_feature_update(rt_users: DataFrame) -> DataFrame:
     )
 
 
-def _item_windows(events: DataFrame) -> DataFrame:
-    return (
-        events.groupBy(F.window("ts", STREAM_WINDOW), "item_id")
-        .agg(
-            F.max("ts").alias("last_ts"),
-            *_rolling_counts("rt_item"),
-            F.count("*").alias("events"),
-            F.avg("price").alias("rt_item_recent_price_avg_5m"),
-            F.max(F.struct("ts", first_category().alias("category"))).alias("last"),
-        )
-        .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
+def session_updates(events: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
+    """The user update record of whole sessions: events of one user less than `gap` apart.
+
+    A late event may join two sessions that were apart so far; a session leaves the
+    state, and is written, once the watermark has passed its end.
+    """
+    sessions = events.groupBy(F.session_window("ts", gap).alias("session"), "user_id").agg(
+        F.count("*").cast("int").alias("session_len"),
+        F.count_if(F.col("event_type").isin("view", "add_to_cart")).cast("int").alias("clicks_in_session"),
+        F.max("ts").alias("last"),
+    )
+    return sessions.select(
+        "user_id",
+        F.col("session.start").alias("session_start"),
+        F.col("session.end").alias("session_end"),
+        "session_len",
+        "clicks_in_session",
+        (F.unix_timestamp("last") * 1000).alias("last_event_ts"),
+    )
+
+
+def _item_windows(events: DataFrame, rolling: bool = False) -> DataFrame:
+    sums = [*_rolling_counts("rt_item"), F.count("*").alias("events"), F.count("price").alias("priced"), F.sum("price").alias("price_sum")]
+    maxima = [F.max("ts").alias("last_ts"), F.max(F.struct("ts", first_category().alias("category"))).alias("last")]
+    return _windows(events, "item_id", sums, maxima, rolling).withColumns(
+        {
+            "rt_item_recent_price_avg_5m": F.try_divide("price_sum", "priced"),
+            "window_start": F.col("window.start"),
+            "window_end": F.col("window.end"),
+        }
     )
 
 
-def rt_item_features(events: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Per item and tumbling window; the popularity delta is a constant until `with_popularity_delta` fills it."""
+def rt_item_features(events: DataFrame, as_of: Column | None = None, rolling: bool = False) -> DataFrame:
+    """Per item and window, as for users; the popularity delta is a constant until `with_popularity_delta` fills it."""
     return (
-        _item_windows(events)
+        _item_windows(events, rolling)
         .withColumn("rt_item_last_event_ts_ms", F.unix_timestamp("last_ts") * 1000)
         .select(
             "item_id",
