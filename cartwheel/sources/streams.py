@@ -63,12 +63,15 @@ def decode_json_events(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_json_events(messages: DataFrame, value: str = "value") -> DataFrame:
-    """The ten event columns, the `raw` text, and whether it `parses`: a JSON object with the declared types."""
+    """The ten event columns, the `raw` text, and whether it `parses`: one JSON object with the declared types.
+
+    The reader stops after the object, so text behind its end is looked for apart.
+    """
     corrupt = "_corrupt"
     schema = T.StructType([*JSON_SCHEMA.fields, T.StructField(corrupt, T.StringType())])
     event = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": corrupt})
     decoded = messages.select(event.alias("event"), F.col(value).alias("raw"))
-    parses = F.col("event").isNotNull() & F.col(f"event.{corrupt}").isNull() & F.col("raw").rlike(r"^\s*\{")
+    parses = F.col("event").isNotNull() & F.col(f"event.{corrupt}").isNull() & F.col("raw").rlike(r"(?s)^\s*\{.*\}\s*$")
     return _event_columns(decoded.withColumn("parses", F.coalesce(parses, F.lit(False))), "raw", "parses").drop(corrupt)
 
 

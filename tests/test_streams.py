@@ -177,3 +177,101 @@ def test_one_day_is_rewritten_alone(spark, events_of, tmp_path):
     assert tables.table_scan(spark, path).count() == 3
     tables.write_silver_events(days.limit(1), path, replace_all=True)
     assert tables.table_scan(spark, path).count() == 1
+
+
+def test_a_late_event_joins_two_sessions(spark, landing):
+    """Four batches: two sessions half an hour apart are open until an event between them arrives."""
+    path, checkpoint = new_path(spark, "sessions"), new_path(spark, "checkpoint")
+    for batch in ([at(0), at(10, event_type="purchase")], [at(45)], [at(30, event_type="add_to_cart"), at(45, user_id="u2")], [at(200)]):
+        landing.add(*batch)
+        stream = rt.watermark(cleaning.normalize_ts(raw_stream(spark, landing)), "60 minutes")
+        run(rt.session_updates(stream, "30 minutes"), path, checkpoint)
+    rows = {(r.user_id, r.session_len, r.clicks_in_session) for r in spark.read.parquet(path).collect()}
+    assert rows == {("u1", 4, 3), ("u2", 1, 1)}
+
+
+def test_events_a_gap_apart_are_two_sessions(spark, events_of):
+    events = cleaning.normalize_ts(events_of(at(0), at(29.9), at(59.9), at(120)))
+    assert sorted(r.session_len for r in rt.session_updates(events, "30 minutes").collect()) == [1, 3]
+
+
+def test_rolling_windows_equal_brute_force(events_of):
+    rows = [at(m / 7, user_id=f"u{m % 3}", item_id=f"i{m % 4}", price=float(m % 9), event_type=["view", "add_to_cart", "purchase", "error"][m % 4]) for m in range(200)]
+    events = cleaning.normalize_ts(events_of(*rows))
+    expected = {}
+    for r in rows:
+        minute = r["ts"] // MINUTE
+        for start in range(minute - 4, minute + 1):
+            expected.setdefault((r["user_id"], start * MINUTE), []).append(r)
+    found = rt.rt_user_features(events, F.col("window_end"), rolling=True).withColumn("start", F.unix_millis("window_start")).collect()
+    assert len(found) == len(expected)
+    for r in found:
+        held = expected[r.user_id, r.start]
+        last = max(held, key=lambda x: (x["ts"], x["item_id"]))
+        assert r.rt_user_current_session_length == len(held) and r.rt_user_event_rate_per_min_5m == len(held) / 5
+        assert r.rt_user_rolling_view_count_5m == sum(x["event_type"] == "view" for x in held)
+        assert (r.rt_user_last_item_id, r.rt_user_last_price) == (last["item_id"], last["price"])
+        assert r.rt_user_interaction_streak == sum(x["event_type"] != "error" for x in held)
+    for r in rt.rt_item_features(events, F.col("window_end"), rolling=True).withColumn("start", F.unix_millis("window_start")).collect():
+        prices = [x["price"] for x in rows if x["item_id"] == r.item_id and r.start <= x["ts"] // MINUTE * MINUTE < r.start + 5 * MINUTE]
+        assert r.rt_item_recent_price_avg_5m == pytest.approx(sum(prices) / len(prices))
+
+
+def raw_stream(spark, landing):
+    return streams.file_event_stream(spark, landing.path, "user_id string, session_id string, item_id string, event_type string, price double, category_path array<string>, device string, page string, referrer string, ts bigint")
+
+
+def test_copies_in_other_batches_are_dropped(spark, landing):
+    path, checkpoint = new_path(spark, "deduped"), new_path(spark, "checkpoint")
+    # the copy at minute 40 is of an event that has left the state, whose window is long closed
+    for batch in ([at(0), at(0), at(1)], [at(0, referrer="r"), at(3)], [at(3), at(1, price=2.0), at(40)], [at(40)]):
+        landing.add(*batch)
+        run(rt.dedupe_stream(rt.watermark(cleaning.normalize_ts(raw_stream(spark, landing)), "10 minutes")), path, checkpoint)
+    rows = [((r.ts.timestamp() * 1000 - NEWEST) / MINUTE, r.price) for r in spark.read.parquet(path).collect()]
+    assert sorted(rows) == [(0, 10.0), (1, 2.0), (1, 10.0), (3, 10.0), (40, 10.0)]
+
+
+def test_a_snapshot_rewritten_between_batches_counts_in_the_next(spark, landing):
+    """One running query; its item table appears and is rewritten meanwhile."""
+    gold, path, checkpoint = (new_path(spark, n) for n in ("gold", "rt-items", "checkpoint"))
+    landing.add(at(0), at(6))
+    query = sinks.popularity_sink(rt.rt_item_features(landing.stream()), gold, path, checkpoint, every="0 seconds")
+    try:
+        query.processAllAvailable()
+        for number, total in enumerate((43_200, 86_400), start=1):
+            snapshot = spark.createDataFrame([("i1", total), ("other", 1)], "item_id string, total_events_30d bigint")
+            tables.write_gold_snapshot(snapshot, gold, "2024-01-31")
+            landing.add(at(6 * number + 5), at(6 * number + 6))
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = [round(r.rt_item_popularity_delta_vs_30d - r.rt_item_event_rate_per_min_5m, 6) for r in spark.read.parquet(path).orderBy("window_start").collect()]
+    assert rows[0] == 0.0 and rows[-1] == -2.0 and -1.0 in rows
+
+
+def test_dead_letters_and_a_stop_between_the_two_writes(spark, monkeypatch):
+    landing, kept, dead, checkpoint = (new_path(spark, n) for n in ("messages", "kept", "dead", "checkpoint"))
+    good = '{"user_id":"u%d","session_id":"s","item_id":"i","event_type":"view","price":9.5,"category_path":["A"],"device":"web","page":"pdp","ts":"2024-01-31T00:00:00Z"}'
+    letters = ["", "null", "[1]", "not json", good % 1 + "x", good[:50], (good % 2).replace("9.5", '"dear"'), (good % 3).replace("view", "look"), (good % 4).replace("9.5", "-1").replace("web", "tv"), (good % 5).replace("2024", "x"), "{}", None]
+    spark.createDataFrame([(good % k,) for k in range(3)] + [(x,) for x in letters], "value string").coalesce(1).write.parquet(landing)
+    stream = spark.readStream.schema("value string").parquet
+    write, calls = sinks.write_batch, []
+
+    def stopping(rows, path, batch_id, writer):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("stopped between the writes")
+        write(rows, path, batch_id, writer)
+
+    monkeypatch.setattr(sinks, "write_batch", stopping)
+    with pytest.raises(Exception, match="stopped between"):
+        sinks.contract_sink(stream(landing), kept, dead, checkpoint).awaitTermination()
+    monkeypatch.setattr(sinks, "write_batch", write)
+    sinks.contract_sink(stream(landing), kept, dead, checkpoint).awaitTermination()
+    sinks.contract_sink(stream(landing), kept, dead, checkpoint).awaitTermination()
+    assert sorted(r.user_id for r in spark.read.parquet(kept).collect()) == ["u0", "u1", "u2"]
+    found = {r.raw: list(r.broken_rules) for r in spark.read.parquet(dead).collect()}
+    assert found.keys() == set(letters)
+    assert {x for x, rules in found.items() if rules == ["parses"]} == {"", "null", "[1]", "not json", good % 1 + "x", good[:50], letters[6], None}
+    assert found[letters[7]] == ["event_type_known"] and found[letters[8]] == ["price_positive", "device_known"] and found[letters[9]] == ["ts_present"]
+    assert len(found["{}"]) == 9
