@@ -27,7 +27,12 @@ def _same(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
 
 
 def running(
-    slices: DataFrame, key: list[str], order: list[str], sums: dict[str, Column] | None = None, xors: dict[str, Column] | None = None
+    slices: DataFrame,
+    key: list[str],
+    order: list[str],
+    sums: dict[str, Column] | None = None,
+    xors: dict[str, Column] | None = None,
+    maxima: dict[str, Column] | None = None,
 ) -> DataFrame:
     """`slices` (of `range_slices`) with totals over each row's `key` group, from its first row by `order` (a total order) to the row itself.
 
@@ -36,6 +41,7 @@ def running(
     which is why they may be broadcast.
     """
     folds = {n: (F.sum, c) for n, c in (sums or {}).items()} | {n: (F.bit_xor, c) for n, c in (xors or {}).items()}
+    folds |= {n: (F.max, c) for n, c in (maxima or {}).items()}
     valued = slices.withColumns({n: c for n, (_, c) in folds.items()})
     names = [f"_{name}" for name in key]
     # only a slice's greatest key can go on in the next one
@@ -53,6 +59,8 @@ def running(
     joined = within.join(F.broadcast(before), _same(within, before, [*key, SLICE]), "left")
 
     def total(name: str, fold) -> Column:
+        if fold is F.max:
+            return F.greatest(F.col(name), F.col(f"_before_{name}"))
         start = F.coalesce(F.col(f"_before_{name}"), F.lit(0))
         return F.col(name) + start if fold is F.sum else F.col(name).bitwiseXOR(start)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel.functions.skew import range_slices, running
 from cartwheel.schemas import Feature, FeatureView
 from cartwheel.sources.online import online_rows
 
@@ -73,8 +74,8 @@ def point_in_time_join(
     dated = snapshots.withColumn("_day", F.to_date("date")).drop("date")
     # only days that have a snapshot can match: a list as long as there are snapshots, not as the TTL has days
     known = dated.agg(F.array_sort(F.collect_set("_day"))).scalar()
-    days = spans.select(*by).distinct().withColumn("_known", known).withColumn("_day", F.explode("_known"))
-    days = days.filter(F.col("_day").between(F.col("_first"), F.col("_last"))).drop("_known")
+    in_span = F.filter("_known", lambda day: day.between(F.col("_first"), F.col("_last")))
+    days = spans.select(*by).distinct().withColumn("_known", known).withColumn("_day", F.explode(in_span)).drop("_known")
     matched = (
         days.join(dated.select(*keys, "_day"), [*keys, "_day"])
         .groupBy(*by)
@@ -88,6 +89,36 @@ def point_in_time_join(
     )
 
 
+def as_of_join(
+    labels: DataFrame,
+    features: DataFrame,
+    keys: tuple[str, ...],
+    ttl_sec: float,
+    label_ts: str = "label_ts",
+    feature_ts: str = "feature_ts",
+) -> DataFrame:
+    """Each label row with its entity's newest feature row not after it and at most `ttl_sec` before it, else NULLs; to the microsecond.
+
+    Labels and features are put in one order of (entity, time) and each label takes
+    the last feature before it. The order is cut into slices, so that an entity with any
+    share of the rows spreads over many tasks; what a slice ends with is carried to
+    the next. Of several feature rows of one moment the greatest counts. Labels without an entity or a time match nothing.
+    """
+    values = [c for c in features.columns if c not in keys]
+    asked = labels.select(*keys, F.col(label_ts).alias("_at"), F.lit(1).alias("_kind"), F.struct(*labels.columns).alias("_label"))
+    known = features.filter(F.col(feature_ts).isNotNull())
+    for key in keys:
+        known = known.filter(F.col(key).isNotNull())
+    known = known.select(
+        *keys, F.col(feature_ts).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(feature_ts).alias("_since"), *values).alias("_feature")
+    )
+    both = asked.unionByName(known, allowMissingColumns=True)
+    order = ["_at", "_kind"]
+    filled = running(range_slices(both, list(keys), order, "as-of-slices"), list(keys), order, maxima={"_last": F.col("_feature")}).filter("_kind = 1")
+    fresh = F.col("_last._since") >= F.col("_at") - F.make_dt_interval(secs=F.lit(ttl_sec))
+    return filled.withColumn("_last", F.when(fresh, F.col("_last"))).select("_label.*", *[F.col(f"_last.{c}").alias(c) for c in values])
+
+
 def catalog_profile(table: DataFrame, catalog: list[Feature]) -> DataFrame:
     """One row per declared feature: present, typed as declared, row and null counts, numeric range. One pass."""
     actual = {f.name: f.dataType for f in table.schema.fields}

@@ -676,6 +676,12 @@ ORACLES: dict[str, str] = {
           AND window_start + INTERVAL 5 MINUTE <= (SELECT max(mark) FROM marks)
         GROUP BY 1, 2, 3"""
     ).replace(") , timed_ids", "), timed_ids"),
+    "f6_as_of_join": _sql(
+        f"""SELECT l.user_id, item_id, label_ts, w.* EXCLUDE (user_id, window_start, window_end) REPLACE ({_r(*_RT_USERS)}), window_end AS feature_ts
+        FROM (SELECT user_id, item_id, ts AS label_ts FROM silver WHERE event_type = 'purchase') l
+        LEFT JOIN rt_all_users w ON w.user_id = l.user_id AND w.window_end <= l.label_ts AND w.window_end >= l.label_ts - INTERVAL 3 HOUR
+        QUALIFY row_number() OVER (PARTITION BY l.user_id, item_id, label_ts ORDER BY window_end DESC) = 1"""
+    ),
     "c7_dedupe_stream": _sql(f"SELECT {EVENT} FROM silver"),
     "r3_session_updates": _sql(
         """, gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 12 HOUR, true) AS opens FROM keyed),
@@ -828,3 +834,4 @@ _CLEAN = ("INTERVAL 5 MINUTE AS window_end FROM timed", "INTERVAL 5 MINUTE AS wi
     "max(ts) - INTERVAL 12 DAY AS watermark FROM silver",
 )
 ORACLES["r2_rt_user_features_deduped"] = _over("r2_rt_user_features", *_CLEAN)
+ORACLES["s11_online_store"] = ORACLES["s11_online_read"]

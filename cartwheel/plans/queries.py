@@ -219,6 +219,21 @@ def _(spark, sf_dir):
     return online.online_read(online.online_log(spark, path), newest)
 
 
+@query("s11_online_store")
+def _(spark, sf_dir):
+    """Four batches of two writers with two compactions between them, the older batches removed; read as in s11_online_read."""
+    rows = write_table(batch_online_rows(spark, sf_dir).withColumn("ttl_sec", F.lit(86400).cast("bigint")), "online-rows")
+    store = online.OnlineStore(spark, new_path(spark, "online-store"), buckets=4)
+    first, last = rows.agg(F.min("updated_at_ms"), F.max("updated_at_ms")).first()
+    part = F.floor((F.col("updated_at_ms") - first) * 4 / (last - first + 1))
+    for number in (1, 0, 2, 3):
+        store.upsert(rows.filter(part == number), number // 2, f"writer-{number % 2}")
+        if number in (0, 2):
+            store.compact(as_of_ms=last)
+    store.vacuum()
+    return store.read(last)
+
+
 # ---- cleaning ----
 
 
@@ -853,6 +868,16 @@ def _(spark, sf_dir):
     return views.point_in_time_join(labels, snapshots(spark, sf_dir), ("user_id",), ttl_days=7)
 
 
+@query("f6_as_of_join")
+def _(spark, sf_dir):
+    """Each purchase with its user's last finished five-minute window of at most three hours before."""
+    raw = cleaning.normalize_ts(raw_events(spark, sf_dir))
+    windows = rt.rt_user_features(raw, as_of=F.col("window_end")).drop("window_start").withColumnRenamed("window_end", "feature_ts")
+    purchases = silver(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    labels = purchases.select("user_id", "item_id", F.col("ts").alias("label_ts"))
+    return views.as_of_join(labels, windows, ("user_id",), ttl_sec=3 * 3600)
+
+
 @query("f7_catalog_profile")
 def _(spark, sf_dir):
     return views.catalog_profile(gold_users(spark, sf_dir), USER_CATALOG)

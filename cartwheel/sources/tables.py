@@ -87,6 +87,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all in it; False if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def newest_snapshot(spark: SparkSession, path: str, schema: str, date_column: str = "date") -> DataFrame:
     """The rows of the newest date as the folder stands now; none if there is no folder yet."""
     if not table_exists(spark, path):

@@ -128,3 +128,35 @@ def test_materialize_takes_the_newest_date_in_range(spark):
     found = views.materialize(snapshots, SNAPSHOT, datetime(2024, 1, 1), datetime(2024, 1, 5)).collect()
     assert [(r.key, r.ttl_sec) for r in found] == [("s:a", 3 * 86400)]
     assert '"score":3' in found[0].value
+
+
+def test_as_of_join_against_brute_force(spark):
+    """Seconds matter; one entity has a third of all rows and spans many slices."""
+    rng = random.Random(6)
+    start = datetime(2024, 1, 1)
+    who = lambda: rng.choice(["hot", "hot", "a", "b", "c", "d"])
+    features = list({(u, t): (u, t, n) for u, t, n in ((who(), start + timedelta(seconds=rng.randrange(4000)), n) for n in range(400))}.values())
+    features += [(None, start, -1), ("a", None, -2)]
+    labels = [(rng.choice([who(), "never", None]), rng.choice([start + timedelta(seconds=rng.randrange(4200)), None]), n) for n in range(600)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "17")
+    try:
+        known = spark.createDataFrame(features, "user_id string, feature_ts timestamp, score int")
+        asked = spark.createDataFrame(labels, "user_id string, label_ts timestamp, label int")
+        found = {r.label: (r.feature_ts, r.score) for r in views.as_of_join(asked, known, ("user_id",), ttl_sec=30).collect()}
+        empty = views.as_of_join(asked, known.limit(0), ("user_id",), ttl_sec=30).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert len(empty) == len(labels) and all(r.score is None for r in empty)
+    for user, at, label in labels:
+        held = [(t, n) for u, t, n in features if at and user and u == user and t and at - timedelta(seconds=30) <= t <= at]
+        assert found[label] == (max(held) if held else (None, None))
+
+
+def test_days_of_a_span_are_cut_before_they_are_exploded(spark):
+    labels = spark.createDataFrame([("u", datetime(2024, 1, 5))], "user_id string, label_ts timestamp")
+    snapshots = spark.createDataFrame([("u", f"2024-01-{d:02d}", d) for d in range(1, 28)], "user_id string, date string, score int")
+    plan = views.point_in_time_join(labels, snapshots, ("user_id",), ttl_days=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(filter(" in plan
