@@ -8,6 +8,8 @@ buckets, which bounds the only per-entity collect.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import PCA, HashingTF, PCAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -58,12 +60,22 @@ def tfidf_terms(docs: DataFrame, entity: str) -> DataFrame:
     return _weighted(term_counts(docs, entity), entity, "token").select(entity, "token", "tf", "df", "tfidf")
 
 
+def hashed_counts(docs: DataFrame, entity: str, buckets: int = HASH_BUCKETS) -> DataFrame:
+    """(entity, bucket, tf): term counts by the hash of the term.
+
+    The library hashes each term as a document of its own; the bucket is read from
+    the sparse vector as it is stored, so no row ever holds an array of all buckets.
+    """
+    hashing = HashingTF(inputCol="tokens", outputCol="hashed", numFeatures=buckets, binary=True)
+    one_token = hashing.transform(term_counts(docs, entity).withColumn("tokens", F.array("token"))).select(entity, "tf", "hashed")
+    sparse = T.StructType([T.StructField("indices", T.ArrayType(T.IntegerType()))])
+    stored = write_table(one_token, "hashed-terms", T.StructType([*one_token.schema.fields[:2], T.StructField("hashed", sparse)]))
+    return stored.groupBy(entity, F.col("hashed.indices")[0].alias("bucket")).agg(F.sum("tf").alias("tf"))
+
+
 def hashed_tfidf(docs: DataFrame, entity: str, buckets: int = HASH_BUCKETS) -> DataFrame:
     """(entity, features): TF-IDF over hashed tokens, laid out as a sparse vector is stored."""
-    hashing = HashingTF(inputCol="tokens", outputCol="hashed", numFeatures=buckets, binary=True)
-    one_token = term_counts(docs, entity).withColumn("tokens", F.array("token"))
-    bucket = F.array_position(vector_to_array("hashed"), F.lit(1.0)).cast("int") - 1
-    counts = hashing.transform(one_token).groupBy(entity, bucket.alias("bucket")).agg(F.sum("tf").alias("tf"))
+    counts = hashed_counts(docs, entity, buckets)
     # at most `buckets` entries per entity
     entries = F.array_sort(F.collect_list(F.struct("bucket", "tfidf"))).alias("entries")
     features = F.struct(
@@ -106,3 +118,17 @@ def embed(docs: DataFrame, entity: str, prefix: str, basis: PCAModel | None = No
     if vectors.isEmpty():
         return empty_embeddings(docs, entity, prefix)
     return project(vectors, basis or fit_basis(vectors), entity, prefix)
+
+
+def embed_together(sides: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+    """Embeddings of several kinds of entities in one space: {prefix: (documents, entity)} to {prefix: embeddings}.
+
+    One basis is fitted to the vectors of all sides, so that products across sides mean
+    something. Weights are those of each side's own documents.
+    """
+    vectors = {prefix: stored_vectors(hashed_tfidf(docs, entity), entity) for prefix, (docs, entity) in sides.items()}
+    pooled = reduce(DataFrame.unionByName, [rows.select("features") for rows in vectors.values()])
+    if pooled.isEmpty():
+        return {prefix: empty_embeddings(docs, entity, prefix) for prefix, (docs, entity) in sides.items()}
+    basis = fit_basis(pooled)
+    return {prefix: project(vectors[prefix], basis, entity, prefix) for prefix, (_, entity) in sides.items()}

@@ -682,6 +682,8 @@ ORACLES: dict[str, str] = {
         LEFT JOIN rt_all_users w ON w.user_id = l.user_id AND w.window_end <= l.label_ts AND w.window_end >= l.label_ts - INTERVAL 3 HOUR
         QUALIFY row_number() OVER (PARTITION BY l.user_id, item_id, label_ts ORDER BY window_end DESC) = 1"""
     ),
+    "u13_user_hashed_tokens": _sql("SELECT user_id, CAST(sum(tf) AS BIGINT) AS tokens FROM user_tokens GROUP BY user_id"),
+    "i9_item_hashed_tokens": _sql("SELECT item_id, CAST(sum(tf) AS BIGINT) AS tokens FROM item_tokens GROUP BY item_id"),
     "c7_dedupe_stream": _sql(f"SELECT {EVENT} FROM silver"),
     "r3_session_updates": _sql(
         """, gaps AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 12 HOUR, true) AS opens FROM keyed),

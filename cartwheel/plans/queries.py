@@ -356,6 +356,19 @@ def _(spark, sf_dir):
     return text.embed(docs, "user_id", "user_behavior_emb")
 
 
+@query("u13_user_hashed_tokens")
+def _(spark, sf_dir):
+    """What the vectors are made of: hashing keeps every token of a user."""
+    docs = users.user_category_docs(silver(spark, sf_dir), silver_clock(spark, sf_dir))
+    return text.hashed_counts(docs, "user_id").groupBy("user_id").agg(F.sum("tf").alias("tokens"))
+
+
+@query("i9_item_hashed_tokens")
+def _(spark, sf_dir):
+    docs = text.item_documents(catalogued_items(spark, sf_dir, silver(spark, sf_dir)))
+    return text.hashed_counts(docs, "item_id").groupBy("item_id").agg(F.sum("tf").alias("tokens"))
+
+
 def gold_users(spark: SparkSession, sf_dir: str, days: int = 30) -> DataFrame:
     return users.user_features(stored_silver(spark, sf_dir), silver_clock(spark, sf_dir), days=days)
 
@@ -582,6 +595,23 @@ def _(spark, sf_dir):
     )
 
 
+@query("x6_ui_similarity_shared_fit")
+def _(spark, sf_dir):
+    """Dot product of embeddings that share one fitted basis."""
+    events, clock = stored_silver(spark, sf_dir), silver_clock(spark, sf_dir)
+    sides = text.embed_together(
+        {
+            "user_behavior_emb": (users.user_category_docs(events, clock), "user_id"),
+            "item_behavior_emb": (text.item_documents(catalogued_items(spark, sf_dir, events)), "item_id"),
+        }
+    )
+    return pairs.ui_similarity(
+        pairs.observed_pairs(events),
+        sides["user_behavior_emb"].withColumn("user_emb", pairs.embedding_array("user_behavior_emb")),
+        sides["item_behavior_emb"].withColumn("item_emb", pairs.embedding_array("item_behavior_emb")),
+    )
+
+
 @query("x7_ui_recency_bucket")
 def _(spark, sf_dir):
     recency = pairs.ui_recency(pairs.base_pairs(silver(spark, sf_dir)), silver_clock(spark, sf_dir))

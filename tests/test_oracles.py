@@ -8,7 +8,7 @@ from __spark_entry__ import entry
 from cartwheel.plans.oracle import ORACLES
 from cartwheel.plans.queries import QUERIES
 
-ROWS_ONLY = {"u13_user_embedding", "i9_item_embedding", "x6_ui_similarity_fitted"}
+ROWS_ONLY = {"u13_user_embedding", "i9_item_embedding", "x6_ui_similarity_fitted", "x6_ui_similarity_shared_fit"}
 
 
 @pytest.fixture(scope="module")

@@ -1,12 +1,16 @@
 import math
+from collections import defaultdict
 
+import numpy as np
 import pytest
+from conftest import SF
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, PCA, HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartwheel.operators import text
+from cartwheel.plans.queries import QUERIES
 
 DOCS = [
     ("a", "Home Garden", 3),
@@ -99,3 +103,67 @@ def test_item_documents_skip_items_without_text(spark):
     docs = {r.item_id: r.text for r in text.item_documents(items).collect()}
     assert docs.keys() == {"i1", "i3"}
     assert docs["i1"] == "Books b T 1"
+
+
+def brute_vectors(rows):
+    """{entity: TF-IDF vector} from (entity, token, tf), with the library's hash of each token."""
+    hashing = HashingTF(numFeatures=512)
+    dense = defaultdict(lambda: np.zeros(512))
+    for r in rows:
+        dense[r[0]][hashing.indexOf(r.token)] += r.tf
+    held = sum((v > 0).astype(float) for v in dense.values())
+    weights = np.log((len(dense) + 1) / (held + 1))
+    return {k: v * weights for k, v in dense.items()}
+
+
+def brute_basis(vectors):
+    """Ten directions of greatest variance, and the variance along each."""
+    values, directions = np.linalg.eigh(np.cov(np.array(vectors), rowvar=False))
+    return directions[:, ::-1][:, :10], values[::-1][:10]
+
+
+def found_vectors(rows, prefix):
+    return {r[0]: np.array([r[f"{prefix}_{i}"] for i in range(1, 11)]) for r in rows}
+
+
+@pytest.mark.parametrize("name", ["u13_user_embedding", "i9_item_embedding"])
+def test_registered_embeddings_against_brute_force(spark, name):
+    """Products of embeddings do not depend on the signs of the components; variances name how much each explains."""
+    user = name.startswith("u13")
+    entity, prefix = ("user_id", "user_behavior_emb") if user else ("item_id", "item_behavior_emb")
+    terms = QUERIES["t1_tfidf_terms" if user else "t1_tfidf_item_terms"](spark, SF).select(entity, "token", "tf").collect()
+    vectors, ours = brute_vectors(terms), found_vectors(QUERIES[name](spark, SF).collect(), prefix)
+    assert ours.keys() == vectors.keys()
+    keys = sorted(ours)
+    basis, variances = brute_basis([vectors[k] for k in keys])
+    found, expected = np.array([ours[k] for k in keys]), np.array([vectors[k] for k in keys]) @ basis
+    assert found.var(axis=0, ddof=1) == pytest.approx(variances, rel=1e-3, abs=1e-4)
+    strong = variances > 1e-3 * variances[0]
+    gaps = np.abs(np.diff(variances, append=0)) > 1e-3 * variances[0]
+    clear = strong & gaps & np.concatenate([[True], gaps[:-1]])
+    assert clear.sum() > 2 or user  # every user of the small table has every token: weights are all zero
+    assert np.abs(found[:, clear]) == pytest.approx(np.abs(expected[:, clear]), abs=1e-3 * np.abs(expected).max())
+
+
+def test_a_shared_fit_is_one_basis(spark, docs):
+    """Both sides are projected on the directions of all vectors together; products across sides are those of the projections."""
+    items = docs.filter("user_id <> 'e'").withColumnRenamed("user_id", "item_id").unionByName(spark.createDataFrame([("z", "Books Music", 2)], "item_id string, text string, n bigint"))
+    out = text.embed_together({"u": (docs, "user_id"), "i": (items, "item_id")})
+    users, listed = (brute_vectors(text.term_counts(d, k).select(k, "token", "tf").collect()) for d, k in ((docs, "user_id"), (items, "item_id")))
+    basis, _ = brute_basis([*users.values(), *listed.values()])
+    left, right = found_vectors(out["u"].collect(), "u"), found_vectors(out["i"].collect(), "i")
+    assert left.keys() == users.keys() and right.keys() == listed.keys()
+    for u, v in users.items():
+        for i, w in listed.items():
+            assert left[u] @ right[i] == pytest.approx((v @ basis) @ (w @ basis), abs=1e-4)
+
+
+def test_no_term_row_holds_all_buckets(docs):
+    plan = text.hashed_counts(docs, "user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "vector_to_array" not in plan and "indices" in plan
+
+
+def test_nothing_to_embed_together(docs):
+    none = docs.filter("1 = 0")
+    out = text.embed_together({"a": (none, "user_id"), "b": (none, "user_id")})
+    assert out["a"].count() == out["b"].count() == 0 and "b_10" in out["b"].columns
