@@ -37,3 +37,12 @@ def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) ->
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
+def drop_table(table: DataFrame) -> None:
+    """Remove what `write_table` wrote, once nothing that is still to run reads it. Only folders below the shared root go."""
+    spark = table.sparkSession
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if shared_root(spark).rpartition(":")[2].rstrip("/") in folder:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
