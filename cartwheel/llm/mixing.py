@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.scratch import write_table
+from cartwheel.scratch import drop_table, write_table
 
 SWEEPS = 8
+# sweeps between two writes; where the marginals decide when to stop, the distance they may have and the most sweeps
+WRITE_EVERY, TOLERANCE, MOST_SWEEPS = 4, 1e-6, 64
 # the share of a value grows as its tokens to this power: 1 keeps the corpus, 0 makes all values equal
 TEMPERATURE = 0.5
 # the share of all tokens that the sample shall hold, and steps to find the rate that gives it
@@ -47,30 +50,54 @@ def tempered(cells: DataFrame, by: str, tokens: str, power: float) -> DataFrame:
     return shares.select(by, (F.pow("t", F.lit(power)) / total).alias("target"))
 
 
-def rake(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], sweeps: int = SWEEPS, most: float | None = None) -> DataFrame:
+def rake(
+    cells: DataFrame,
+    by: Sequence[str],
+    tokens: str,
+    targets: dict[str, DataFrame],
+    sweeps: int = SWEEPS,
+    most: float | None = None,
+    within: float | None = None,
+) -> DataFrame:
     """`cells` with `weight`: the share of all tokens each cell shall have so that every marginal meets its target.
 
     `cells` has one row per combination of `by`. A sweep scales the weights to
-    the targets of each attribute in turn. Marginals are sums by key that are
-    partly added up before the shuffle; weights are written down after every
-    sweep, so that no lineage grows. Cells without tokens keep weight 0. Weights
+    the targets of each attribute in turn. Targets stand beside the cells, and a marginal is
+    a sum over a window of cells, so that a sweep joins nothing and sends nothing to
+    the driver. Weights are written down after every few sweeps, so that no lineage
+    grows, and what they replace is removed. Cells without tokens keep weight 0. Weights
     that `cells` has already are where it starts. With `most`, no cell's weight
     exceeds its tokens times that: scaling and cutting in turn come to weights
-    that meet both, if there are any.
+    that meet both, if there are any. With `within`, sweeps end once no marginal is further than that from its target.
     """
     current = cells if "weight" in cells.columns else cells.withColumn("weight", F.col(tokens).cast("double"))
-    for _ in range(sweeps):
+    for name in by:
+        current = current.join(targets[name].withColumnRenamed("target", f"_to{name}"), name, "left")
+    columns, written = [c for c in current.columns if c not in {f"_to{name}" for name in by}], None
+    for sweep in range(1, sweeps + 1):
         for name in by:
-            marginal = current.groupBy(name).agg(F.sum("weight").alias("_sum"))
-            scale = marginal.join(targets[name], name).select(name, (F.col("target") / F.col("_sum")).alias("_scale"))
-            current = current.join(scale, name, "left").withColumn("weight", F.coalesce(F.col("weight") * F.col("_scale"), F.lit(0.0))).drop("_scale")
+            scale = F.try_divide(F.col(f"_to{name}"), F.sum("weight").over(Window.partitionBy(name)))
+            current = current.withColumn("weight", F.coalesce(F.col("weight") * scale, F.lit(0.0)))
             if most is not None:
                 current = current.withColumn("weight", F.least("weight", F.col(tokens) * most))
-        current = write_table(current, "raked-cells")
-    return current
+        if sweep % WRITE_EVERY and sweep < sweeps:
+            continue
+        replaced, written = written, write_table(current, "raked-cells")
+        current = written
+        if replaced is not None:
+            drop_table(replaced)
+        if within is not None and _furthest(current, by) <= within:
+            break
+    return current.select(*columns)
+
+
+def _furthest(cells: DataFrame, by: Sequence[str]) -> float:
+    """The largest distance of a marginal from its target."""
+    sums = [cells.groupBy(F.col(name).alias("v"), F.coalesce(f"_to{name}", F.lit(0.0)).alias("t")).agg(F.sum("weight").alias("w")) for name in by]
+    return reduce(DataFrame.unionByName, sums).agg(F.max(F.abs(F.col("w") - F.col("t")))).first()[0] or 0.0
 
 
-def rake_within(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], total: float, budget: float, sweeps: int = SWEEPS) -> DataFrame:
+def rake_within(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], total: float, budget: float) -> DataFrame:
     """As `rake`, with weights as even as it takes for a sample of up to `budget` of the `total` tokens to meet the targets.
 
     No sample without repeats is larger than the scarcest value allows. Aiming a
@@ -82,7 +109,8 @@ def rake_within(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[
         held = cells.groupBy(name).agg(F.sum(tokens).alias("_sum")).join(targets[name].filter("target > 0"), name)
         room = held.agg(F.min(F.col("_sum") / (F.col("target") * float(total)))).first()[0]
         share = min(share, ROOM * room) if room else share
-    return rake(rake(cells, by, tokens, targets, 2 * sweeps, 1 / (share * total)), by, tokens, targets, 2 * sweeps)
+    bounded = rake(cells, by, tokens, targets, MOST_SWEEPS, 1 / (share * total), within=TOLERANCE)
+    return rake(bounded, by, tokens, targets, MOST_SWEEPS, within=TOLERANCE)
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -124,7 +152,7 @@ def mix(
     targets = targets or {a: write_table(tempered(cells, a, "_tokens", power), "mixing-targets") for a in names}
     total = cells.agg(F.sum("_tokens")).first()[0] or 0
     if meet and total:
-        raked = rake_within(cells, names, "_tokens", targets, total, budget, sweeps)
+        raked = rake_within(cells, names, "_tokens", targets, total, budget)
     else:
         raked = rake(cells, names, "_tokens", targets, sweeps)
     # tokens in the target mix per token held
