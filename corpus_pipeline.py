@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import bpe, lines, mixing, shingles, toxicity
+from cartwheel.llm.common import DOCUMENT_COLUMNS
 from cartwheel.llm.queries import mixing_attributes, rank_file, toxicity_model
 from cartwheel.scratch import new_path, write_table
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def own_names(stage: Stage) -> Stage:
+    """The stage with all columns beside those of documents under names that no operator uses."""
+
+    @wraps(stage)
+    def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        beside = {c: f"beside_{i}" for i, c in enumerate(docs.columns) if c not in DOCUMENT_COLUMNS}
+        out = stage(spark, docs.select(*[docs[c].alias(beside.get(c, c)) for c in docs.columns]), sf_dir)
+        return out.select(*[out[beside.get(c, c)].alias(c) for c in docs.columns])
+
+    return apart
+
 
+@own_names
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half; what is toxic is learned from the labelled ones among them that are not held out."""
     scored = toxicity.score_texts(docs, "text", toxicity_model(docs, spark, sf_dir), score="_toxicity")
     return scored.filter("_toxicity < 0.5").select(*docs.columns)
 
 
+@own_names
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, less the later occurrences of three lines in a row; `n_chars` is that of the text that is left.
 
@@ -27,6 +47,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return cut.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+@own_names
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by five-word shingles of similarity 0.8 or more, the one with the smallest id.
 
@@ -43,6 +64,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return single.select(*docs.columns).unionByName(repeated).unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
 
 
+@own_names
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens meet tempered shares of source, language and topic at once in expectation, half of all tokens at most."""
     return mixing.mix(docs, "doc_id", "text", mixing_attributes(), meet=True).filter("_kept").select(*docs.columns)
