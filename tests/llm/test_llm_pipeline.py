@@ -5,8 +5,8 @@ from conftest import SF
 from test_llm_texts import brute_components, cut_lines
 
 import corpus_pipeline
-from cartwheel.llm import bpe
-from cartwheel.llm.queries import rank_file
+from cartwheel.llm import bpe, mixing
+from cartwheel.llm.queries import mixing_attributes, rank_file
 from cartwheel.scratch import write_table
 
 
@@ -57,3 +57,41 @@ def test_one_row_of_repeated_ids(spark):
     left = corpus_pipeline.one_of_each_group(spark, docs, SF).collect()
     found = sorted(((r.doc_id or 0, r.text) for r in left))
     assert found == sorted([(5, min(long, long.upper())), (3, "a b c d e f"), (3, "g h i j k l"), (4, "only this one here"), (2, ""), (0, "x"), (0, "x")])
+
+
+CLASHES = ["_cls", "_toxicity", "__line_id", "__line_key", "__line_spans", "__line_lines", "_lines_removed", "_kept", "_by_source", "_row", "score", "cls", "rows", "component_id", "beside_0"]
+
+
+def test_columns_with_clashing_names(spark):
+    """Every stage gives back what stood beside the documents as it was."""
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, long, "en", "a", 1), (2, long, "en", "a", 1), (3, "a b\n" * 9, "de", "b", 2), (3, "a b\n" * 9, "de", "b", 2), (4, None, None, None, None), (None, "x", "en", "a", 1)]
+    rows += [(100 + k, f"document {k} says {k * 7} things about {k * k}", "en", "ab"[k % 2], 9) for k in range(40)]
+    rows = [(*r, *[f"{n}-{r[0]}" for n in CLASHES]) for r in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in CLASHES)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = write_table(stage(spark, docs, SF), f"test-clash-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *CLASHES], name
+        after = docs.collect()
+        assert after and all(r[n] == f"{n}-{r.doc_id}" for r in after for n in CLASHES), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, _cls int")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = write_table(stage(spark, docs, SF), f"test-empty-{name}")
+        assert docs.count() == 0
+
+
+def test_mixing_meets_its_targets(spark):
+    """Expected shares of source, language and topic equal the tempered ones."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = mixing.mix(docs, "doc_id", "text", mixing_attributes(), meet=True).toPandas()
+    words = mixed.text.str.split().str.len()
+    held = words * mixed._keep_probability
+    for name in mixing_attributes():
+        tempered = words.groupby(mixed[f"_by_{name}"]).sum() ** mixing.TEMPERATURE
+        shares = held.groupby(mixed[f"_by_{name}"]).sum() / held.sum()
+        assert abs(shares - tempered / tempered.sum()).max() < 1e-3
