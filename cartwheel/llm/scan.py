@@ -21,8 +21,8 @@ EPSILON = 2.1
 TRIAL_QUERIES, REACHED = 500, 0.97
 # candidates that a list shall hold on average, as long as the sample can tell so many lists apart
 LIST_ROWS = 2048
-# candidates and queries that meet in one task
-CANDIDATES, QUERIES = 4096, 512
+# candidates and queries that meet in one task, and candidates between two raises of the bound
+CANDIDATES, QUERIES, SEGMENT = 4096, 512, 1024
 
 
 def rotation(length: int, seed: int = 11) -> np.ndarray:
@@ -32,40 +32,57 @@ def rotation(length: int, seed: int = 11) -> np.ndarray:
 
 
 def scan_block(
-    query: np.ndarray, query_id: int, turned: np.ndarray, rows: np.ndarray, spun: np.ndarray, norms: np.ndarray, ids: np.ndarray, k: int
+    query: np.ndarray,
+    query_id: int,
+    turned: np.ndarray,
+    rows: np.ndarray,
+    spun: np.ndarray,
+    norms: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    tau: float = -np.inf,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of one block for one query: positions and exact products, ties to the smaller id.
+    """Those of one block that may be among the k best of one query: positions and exact products, ties to the smaller id.
 
-    `spun` holds the rotated rows in column blocks. An inner product above tau
-    means a squared distance below |q|^2 + |x|^2 - 2 tau. A candidate goes as soon as
+    `tau` is a product that k candidates elsewhere have reached: nothing below it is returned.
+    It rises as candidates are scored. `spun` holds the rotated rows in column
+    blocks. An inner product above tau means a squared distance below |q|^2 + |x|^2 - 2 tau. A candidate goes as soon as
     the distance over the columns read so far, scaled to all, exceeds that by more
     than the test allows; what is left after the last column is scored exactly on
     the original vectors.
     """
-    d = len(query)
-    first = min(len(ids), 4 * k)
-    exact = np.where(ids[:first] == query_id, -np.inf, (rows[:first] * query).sum(axis=1))
-    tau = np.partition(exact, first - k)[first - k] if first > k else -np.inf
-    alive = np.arange(first, len(ids))
-    if len(alive) and tau > -np.inf:
-        limit = (query * query).sum() + norms[first:] - 2 * tau
-        part = np.zeros(len(alive))
-        for start in range(0, d, COLUMNS):
-            seen = min(start + COLUMNS, d)
-            gap = spun[start // COLUMNS][alive] - turned[start:seen]
-            part += (gap * gap).sum(axis=1)
-            scale = 1.0 + 1e-9 if seen == d else (1 + EPSILON / math.sqrt(seen)) ** 2 * seen / d
-            stay = part <= np.maximum(limit, 0) * scale + 1e-9
-            if not stay.all():
-                alive, part, limit = alive[stay], part[stay], limit[stay]
-            if not len(alive):
-                break
-    at = np.concatenate([np.arange(first), alive])
-    scores = np.concatenate([exact, (rows[alive] * query).sum(axis=1)])
-    other = ids[at] != query_id
-    at, scores = at[other], scores[other]
-    best = np.lexsort((ids[at], -scores))[:k]
-    return at[best], scores[best]
+    at, scores = np.zeros(0, np.int64), np.zeros(0)
+    length = (query * query).sum()
+    first = min(len(ids), 4 * k) if tau == -np.inf else 0
+    for begin in (0, *range(first, len(ids), SEGMENT)) if first else range(0, len(ids), SEGMENT):
+        end = first if first and not begin else min(begin + SEGMENT, len(ids))
+        alive = np.arange(begin, end)
+        if tau > -np.inf:
+            alive = _survivors(alive, length + norms[begin:end] - 2 * tau, turned, spun)
+        alive = alive[ids[alive] != query_id]
+        exact = (rows[alive] * query).sum(axis=1)
+        at, scores = np.concatenate([at, alive[exact >= tau]]), np.concatenate([scores, exact[exact >= tau]])
+        best = np.lexsort((ids[at], -scores))[:k]
+        at, scores = at[best], scores[best]
+        if len(at) == k:
+            tau = max(tau, scores[-1])
+    return at, scores
+
+
+def _survivors(alive: np.ndarray, limit: np.ndarray, turned: np.ndarray, spun: np.ndarray) -> np.ndarray:
+    """Candidates that no test over a part of the columns rules out."""
+    part, d = np.zeros(len(alive)), len(turned)
+    for start in range(0, d, COLUMNS):
+        seen = min(start + COLUMNS, d)
+        gap = spun[start // COLUMNS][alive] - turned[start:seen]
+        part += (gap * gap).sum(axis=1)
+        scale = 1.0 + 1e-9 if seen == d else (1 + EPSILON / math.sqrt(seen)) ** 2 * seen / d
+        stay = part <= np.maximum(limit, 0) * scale + 1e-9
+        if not stay.all():
+            alive, part, limit = alive[stay], part[stay], limit[stay]
+        if not len(alive):
+            break
+    return alive
 
 
 def _scan(turn: np.ndarray, k: int):
@@ -78,8 +95,8 @@ def _scan(turn: np.ndarray, k: int):
             norms = (rows * rows).sum(axis=1)
             asked = matrix(queries["vector"])
             turned = asked @ turn.T
-            for n, query_id in enumerate(queries["id"].to_pylist()):
-                at, scores = scan_block(asked[n], query_id, turned[n], rows, spun, norms, ids, k)
+            for n, (query_id, tau) in enumerate(zip(queries["id"].to_pylist(), queries["tau"].to_pylist(), strict=True)):
+                at, scores = scan_block(asked[n], query_id, turned[n], rows, spun, norms, ids, k, -np.inf if tau is None else tau)
                 out[0].append(np.full(len(at), query_id, np.int64))
                 out[1].append(ids[at])
                 out[2].append(scores)
@@ -106,43 +123,63 @@ def probes_for(points: np.ndarray, centroids: np.ndarray, k: int, share: float)
 
 
 def _in_lists(rows: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
-    """`rows` with a row per list: the nearest one, or the `probes` with the largest product for queries."""
+    """`rows` with a row per list: the nearest one, or for queries the `probes` with the largest product, numbered from the first."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             points = matrix(batch.column("vector"))
-            if probes:
-                products = points @ centroids.T
-                lists = np.argpartition(-products, min(probes, len(centroids)) - 1, axis=1)[:, :probes]
-            else:
-                lists = nearest(points, centroids, False)[:, None]
+            lists = np.argsort(-(points @ centroids.T), axis=1, kind="stable")[:, :probes] if probes else nearest(points, centroids, False)[:, None]
             at = pa.array(np.repeat(np.arange(len(points)), lists.shape[1]))
+            place = np.tile(np.arange(lists.shape[1]), len(points))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(lists.ravel(), pa.int32()), batch.column("id").take(at), batch.column("vector").take(at)],
-                names=["list", "id", "vector"],
+                [pa.array(lists.ravel(), pa.int32()), pa.array(place, pa.int32()), batch.column("id").take(at), batch.column("vector").take(at)],
+                names=["list", "place", "id", "vector"],
             )
 
-    return rows.select("id", "vector").mapInArrow(assign, "list int, id long, vector array<double>")
+    return rows.select("id", "vector").mapInArrow(assign, "list int, place int, id long, vector array<double>")
+
+
+def _met(probing: DataFrame, stored: DataFrame, scan, name: str) -> DataFrame:
+    """(query_id, vec_id, score): what the queries (list, id, vector, tau) find in their lists, block by block."""
+    sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / CANDIDATES).cast("int").alias("parts"))
+    asking = probing.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("turns"))
+    plan = write_table(sizes.join(asking, "list"), "list-plan")
+    slot = F.xxhash64("id", F.lit(5))
+    left = probing.join(plan, "list").select(
+        "list", "id", "vector", "tau", F.pmod(slot, "turns").cast("int").alias("turn"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    )
+    right = stored.join(plan, "list").select(
+        "list", "id", "vector", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.pmod(slot, "parts").cast("int").alias("part")
+    )
+    key = ["list", "turn", "part"]
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(scan, "query_id long, vec_id long, score double")
+    return write_table(found, name)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def search(
     df: DataFrame, vec_id: str, vector: str, queries: DataFrame, k: int = 20, lists: int | None = None, probes: int | None = None
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k largest inner products found for each row of `queries` among the rows of `df`.
+    """(query_id, rank, vec_id, score): the k largest inner products found for each id of `queries` among the rows of `df`.
 
     A query never finds a row with its own id. Ties go to the smaller id. Unusable
     vectors (see `usable`) neither search nor are found; repeated rows are found
-    each on their own. Fewer than k candidates give all of them.
+    each on their own. An id that asks more than once asks with its smallest vector. Fewer than k candidates give all of them.
 
     Centroids are fitted on a bounded sample; every row is put into a list. By
     default there is a list for every LIST_ROWS rows, and as many are probed as the sample's own
-    neighbours call for. A large list is cut into blocks of candidates, and the queries that
+    neighbours call for. A query scans its first list, then twice as many at a time, and
+    takes the product of its k-th best so far along: a list returns only what reaches it. A large list is cut into blocks of candidates, and the queries that
     probe it into blocks too, so one task never holds more than a block of each.
     """
     rows = usable(df, vec_id, vector)
-    asked = usable(queries, vec_id, vector)
+    asked = usable(queries, vec_id, vector).groupBy("id").agg(F.min("vector").alias("vector"))
     picked = sample(rows)
     if not len(picked):
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -152,19 +189,10 @@ def search(
     probes = min(len(centroids), probes or probes_for(picked, centroids, k, REACHED))
     stored = write_table(_in_lists(rows, centroids, 0), "list-rows")
     probing = write_table(_in_lists(asked, centroids, probes), "list-queries")
-    sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / CANDIDATES).cast("int").alias("parts"))
-    asking = probing.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("turns"))
-    plan = write_table(sizes.join(asking, "list"), "list-plan")
-    slot = F.xxhash64("id", F.lit(5))
-    left = probing.join(plan, "list").select(
-        "list", "id", "vector", F.pmod(slot, "turns").cast("int").alias("turn"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    )
-    right = stored.join(plan, "list").select(
-        "list", "id", "vector", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.pmod(slot, "parts").cast("int").alias("part")
-    )
-    key = ["list", "turn", "part"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        _scan(rotation(picked.shape[1]), k), "query_id long, vec_id long, score double"
-    )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scan = _scan(rotation(picked.shape[1]), k)
+    found, begin = _met(probing.filter("place = 0").withColumn("tau", F.lit(None).cast("double")), stored, scan, "list-found"), 1
+    while begin < probes:  # as many lists as so far and one: each round returns about k rows a query
+        bounds = _ranked(found, k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("tau"))
+        more = _met(probing.filter(F.col("place").between(begin, 2 * begin)).join(bounds, "id", "left"), stored, scan, "list-found")
+        found, begin = found.unionByName(more), 2 * begin + 1
+    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")

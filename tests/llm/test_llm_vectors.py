@@ -119,3 +119,33 @@ def test_scan_prunes_and_keeps_the_best(spark):
         hits += len(set(at) & set(np.argsort(-exact)[:20]))
         assert np.allclose(scores, exact[at])
     assert hits / 1200 > 0.97
+
+
+def test_a_carried_bound_leaves_out_what_cannot_count(spark):
+    """Of two halves of a list, the second returns only what reaches the first one's k-th product; nothing near is lost."""
+    random = np.random.default_rng(4)
+    vectors, ids = random.normal(size=(4000, 32)), np.arange(4000)
+    turn = scan.rotation(32)
+    hits = returned = 0
+    for q in range(40):
+        found, tau = [], -np.inf
+        for half in (slice(0, 2000), slice(2000, 4000)):
+            spun = vectors[half] @ turn.T
+            columns = [np.ascontiguousarray(spun[:, s : s + scan.COLUMNS]) for s in range(0, 32, scan.COLUMNS)]
+            at, scores = scan.scan_block(vectors[q], q, vectors[q] @ turn.T, vectors[half], columns, (vectors[half] ** 2).sum(axis=1), ids[half], 20, tau)
+            assert (scores >= tau).all() and np.allclose(scores, vectors[half][at] @ vectors[q])
+            found += list(ids[half][at])
+            tau = max(tau, scores.min()) if len(scores) == 20 else tau
+        exact = vectors @ vectors[q]
+        exact[q] = -np.inf
+        hits += len(set(found) & set(np.argsort(-exact)[:20]))
+        returned += len(found)
+    assert hits / 800 > 0.97 and returned < 40 * 39
+
+
+def test_repeated_queries_ask_once(spark):
+    random = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in random.normal(size=8)], 1) for i in range(61)]
+    table = table_of(spark, [*rows, rows[20]])
+    found = scan.search(table, "vec_id", "embedding", table.filter("vec_id = 20"), k=20, lists=4, probes=4).collect()
+    assert [r.rank for r in found] == list(range(1, 21)) and len({r.vec_id for r in found}) == 20
