@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from datetime import date as Date
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from cartwheel.sources.online import online_upsert
 from cartwheel.sources.tables import (
     bronze_scan,
     feature_source,
+    table_exists,
     table_scan,
     write_day_states,
     write_entity_table,
@@ -39,6 +40,7 @@ from cartwheel.sources.tables import (
     write_silver_events,
 )
 
+STATES = ("sessions", "categories", "pairs", "items")
 VIEWS = {"gold/user_features": USER_VIEW, "gold/item_features": ITEM_VIEW, "gold/cross_features": CROSS_VIEW}
 
 
@@ -123,24 +125,27 @@ class DailyJobs:
         date = table.filter(F.col("date") < self.date).agg(F.max("date")).first()[0] if before else self.date
         return table.filter(F.col("date") == date).drop("date")
 
-    def day_states(self, first: str | None = None, sketches: bool = False) -> None:
+    def day_states(self, first: str | None = None, sketches: bool = False, only: tuple[str, ...] = STATES) -> None:
         """Add this date's states to those of earlier days; with `first`, start anew with all days from there on.
 
+        Users need sessions, categories and pairs, items need items and pairs: `only` names those to write.
         Reads this date's events, the session states of the window before, and the last
         lives. Dates run in order; one that is run again replaces its own states, and those after it are to be run again too.
         """
         begin = Date.fromisoformat(first) if first else self.day
         days = (self.day - begin).days + 1
         events = in_days(self.read("silver/events"), self.day, days)
-        known = None if first else in_days(self.read("state/sessions"), begin - timedelta(days=1), WINDOW_DAYS)
+        known = None if first or "sessions" not in only else in_days(self.read("state/sessions"), begin - timedelta(days=1), WINDOW_DAYS)
         for name, rows in day_states(events, known).items():
-            write_day_states(rows, self.path(f"state/{name}"), self.fmt)
-        new = {name: in_days(rows, self.day, days) for name, rows in self.states("sessions", "items", "pairs").items()}
+            if name in only:
+                write_day_states(rows, self.path(f"state/{name}"), self.fmt)
+        new = {name: in_days(rows, self.day, days) for name, rows in self.states(*only).items()}
         if sketches:
             write_day_states(user_sketches(new["pairs"], new["sessions"]), self.path("state/user_sketches"), self.fmt)
             write_day_states(item_sketches(new["pairs"]), self.path("state/item_sketches"), self.fmt)
-        for name, build, rows in (("user_lives", user_lives, new["sessions"]), ("item_lives", item_lives, new["items"])):
-            self._write_gold(build(rows, None if first else self.lives(name, before=True)), f"state/{name}")
+        for name, build, of in (("user_lives", user_lives, "sessions"), ("item_lives", item_lives, "items")):
+            if of in only:
+                self._write_gold(build(new[of], None if first else self.lives(name, before=True)), f"state/{name}")
 
     def gold_users_from_states(self, as_of: Column | None = None, approximate: bool = False, name: str = "gold/user_features") -> None:
         states = self.states("sessions", "categories", "user_sketches" if approximate else "pairs")
@@ -166,6 +171,29 @@ class DailyJobs:
         rows = materialize(feature_view(source, view), view, start, end)
         online_upsert(rows, self.path(f"online/{view.name}"), batch_id, writer=f"{view.name}-{self.date}")
 
+    def published_until(self, name: str) -> datetime | None:
+        """The end of the last complete incremental publication of a view."""
+        path = self.path(f"online/_published/{VIEWS[name].name}")
+        if not table_exists(self.spark, path):
+            return None
+        self.spark.catalog.refreshByPath(path)
+        newest = self.spark.read.schema("until string").parquet(path).agg(F.max("until")).first()[0]
+        return newest and datetime.fromisoformat(newest)
+
+    def publish_incremental(self, name: str, end: datetime) -> None:
+        """Materialise the snapshots since the last publication, or those of the view's lifetime before `end` at first.
+
+        Where the last one ended is written down once the rows are there: a run that stops before that is
+        repeated whole and replaces its own batch.
+        """
+        view = VIEWS[name]
+        start = self.published_until(name) or end - timedelta(days=view.ttl_days)
+        if start >= end:
+            return
+        self.publish(name, start, end, batch_id=int(end.timestamp()))
+        until = self.spark.range(1).select(F.lit(end.isoformat()).alias("until"))
+        until.write.mode("append").parquet(self.path(f"online/_published/{view.name}"))
+
     def run(self, bronze_path: str, catalog: DataFrame | None = None) -> None:
         self.silver_events(bronze_path)
         self.silver_entities(catalog)

@@ -383,24 +383,27 @@ def _(spark, sf_dir):
     return gold_users(spark, sf_dir, days=10)
 
 
-def increments(spark: SparkSession, sf_dir: str, build: Callable[[DailyJobs], None], *names: str, sketches: bool = False) -> list[DataFrame]:
+USER_STATES = ("sessions", "categories", "pairs")
+
+
+def increments(spark: SparkSession, sf_dir: str, build: Callable[[DailyJobs], None], only: tuple[str, ...], *names: str, sketches: bool = False) -> list[DataFrame]:
     """Tables of three snapshots, from states that were filled up to the fourth newest day at once and then three times by a day."""
     root, events = new_path(spark, "lake"), silver(spark, sf_dir)
     tables.write_silver_events(events, f"{root}/silver/events")
     events = tables.table_scan(spark, f"{root}/silver/events")
     tables.write_entity_table(catalogued_items(spark, sf_dir, events), f"{root}/silver/items")
     first, newest = (datetime.fromisoformat(x) for x in events.agg(F.min("event_date").cast("string"), F.max("event_date").cast("string")).first())
-    DailyJobs(spark, root, f"{newest - timedelta(days=3):%Y-%m-%d}").day_states(first=f"{first:%Y-%m-%d}", sketches=sketches)
+    DailyJobs(spark, root, f"{newest - timedelta(days=3):%Y-%m-%d}").day_states(first=f"{first:%Y-%m-%d}", sketches=sketches, only=only)
     for age in (2, 1, 0):
         jobs = DailyJobs(spark, root, f"{newest - timedelta(days=age):%Y-%m-%d}")
-        jobs.day_states(sketches=sketches)
+        jobs.day_states(sketches=sketches, only=only)
         build(jobs)
     return [tables.table_scan(spark, f"{root}/{name}").withColumn("date", F.col("date").cast("string")) for name in names]
 
 
 @query("u14_user_features_from_states")
 def _(spark, sf_dir):
-    return increments(spark, sf_dir, lambda jobs: jobs.gold_users_from_states(), "gold/user_features")[0]
+    return increments(spark, sf_dir, lambda jobs: jobs.gold_users_from_states(), USER_STATES, "gold/user_features")[0]
 
 
 @query("u14_user_features_sketched")
@@ -411,7 +414,7 @@ def _(spark, sf_dir):
         jobs.gold_users_from_states()
         jobs.gold_users_from_states(approximate=True, name="gold/user_features_sketched")
 
-    exact, found = increments(spark, sf_dir, both_forms, "gold/user_features", "gold/user_features_sketched", sketches=True)
+    exact, found = increments(spark, sf_dir, both_forms, USER_STATES, "gold/user_features", "gold/user_features_sketched", sketches=True)
     names = ["user_distinct_items_viewed_30d", "user_sessions_7d"]
     both = exact.select("user_id", "date", *names).join(found.select("user_id", "date", *[F.col(n).alias(f"est_{n}") for n in names]), ["user_id", "date"])
     off = [F.count_if(~(F.abs(F.col(f"est_{n}") - F.col(n)) <= 1 + 0.0813 * F.col(n))).alias(f"off_{n}") for n in names]
@@ -420,7 +423,7 @@ def _(spark, sf_dir):
 
 @query("i13_item_features_from_states")
 def _(spark, sf_dir):
-    return increments(spark, sf_dir, lambda jobs: jobs.gold_items_from_states(declared_only=True), "gold/item_features")[0]
+    return increments(spark, sf_dir, lambda jobs: jobs.gold_items_from_states(declared_only=True), ("items", "pairs"), "gold/item_features")[0]
 
 
 # ---- items ----

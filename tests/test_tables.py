@@ -56,6 +56,25 @@ def test_published_rows(warehouse, spark):
     assert online.online_log(spark, warehouse.path("online/user_features")).count() == 15
 
 
+def test_publishing_goes_on_where_it_ended(warehouse, spark, monkeypatch):
+    jobs = DailyJobs(spark, warehouse.root, "2024-01-30")
+    path = jobs.path("online/item_features")
+    assert jobs.published_until("gold/item_features") is None
+    with monkeypatch.context() as patch:
+        patch.setattr("cartwheel.plans.daily.online_upsert", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.publish_incremental("gold/item_features", datetime(2024, 1, 31))
+    assert jobs.published_until("gold/item_features") is None
+    jobs.publish_incremental("gold/item_features", datetime(2024, 1, 31))
+    first = online.online_log(spark, path).count()
+    assert first > 50 and jobs.published_until("gold/item_features") == datetime(2024, 1, 31)
+    jobs.publish_incremental("gold/item_features", datetime(2024, 1, 31))
+    snapshot = jobs.snapshot("gold/item_features").limit(3)
+    tables.write_gold_snapshot(snapshot, jobs.path("gold/item_features"), "2024-02-01")
+    jobs.publish_incremental("gold/item_features", datetime(2024, 2, 2))
+    assert online.online_log(spark, path).count() == first + 3
+
+
 def test_backfill_ignores_later_events(warehouse, spark):
     past = DailyJobs(spark, warehouse.root, "2024-01-10", anchor="2024-01-10")
     past.gold_users(with_embeddings=False)
