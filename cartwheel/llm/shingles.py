@@ -34,7 +34,8 @@ HOT = 40
 BITMAP = 1 << 22
 # bits of the sketch of a set
 SKETCH = 1024
-REMEMBERED = 300_000
+# words whose hashes one worker remembers, and texts whose sets it holds at a time
+REMEMBERED, TOGETHER = 150_000, 1_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -75,10 +76,17 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a bounded number of texts."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(start, TOGETHER)
+
+
 def _summaries(words: int, percent: int):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        for batch in batches:
+        for batch in _parts(batches):
             sizes, classes, prefixes = [], [], []
             for value in batch.column("text"):
                 members = shingle_set(value.as_py(), words, known)
@@ -112,7 +120,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        for batch in batches:
+        for batch in _parts(batches):
             slots = batch.column("slot").to_numpy(zero_copy_only=False)
             sets = [
                 shingle_set(batch.column("text")[k].as_py(), words, known)
