@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -32,17 +34,36 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that starts in here go when it ends: what it wrote is all that later jobs read."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
     """Write `df` once and return a scan over the written table, read as `schema` if given."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
-def drop_table(table: DataFrame) -> None:
+def drop_table(*tables: DataFrame) -> None:
     """Remove what `write_table` wrote, once nothing that is still to run reads it. Only folders below the shared root go."""
-    spark = table.sparkSession
-    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if shared_root(spark).rpartition(":")[2].rstrip("/") in folder:
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for table in tables:
+        spark = table.sparkSession
+        to_path = spark._jvm.org.apache.hadoop.fs.Path
+        root = to_path(shared_root(spark)).toUri().getPath().rstrip("/")
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = to_path(folder)
+            if path.getParent().toUri().getPath() == root:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
