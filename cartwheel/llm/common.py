@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.scratch import write_table
+from cartwheel.scratch import drop_table, write_table
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -41,7 +41,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Large-star and small-star rounds in turn. Every round is written to the
     shared folder, so that its lineage ends there. A node with very many links
     only ever meets them in joins, which AQE may split, and in minima, which
-    are taken before the shuffle too.
+    are taken before the shuffle too. The tables of a round go with the next one.
     """
     current = write_table(
         edges.filter(F.col("u") != F.col("v"))
@@ -62,6 +62,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         # every link now points from a node to a smaller one
         root = write_table(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-small")
         joined = large.join(root, "u")
+        last = current
         current = write_table(
             joined.filter(F.col("v") != F.col("m"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -69,6 +70,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct(),
             f"{name}-small-links",
         )
+        drop_table(last, least, large, root)
         # the same links again: all are stars around the smallest node
         after = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if after == before:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.llm.common import components
-from cartwheel.scratch import write_table
+from cartwheel.scratch import drop_table, write_table
 
 # a shingle in more prefixes than this comes last in the order of all shingles
 HOT = 40
@@ -162,22 +162,25 @@ def _promising(met: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (u, v) whose sets are similar enough."""
+    """Those of the pairs (u, v) whose sets are similar enough. `pairs` is a scratch table, and gone afterwards."""
     asked = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
     sets = write_table(_sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words), "shingle-sets")
     # most pairs differ in so many bits of their sketches that their sets need not be looked at
     a, b = (sets.select(F.col("cls").alias(x), F.col("size").alias(f"{x}_size"), F.col("sketch").alias(f"{x}_sketch")) for x in ("u", "v"))
     apart = F.expr("aggregate(zip_with(u_sketch, v_sketch, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    pairs = write_table(
+    close = write_table(
         pairs.join(a, "u").join(b, "v").filter(apart * (100 + percent) <= (F.col("u_size") + F.col("v_size")) * (100 - percent)).select("u", "v").distinct(),
         "shingle-close",
     )
     both = (
-        pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
+        close.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
         .join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
         .withColumn("shared", F.size(F.array_intersect("a", "b")))
     )
-    return both.filter(F.col("shared") * 100 >= (F.size("a") + F.size("b") - F.col("shared")) * percent).select("u", "v")
+    links = both.filter(F.col("shared") * 100 >= (F.size("a") + F.size("b") - F.col("shared")) * percent)
+    links = write_table(links.select("u", "v"), "shingle-links")
+    drop_table(pairs, sets, close)
+    return links
 
 
 def similar_documents(df: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
@@ -207,29 +210,34 @@ def with_class(df: DataFrame, text: str, words: int) -> DataFrame:
 def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     """`similar_documents` with `cls`, the same for rows with equal shingle sets."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = write_table(docs.mapInArrow(_summaries(words, percent), "doc_id long, n long, cls long, front array<long>"), "shingle-rows")
+    fronts = write_table(docs.mapInArrow(_summaries(words, percent), "doc_id long, n long, cls long, front array<long>"), "shingle-rows")
     length = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
     # equal sets are one class: the large part of a group of copies ends here
-    classes = write_table(
-        rows.filter("n > 0 AND doc_id IS NOT NULL")
+    leaders = write_table(
+        fronts.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("cls")
         .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("front").alias("front"))
         .withColumn("length", length),
-        "shingle-classes",
+        "shingle-leaders",
     )
+    # fronts are long: only postings are made of them
+    rows = write_table(fronts.select("doc_id", "n", "cls"), "shingle-sizes")
+    classes = write_table(leaders.select("cls", "low", "n"), "shingle-classes")
+    drop_table(fronts)
     # equal prefixes and sizes are one group, led by its smallest class
     prefix = F.slice("front", F.lit(1), F.col("length"))
-    keyed = classes.select("cls", F.xxhash64("n", prefix).alias("h"), F.xxhash64(F.lit(1), prefix, "n").alias("g"))
+    keyed = leaders.select("cls", F.xxhash64("n", prefix).alias("h"), F.xxhash64(F.lit(1), prefix, "n").alias("g"))
     groups = write_table(keyed.groupBy("h", "g").agg(F.min("cls").alias("head"), F.count("*").alias("size")).filter("size > 1"), "shingle-groups")
     followers = write_table(keyed.join(groups, ["h", "g"]).filter("cls <> head").select("cls", "head"), "shingle-followers")
 
     # ---- the order of shingles: those that many groups hold come last ----
     leading = F.col("head").isNull()
     postings = (
-        classes.join(followers, "cls", "left")
+        leaders.join(followers, "cls", "left")
         .select(F.col("cls").alias("unit"), "head", "n", F.posexplode("front").alias("at", "token"))
     )
     postings = write_table(postings, "shingle-postings")
+    drop_table(groups, leaders)
     counts = write_table(postings.groupBy("token").agg(F.count_if(leading).alias("df"), F.count("*").alias("all")).filter("all > 1"), "shingle-counts")
     shared = postings.join(counts.select("token", (F.col("df") > HOT).cast("int").alias("late")), "token")
     # both follow from the size: no need to carry them along
@@ -268,24 +276,31 @@ def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent:
         "unit", "n", "length", (F.col("at") - F.col("before")).cast("int").alias("pos"), "token"
     )
     lists = write_table(kept.unionByName(filled), "shingle-lists")
+    drop_table(short_sets)
     # a shingle of one front only is shared after all where a filled list took it from beyond its own front
     taken = lists.select("token").distinct().join(counts.select("token"), "token", "left_anti")
     lone = postings.join(taken, "token", "left_semi").join(short.select(F.col("cls").alias("unit")), "unit", "left_anti")
     lone = lone.filter(leading).unionByName(lone.filter(~leading).join(loose, "unit", "left_semi"))
     lone = write_table(lone.select("unit", "n", "at", "token", F.lit(0).alias("late")), "shingle-lone")
+    drop_table(postings, counts, short, moved)
     ahead = placed.filter("late = 1").select("unit", "n", "at", "token", "late").join(lone.select("unit").distinct(), "unit", "left_semi")
-    lone = lone.unionByName(ahead).withColumns({"length": length, "pos": (F.col("at") - F.sum("late").over(so_far)).cast("int")})
-    lone = write_table(lone.filter((F.col("late") == 0) & (F.col("pos") < F.col("length"))).select("unit", "n", "length", "pos", "token"), "shingle-lone-lists")
-    lists = lists.unionByName(lone)
+    placed_lone = lone.unionByName(ahead).withColumns({"length": length, "pos": (F.col("at") - F.sum("late").over(so_far)).cast("int")})
+    placed_lone = placed_lone.filter((F.col("late") == 0) & (F.col("pos") < F.col("length"))).select("unit", "n", "length", "pos", "token")
+    placed_lone = write_table(placed_lone, "shingle-lone-lists")
+    drop_table(placed, lone)
+    every = lists.unionByName(placed_lone)
     lead = F.min(F.struct("unit", "n", "length", "pos")).alias("lead")
-    first = lists.groupBy("token").agg(lead, F.count("*").alias("df")).filter("df > 1").select("token", *[F.col(f"lead.{c}").alias(f"b_{c}") for c in ("unit", "n", "length", "pos")])
-    lists = write_table(lists.join(write_table(first, "shingle-pivots"), "token"), "shingle-shared")
+    first = every.groupBy("token").agg(lead, F.count("*").alias("df")).filter("df > 1").select("token", *[F.col(f"lead.{c}").alias(f"b_{c}") for c in ("unit", "n", "length", "pos")])
+    pivots = write_table(first, "shingle-pivots")
+    candidates = write_table(every.join(pivots, "token"), "shingle-shared")
+    drop_table(lists, placed_lone, pivots)
+    lists = candidates
 
     # ---- first, one comparison for each class: with the class it shares most lists with among those that lead them ----
     votes = _promising(lists.withColumnsRenamed({c: f"a_{c}" for c in ("unit", "n", "length", "pos")}).filter("a_unit <> b_unit"), percent)
     chosen = votes.groupBy("a_unit").agg(F.max_by("b_unit", F.struct("common", -F.col("b_unit"))).alias("b_unit"))
     pairs = chosen.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("v")).unionByName(bound.select(F.col("cls").alias("u"), F.col("head").alias("v")))
-    links = write_table(_verified(write_table(pairs, "shingle-pairs"), docs, classes, words, percent), "shingle-links")
+    links = _verified(write_table(pairs, "shingle-pairs"), docs, classes, words, percent)
     joined = write_table(components(links, "shingle-components"), "shingle-joined")
 
     # ---- then every candidate that is not connected yet ----
@@ -300,6 +315,7 @@ def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent:
     open_lists = side.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("component").alias("known"), F.count("*").alias("all"))
     open_lists = open_lists.filter("least IS NULL OR least <> most OR known < all").select("token")
     side = write_table(side.join(open_lists, "token"), "shingle-open")
+    drop_table(lists, joined)
     left, right = (side.withColumnsRenamed({c: f"{p}_{c}" for c in ("unit", "n", "length", "pos", "component")}) for p in ("a", "b"))
     apart = ~F.coalesce(F.col("a_component") == F.col("b_component"), F.lit(False))
     unit_pairs = _promising(left.join(right, "token").filter((F.col("a_unit") < F.col("b_unit")) & apart), percent).select("a_unit", "b_unit")
@@ -312,11 +328,13 @@ def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent:
         .select("u", "v")
     )
     expanded = write_table(expanded, "shingle-pairs")
+    drop_table(side, unit, bound, followers)
     links = links.unionByName(_verified(expanded, docs, classes, words, percent))
     found = write_table(components(links, "shingle-final"), "shingle-found")
     named = classes.select("cls", "low").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "low", F.coalesce("component", "cls").alias("component"))
     lowest = write_table(named.groupBy("component").agg(F.min("low").alias("component_id")), "shingle-lowest")
     result = write_table(named.join(lowest, "component").select("cls", "component_id"), "shingle-result")
+    drop_table(found, lowest, classes)
     takes_part = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return rows.join(result, "cls", "left").select(
         "doc_id", "cls", F.col("n").alias("n_shingles"), F.when(takes_part, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
