@@ -1,10 +1,13 @@
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
+from cartwheel import scratch
 from cartwheel.operators import views
 from cartwheel.plans.daily import DailyJobs
 from cartwheel.plans.retail_tables import catalog, raw_events
@@ -179,3 +182,18 @@ def test_days_of_a_span_are_cut_before_they_are_exploded(spark):
     snapshots = spark.createDataFrame([("u", f"2024-01-{d:02d}", d) for d in range(1, 28)], "user_id string, date string, score int")
     plan = views.point_in_time_join(labels, snapshots, ("user_id",), ttl_days=3)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode(filter(" in plan
+
+
+def test_scratch_tables_free_what_they_replace(spark, tmp_path):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    first, second = scratch.write_table(counted, "freed-a"), scratch.write_table(counted, "freed-b")
+    assert spark.conf.get(key, None) == before
+    assert first.exceptAll(second).count() == 0 and first.agg(F.sum("n")).first()[0] == 1000
+    counted.write.parquet(f"{tmp_path}/outside")
+    outside = spark.read.parquet(f"{tmp_path}/outside")
+    gone = {*first.inputFiles(), *second.inputFiles()}
+    scratch.drop_table(first, second, outside)
+    assert gone and not any(Path(urlparse(file).path).exists() for file in gone)
+    assert outside.count() == 7
