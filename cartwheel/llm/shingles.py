@@ -2,15 +2,16 @@
 
 A document's set of shingles is sorted by hash; two sets of Jaccard similarity t or
 more share a member among their first n - ceil(t n) + 1. Documents with equal
-sets are one class. Classes with the same prefix and size are one group; groups
-that share a prefix member and whose sizes allow it are candidates, and only those
-are expanded to their members and compared.
+sets are one class. Classes that share a prefix member are candidates where their
+sizes and the sketches of their sets allow the similarity; only those are compared.
 
 Two things keep common passages and large groups of near copies from pairing all
-with all. Shingles that very many groups hold in their prefixes come last in the
-order, so that a prefix is made of rarer ones where there are any. And each group is
-first compared with one other only; after that, members of one component need
-no comparison any more, since all that is asked for is who is connected.
+with all. Shingles that very many classes hold in their prefixes come last in the
+order, so that a prefix is made of rarer ones where there are any. And each class is
+first compared with the least and the greatest class of every list that it stands
+in; after that, members of one component need no comparison any more, since all that
+is asked for is who is connected. What is left meets list by list, where sketches
+tell pairs apart in the join itself: it makes rows of very similar texts only.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +33,9 @@ from cartwheel.scratch import drop_table, write_table
 HOT = 40
 # bits that tell which texts have to be read again
 BITMAP = 1 << 22
-# bits of the sketch of a set
+# bits of the sketch of a set, and its columns
 SKETCH = 1024
+SKETCH_COLUMNS = [f"s{k}" for k in range(SKETCH // 64)]
 # words whose hashes one worker remembers, and texts whose sets it holds at a time
 REMEMBERED, TOGETHER = 150_000, 1_000
 
@@ -76,6 +78,12 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def _sketch(members: np.ndarray) -> np.ndarray:
+    """A bit for each member, SKETCH bits in all: two sketches never differ in more bits than their sets differ in members."""
+    # parities: members that both hold cancel out
+    return np.packbits((np.bincount(members & (SKETCH - 1), minlength=SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in parts of a bounded number of texts."""
     for batch in batches:
@@ -87,15 +95,17 @@ def _summaries(words: int, percent: int):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for batch in _parts(batches):
-            sizes, classes, prefixes = [], [], []
+            sizes, classes, sketches, prefixes = [], [], [], []
             for value in batch.column("text"):
                 members = shingle_set(value.as_py(), words, known)
                 sizes.append(len(members))
                 classes.append(_class_of(members))
+                sketches.append(_sketch(members))
                 # the prefix and half as much: what comes in for shingles that move to the end of the order
                 prefixes.append(members[: _prefix_length(len(members), percent) * 3 // 2] if len(members) else members)
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "front"])
+            lists = (pa.array(x, pa.list_(pa.int64())) for x in (sketches, prefixes))
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "sketch", "front"])
 
     return summarise
 
@@ -111,11 +121,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(cls, size, sketch, members) of the documents with the given ids, and of a few others; texts are not shuffled for it.
-
-    The sketch has a bit for each member, SKETCH bits in all: two sketches never
-    differ in more bits than their sets differ in members.
-    """
+    """(cls, members) of the documents with the given ids, and of a few others; texts are not shuffled for it."""
     wanted = _bitmap(ids)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,60 +132,39 @@ def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 shingle_set(batch.column("text")[k].as_py(), words, known)
                 for k in np.flatnonzero(wanted[slots >> 5] >> (slots & 31) & 1).tolist()
             ]
-            sketches = []
-            for x in sets:
-                bits = np.zeros(SKETCH, np.uint8)
-                np.add.at(bits, (x & (SKETCH - 1)), 1)  # parities: members that both hold cancel out
-                sketches.append(np.packbits(bits & 1).view(np.int64))
-            columns = [
-                pa.array([_class_of(x) for x in sets], pa.int64()),
-                pa.array([len(x) for x in sets], pa.int64()),
-                pa.array(sketches, pa.list_(pa.int64())),
-                pa.array(sets, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["cls", "size", "sketch", "members"])
+            columns = [pa.array([_class_of(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["cls", "members"])
 
     rows = docs.filter("doc_id IS NOT NULL").select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).alias("slot"), "text")
-    return rows.mapInArrow(build, "cls long, size long, sketch array<long>, members array<long>")
+    return rows.mapInArrow(build, "cls long, members array<long>")
+
+
+def _prefixed(rows: DataFrame, prefix: str, but: tuple[str, ...] = ()) -> DataFrame:
+    return rows.withColumnsRenamed({c: f"{prefix}_{c}" for c in rows.columns if c not in but})
 
 
-def _promising(met: DataFrame, percent: int) -> DataFrame:
-    """(a_unit, b_unit, common) of the pairs whose prefixes allow the similarity; `met` has a row per shared member.
+def _may_link(percent: int) -> Column:
+    """Whether sizes and sketches of `a` and `b` allow the similarity: most pairs end here, without their sets.
 
-    Up to the last shared member both prefixes are known in full: what one holds
-    and the other does not adds up to the places before it less the shared ones.
-    What follows is shared by neither, as far as the prefix that ends first goes.
-    Sets differ in at most (100 - p) / (100 + p) of the sum of their sizes.
+    Sets that link differ in at most (100 - p) / (100 + p) of the sum of their sizes.
     """
-    sizes = F.col("a_n") + F.col("b_n")
-    pairs = (
-        met.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
-        .groupBy("a_unit", "b_unit", "a_n", "b_n", "a_length", "b_length")
-        .agg(F.count("*").alias("common"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"))
-    )
-    apart = F.col("a_pos") + F.col("b_pos") + 2 - 2 * F.col("common") + F.least(F.col("a_length") - F.col("a_pos") - 1, F.col("b_length") - F.col("b_pos") - 1)
-    return pairs.filter(apart * (100 + percent) <= sizes * (100 - percent)).select("a_unit", "b_unit", "common")
+    apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH_COLUMNS[1:]), F.bit_count(F.col("a_s0").bitwiseXOR(F.col("b_s0"))))
+    sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    return sizes & (apart * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (u, v) whose sets are similar enough. `pairs` is a scratch table, and gone afterwards."""
     asked = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
-    sets = write_table(_sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words), "shingle-sets")
-    # most pairs differ in so many bits of their sketches that their sets need not be looked at
-    a, b = (sets.select(F.col("cls").alias(x), F.col("size").alias(f"{x}_size"), F.col("sketch").alias(f"{x}_sketch")) for x in ("u", "v"))
-    apart = F.expr("aggregate(zip_with(u_sketch, v_sketch, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    close = write_table(
-        pairs.join(a, "u").join(b, "v").filter(apart * (100 + percent) <= (F.col("u_size") + F.col("v_size")) * (100 - percent)).select("u", "v").distinct(),
-        "shingle-close",
-    )
+    sets = write_table(_sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words).dropDuplicates(["cls"]), "shingle-sets")
     both = (
-        close.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
+        pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
         .join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
         .withColumn("shared", F.size(F.array_intersect("a", "b")))
     )
     links = both.filter(F.col("shared") * 100 >= (F.size("a") + F.size("b") - F.col("shared")) * percent)
     links = write_table(links.select("u", "v"), "shingle-links")
-    drop_table(pairs, sets, close)
+    drop_table(pairs, sets)
     return links
 
 
@@ -210,57 +195,36 @@ def with_class(df: DataFrame, text: str, words: int) -> DataFrame:
 def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     """`similar_documents` with `cls`, the same for rows with equal shingle sets."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    fronts = write_table(docs.mapInArrow(_summaries(words, percent), "doc_id long, n long, cls long, front array<long>"), "shingle-rows")
+    schema = "doc_id long, n long, cls long, sketch array<long>, front array<long>"
+    fronts = write_table(docs.mapInArrow(_summaries(words, percent), schema), "shingle-rows")
     length = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
     # equal sets are one class: the large part of a group of copies ends here
     leaders = write_table(
         fronts.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("front").alias("front"))
-        .withColumn("length", length),
+        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("front").alias("front")),
         "shingle-leaders",
     )
     # fronts are long: only postings are made of them
     rows = write_table(fronts.select("doc_id", "n", "cls"), "shingle-sizes")
-    classes = write_table(leaders.select("cls", "low", "n"), "shingle-classes")
+    sketch = [F.col("sketch")[k].alias(c) for k, c in enumerate(SKETCH_COLUMNS)]
+    classes = write_table(leaders.select("cls", "low", "n", *sketch), "shingle-classes")
     drop_table(fronts)
-    # equal prefixes and sizes are one group, led by its smallest class
-    prefix = F.slice("front", F.lit(1), F.col("length"))
-    keyed = leaders.select("cls", F.xxhash64("n", prefix).alias("h"), F.xxhash64(F.lit(1), prefix, "n").alias("g"))
-    groups = write_table(keyed.groupBy("h", "g").agg(F.min("cls").alias("head"), F.count("*").alias("size")).filter("size > 1"), "shingle-groups")
-    followers = write_table(keyed.join(groups, ["h", "g"]).filter("cls <> head").select("cls", "head"), "shingle-followers")
-
-    # ---- the order of shingles: those that many groups hold come last ----
-    leading = F.col("head").isNull()
-    postings = (
-        leaders.join(followers, "cls", "left")
-        .select(F.col("cls").alias("unit"), "head", "n", F.posexplode("front").alias("at", "token"))
-    )
-    postings = write_table(postings, "shingle-postings")
-    drop_table(groups, leaders)
-    counts = write_table(postings.groupBy("token").agg(F.count_if(leading).alias("df"), F.count("*").alias("all")).filter("all > 1"), "shingle-counts")
+
+    # ---- the order of shingles: those that many classes hold come last ----
+    postings = write_table(leaders.select(F.col("cls").alias("unit"), "n", F.posexplode("front").alias("at", "token")), "shingle-postings")
+    drop_table(leaders)
+    counts = write_table(postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "shingle-counts")
     shared = postings.join(counts.select("token", (F.col("df") > HOT).cast("int").alias("late")), "token")
     # both follow from the size: no need to carry them along
     shared = shared.withColumn("length", length).withColumn("seen", F.least("n", F.floor(F.col("length") * 3 / 2)))
     so_far = Window.partitionBy("unit").orderBy("at")
-    whole_unit = Window.partitionBy("unit")
-    placed = write_table(
-        shared.select(
-            "unit", "head", "n", "length", "seen", "at", "token", "late",
-            F.sum("late").over(so_far).alias("before"),
-            F.sum("late").over(whole_unit).alias("late_seen"),
-            F.max((F.col("late") == 1) & (F.col("at") < F.col("length"))).over(whole_unit).alias("moved"),
-        ),
-        "shingle-placed",
-    )
-    # a group whose prefix changes is no longer one: each of its classes gets a prefix of its own
-    moved = write_table(placed.filter(F.col("moved") & leading).select(F.col("unit").alias("head")).distinct(), "shingle-moved")
-    loose = followers.join(moved, "head", "left_semi").select(F.col("cls").alias("unit"))
-    bound = write_table(followers.join(moved, "head", "left_anti"), "shingle-bound")
-    own = placed.filter(leading).unionByName(placed.filter(~leading).join(loose, "unit", "left_semi"))
+    late_seen = F.sum("late").over(Window.partitionBy("unit"))
+    placed = shared.select("unit", "n", "length", "seen", "at", "token", "late", F.sum("late").over(so_far).alias("before"), late_seen.alias("late_seen"))
+    placed = write_table(placed, "shingle-placed")
     # those without enough other shingles among the ones seen so far need all of their shingles
-    is_short = (F.col("seen") - F.col("late_seen") < F.col("length"))
-    short = write_table(own.filter(is_short).select(F.col("unit").alias("cls"), "length").distinct(), "shingle-short")
+    is_short = F.col("seen") - F.col("late_seen") < F.col("length")
+    short = write_table(placed.filter(is_short).select(F.col("unit").alias("cls"), "length").distinct(), "shingle-short")
     short_sets = write_table(
         _sets_of(docs, classes.join(short.select("cls"), "cls").select(F.col("low").alias("id")), words).join(short, "cls"), "shingle-short-sets"
     )
@@ -270,66 +234,51 @@ def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent:
         .groupBy("cls", "n", "length")
         .agg(F.array_sort(F.collect_set(F.struct(F.coalesce("late", F.lit(0)).alias("late"), "token"))).alias("order"))
     )
-    filled = ordered.select(F.col("cls").alias("unit"), "n", "length", F.posexplode(F.slice("order", F.lit(1), F.col("length"))).alias("pos", "o"))
-    filled = filled.select("unit", "n", "length", "pos", "o.token")
-    kept = own.filter(~is_short & (F.col("late") == 0) & (F.col("at") - F.col("before") < F.col("length"))).select(
-        "unit", "n", "length", (F.col("at") - F.col("before")).cast("int").alias("pos"), "token"
-    )
+    filled = ordered.select(F.col("cls").alias("unit"), "n", F.explode(F.slice("order", F.lit(1), F.col("length"))).alias("o"))
+    filled = filled.select("unit", "n", "o.token")
+    kept = placed.filter(~is_short & (F.col("late") == 0) & (F.col("at") - F.col("before") < F.col("length"))).select("unit", "n", "token")
     lists = write_table(kept.unionByName(filled), "shingle-lists")
     drop_table(short_sets)
     # a shingle of one front only is shared after all where a filled list took it from beyond its own front
     taken = lists.select("token").distinct().join(counts.select("token"), "token", "left_anti")
     lone = postings.join(taken, "token", "left_semi").join(short.select(F.col("cls").alias("unit")), "unit", "left_anti")
-    lone = lone.filter(leading).unionByName(lone.filter(~leading).join(loose, "unit", "left_semi"))
     lone = write_table(lone.select("unit", "n", "at", "token", F.lit(0).alias("late")), "shingle-lone")
-    drop_table(postings, counts, short, moved)
+    drop_table(postings, counts, short)
     ahead = placed.filter("late = 1").select("unit", "n", "at", "token", "late").join(lone.select("unit").distinct(), "unit", "left_semi")
-    placed_lone = lone.unionByName(ahead).withColumns({"length": length, "pos": (F.col("at") - F.sum("late").over(so_far)).cast("int")})
-    placed_lone = placed_lone.filter((F.col("late") == 0) & (F.col("pos") < F.col("length"))).select("unit", "n", "length", "pos", "token")
+    placed_lone = lone.unionByName(ahead).withColumns({"length": length, "pos": F.col("at") - F.sum("late").over(so_far)})
+    placed_lone = placed_lone.filter((F.col("late") == 0) & (F.col("pos") < F.col("length"))).select("unit", "n", "token")
     placed_lone = write_table(placed_lone, "shingle-lone-lists")
     drop_table(placed, lone)
     every = lists.unionByName(placed_lone)
-    lead = F.min(F.struct("unit", "n", "length", "pos")).alias("lead")
-    first = every.groupBy("token").agg(lead, F.count("*").alias("df")).filter("df > 1").select("token", *[F.col(f"lead.{c}").alias(f"b_{c}") for c in ("unit", "n", "length", "pos")])
-    pivots = write_table(first, "shingle-pivots")
-    candidates = write_table(every.join(pivots, "token"), "shingle-shared")
-    drop_table(lists, placed_lone, pivots)
+    place = F.struct("unit", "n")
+    leads = every.groupBy("token").agg(F.min(place).alias("least"), F.max(place).alias("most")).filter("least.unit <> most.unit")
+    leads = write_table(leads, "shingle-leads")
+    candidates = write_table(every.join(leads.select("token"), "token", "left_semi"), "shingle-shared")
+    drop_table(lists, placed_lone)
     lists = candidates
 
-    # ---- first, one comparison for each class: with the class it shares most lists with among those that lead them ----
-    votes = _promising(lists.withColumnsRenamed({c: f"a_{c}" for c in ("unit", "n", "length", "pos")}).filter("a_unit <> b_unit"), percent)
-    chosen = votes.groupBy("a_unit").agg(F.max_by("b_unit", F.struct("common", -F.col("b_unit"))).alias("b_unit"))
-    pairs = chosen.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("v")).unionByName(bound.select(F.col("cls").alias("u"), F.col("head").alias("v")))
-    links = _verified(write_table(pairs, "shingle-pairs"), docs, classes, words, percent)
+    # ---- first, each class is compared with those that lead its lists ----
+    facts = classes.drop("low").withColumnRenamed("cls", "unit")
+    led = lists.join(leads, "token").select("unit", "n", F.explode(F.array("least", "most")).alias("lead")).filter("unit <> lead.unit")
+    led = led.filter(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent)
+    led = led.select(F.greatest("unit", "lead.unit").alias("a_unit"), F.least("unit", "lead.unit").alias("b_unit")).distinct()
+    close = led.join(_prefixed(facts, "a"), "a_unit").join(_prefixed(facts, "b"), "b_unit").filter(_may_link(percent))
+    pairs = write_table(close.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("v")), "shingle-pairs")
+    links = _verified(pairs, docs, classes, words, percent)
     joined = write_table(components(links, "shingle-components"), "shingle-joined")
 
     # ---- then every candidate that is not connected yet ----
-    # the classes, and the unit of the lists that each stands behind
-    standing = lists.select(F.col("unit").alias("cls"), "unit").distinct().unionByName(bound.select("cls", F.col("head").alias("unit")))
-    standing = standing.unionByName(bound.select(F.col("head").alias("cls"), F.col("head").alias("unit"))).distinct()
-    unit = standing.join(joined.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "unit", F.coalesce("component", "cls").alias("component"))
-    unit = write_table(unit, "shingle-units")
-    whole = unit.groupBy("unit").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    side = lists.join(whole, "unit").select("token", "unit", "n", "length", "pos", F.when(F.col("low") == F.col("high"), F.col("low")).alias("component"))
-    # lists whose units are all connected already need no pairs at all
-    open_lists = side.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("component").alias("known"), F.count("*").alias("all"))
-    open_lists = open_lists.filter("least IS NULL OR least <> most OR known < all").select("token")
-    side = write_table(side.join(open_lists, "token"), "shingle-open")
-    drop_table(lists, joined)
-    left, right = (side.withColumnsRenamed({c: f"{p}_{c}" for c in ("unit", "n", "length", "pos", "component")}) for p in ("a", "b"))
-    apart = ~F.coalesce(F.col("a_component") == F.col("b_component"), F.lit(False))
-    unit_pairs = _promising(left.join(right, "token").filter((F.col("a_unit") < F.col("b_unit")) & apart), percent).select("a_unit", "b_unit")
-    mixed = whole.filter("low <> high").select(F.col("unit").alias("a_unit"), F.col("unit").alias("b_unit"))
-    expanded = (
-        unit_pairs.unionByName(mixed)
-        .join(unit.select(F.col("unit").alias("a_unit"), F.col("cls").alias("u"), F.col("component").alias("cu")), "a_unit")
-        .join(unit.select(F.col("unit").alias("b_unit"), F.col("cls").alias("v"), F.col("component").alias("cv")), "b_unit")
-        .filter((F.col("cu") != F.col("cv")) & ((F.col("a_unit") != F.col("b_unit")) | (F.col("u") < F.col("v"))))
-        .select("u", "v")
-    )
-    expanded = write_table(expanded, "shingle-pairs")
-    drop_table(side, unit, bound, followers)
-    links = links.unionByName(_verified(expanded, docs, classes, words, percent))
+    side = lists.select("unit", "token").join(joined.withColumnRenamed("node", "unit"), "unit", "left")
+    side = side.select("unit", "token", F.coalesce("component", "unit").alias("component"))
+    # lists whose classes are all connected already need no pairs at all
+    open_lists = side.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+    side = write_table(side.join(open_lists, "token", "left_semi").join(facts, "unit"), "shingle-open")
+    drop_table(lists, leads, joined)
+    apart = (F.col("a_unit") < F.col("b_unit")) & (F.col("a_component") != F.col("b_component"))
+    met = _prefixed(side, "a", ("token",)).join(_prefixed(side, "b", ("token",)), "token").filter(apart & _may_link(percent))
+    pairs = write_table(met.select(F.col("a_unit").alias("u"), F.col("b_unit").alias("v")).distinct(), "shingle-pairs")
+    drop_table(side)
+    links = links.unionByName(_verified(pairs, docs, classes, words, percent))
     found = write_table(components(links, "shingle-final"), "shingle-found")
     named = classes.select("cls", "low").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "low", F.coalesce("component", "cls").alias("component"))
     lowest = write_table(named.groupBy("component").agg(F.min("low").alias("component_id")), "shingle-lowest")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import bpe, context_mixing, language, lines, mixing, secrets, shingles, toxicity
 from cartwheel.llm.queries import ORACLES, QUERIES, mixing_attributes, rank_file
+from cartwheel.scratch import write_table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, block int, ids string, _p int"
 LONG = "the long text goes on and on\n" * 4000
@@ -292,6 +293,31 @@ def test_shingle_query(spark, table):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op7_ngram_join"](spark, SF).collect()}
     assert found == brute_components(list(zip(table.doc_id.tolist(), table.text, strict=True)), 3, 90)
 
+def test_half_alike_texts_are_told_apart_before_they_are_pairs(spark, monkeypatch):
+    """Texts of one origin, none close enough to another: pairs of them are not written, or all would be."""
+    written = []
+
+    def counted(df, name, schema=None):
+        table = write_table(df, name, schema)
+        if name == "shingle-pairs":
+            written.append(table.count())
+        return table
+
+    monkeypatch.setattr(shingles, "write_table", counted)
+    random = np.random.default_rng(6)
+    origin = [f"w{k}" for k in range(120)]
+    rows = []
+    for key in range(70):
+        words = list(origin)
+        for k in random.choice(120, 4, replace=False):
+            words[k] = f"own{key}x{k}"
+        rows.append((key, " ".join(words)))
+    rows += [(70, rows[3][1]), (71, f"{rows[4][1]} more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = shingles.similar_documents(df, "doc_id", "text", 3, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 3, 90)
+    assert sum(written) < 70
+
 
 # ---- language-model scores ----
 
