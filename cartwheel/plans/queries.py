@@ -686,11 +686,15 @@ def by_thirds(spark: SparkSession, sf_dir: str, late: Column) -> DataFrame:
     return write_table(events.withColumn("arrival", third + F.when(late, 1).otherwise(0)), "arrivals")
 
 
+# rows of a landed file: text packs so well that a file of a few megabytes may hold millions, and one task would read them all
+LANDED_ROWS = 50_000
+
+
 def in_arrivals(arrivals: DataFrame, run: Callable[[DataFrame, int], object]) -> None:
     """Files land arrival by arrival; the stream stops after each and resumes from its checkpoint."""
     spark, landing = arrivals.sparkSession, new_path(arrivals.sparkSession, "landing")
     for number in range(4):
-        arrivals.filter(F.col("arrival") == number).drop("arrival").write.mode("append").parquet(landing)
+        arrivals.filter(F.col("arrival") == number).drop("arrival").write.mode("append").option("maxRecordsPerFile", LANDED_ROWS).parquet(landing)
         run(streams.file_event_stream(spark, landing, arrivals.drop("arrival").schema), number).awaitTermination()
 
 

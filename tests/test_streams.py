@@ -1,10 +1,12 @@
 import json
+from collections import Counter
 
 import pytest
 from conftest import DAY, NEWEST, event
 from pyspark.sql import functions as F
 
 from cartwheel.operators import cleaning
+from cartwheel.plans import queries
 from cartwheel.scratch import new_path
 from cartwheel.sources import online, streams, tables
 from cartwheel.streaming import features as rt
@@ -275,3 +277,11 @@ def test_dead_letters_and_a_stop_between_the_two_writes(spark, monkeypatch):
     assert {x for x, rules in found.items() if rules == ["parses"]} == {"", "null", "[1]", "not json", good % 1 + "x", good[:50], letters[6], None}
     assert found[letters[7]] == ["event_type_known"] and found[letters[8]] == ["price_positive", "device_known"] and found[letters[9]] == ["ts_present"]
     assert len(found["{}"]) == 9
+
+
+def test_an_arrival_lands_in_files_that_many_tasks_can_read(spark, monkeypatch):
+    monkeypatch.setattr(queries, "LANDED_ROWS", 3)
+    arrivals = spark.range(40).coalesce(1).select("id", (F.col("id") % 4).cast("int").alias("arrival"))
+    found = queries.streamed_in_arrivals(arrivals, lambda stream: stream.withColumn("file", F.input_file_name()), "landed")
+    files = Counter(r.file for r in found.collect())
+    assert sum(files.values()) == 40 and max(files.values()) <= 3
