@@ -260,18 +260,20 @@ def _met(events: DataFrame, clock: EventClock, days: int) -> DataFrame:
 
 
 def _share_of_label(pairs: DataFrame, met: DataFrame, labelled: DataFrame, out: str) -> DataFrame:
-    by_label = met.join(labelled, "item_id").groupBy("user_id", "label").agg(F.sum("n").alias("on_label"))
-    by_user = met.groupBy("user_id").agg(F.sum("n").alias("total"))
-    scores = by_label.join(by_user, "user_id").select(
-        "user_id", "label", (F.col("on_label") / F.col("total")).alias(out)
-    )
     return (
         pairs.join(labelled, "item_id", "left")
-        .join(scores, ["user_id", "label"], "left")
+        .join(_label_scores(met, labelled, out), ["user_id", "label"], "left")
         .select(*PAIR, F.coalesce(out, F.lit(0.0)).alias(out))
     )
 
 
+def _label_scores(met: DataFrame, labelled: DataFrame, out: str) -> DataFrame:
+    """Per user and label, the share of the user's events on items with the label."""
+    by_label = met.join(labelled, "item_id").groupBy("user_id", "label").agg(F.sum("n").alias("on_label"))
+    by_user = met.groupBy("user_id").agg(F.sum("n").alias("total"))
+    return by_label.join(by_user, "user_id").select("user_id", "label", (F.col("on_label") / F.col("total")).alias(out))
+
+
 def ui_category_affinity(
     pairs: DataFrame, events: DataFrame, items: DataFrame, clock: EventClock, days: int = WINDOW_DAYS
 ) -> DataFrame:
@@ -298,7 +300,8 @@ def cross_features(
     """All user-item features of `pairs` (default: observed pairs) whose user and item have features.
 
     `declared_only=True` adds the two affinities that the catalogue declares beyond the computed set. `users` and `items` are the two feature tables; similarity is added where both carry embeddings.
-    Everything keyed by pair is joined first, on one partitioning; the user and item lookups follow.
+    Everything keyed by pair is joined first, on one partitioning; the user and item lookups follow, and the affinities
+    by user and item label come to the same rows: no pair is looked up twice.
     """
     events = clock.history(events)
     slices = session_slices(base_pairs(events))
@@ -314,18 +317,21 @@ def cross_features(
         user_columns.append(embedding_array("user_behavior_emb").alias("user_emb"))
         item_columns.append(embedding_array("item_behavior_emb").alias("item_emb"))
         derived["ui_user_item_similarity_emb"] = dot(F.col("user_emb"), F.col("item_emb"))
+    affinities = {"ui_category_affinity_score": first_category(), "ui_brand_affinity_score": F.col("brand")} if declared_only else {}
+    labels = {f"_{out}": label for out, label in affinities.items()}
+    item_columns += [label.alias(name) for name, label in labels.items()]
     derived |= {"ui_user_item_exploration_score": exploration_score(), "ui_recency_bucket": recency_bucket()}
 
     features = (
         facts.join(users.select(*user_columns), "user_id")
         .join(items.select(*item_columns), "item_id")
-        .select(*PAIR, *[c for c in facts.columns if c not in PAIR], *[c.alias(name) for name, c in derived.items()])
+        .select(*PAIR, *[c for c in facts.columns if c not in PAIR], *[c.alias(name) for name, c in derived.items()], *labels)
     )
     if not declared_only:
         return features
-    features = write_table(features, "pair-features")  # read for the pairs of each affinity and for the features
+    columns = [c for c in features.columns if c not in labels]
     met = write_table(_met(events, clock, days), "pair-events")
-    for label, out in ((first_category(), "ui_category_affinity_score"), (F.col("brand"), "ui_brand_affinity_score")):
-        scores = _share_of_label(features.select(*PAIR), met, items.select("item_id", label.alias("label")), out)
-        features = features.join(scores, PAIR)
-    return features
+    for out, label in affinities.items():
+        scores = _label_scores(met, items.select("item_id", label.alias("label")), out).withColumnRenamed("label", f"_{out}")
+        features = features.join(scores, ["user_id", f"_{out}"], "left")
+    return features.select(*columns, *[F.coalesce(out, F.lit(0.0)).alias(out) for out in affinities])
