@@ -4,6 +4,8 @@ A document's set of shingles is sorted by hash; two sets of Jaccard similarity t
 more share a member among their first n - ceil(t n) + 1. Documents with equal
 sets are one class. Classes that share a prefix member are candidates where their
 sizes and the sketches of their sets allow the similarity; only those are compared.
+Long sets fill a sketch of fixed size, so candidates are tested again by sketches that
+grow with the sets, before any set is sent to meet another.
 
 Two things keep common passages and large groups of near copies from pairing all
 with all. Shingles that very many classes hold in their prefixes come last in the
@@ -78,10 +80,15 @@ def _prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _sketch(members: np.ndarray) -> np.ndarray:
-    """A bit for each member, SKETCH bits in all: two sketches never differ in more bits than their sets differ in members."""
+def _sketch(members: np.ndarray, bits: int = SKETCH) -> np.ndarray:
+    """A bit for each member, `bits` bits in all: two sketches never differ in more bits than their sets differ in members."""
     # parities: members that both hold cancel out
-    return np.packbits((np.bincount(members & (SKETCH - 1), minlength=SKETCH) & 1).astype(np.uint8)).view(np.int64)
+    return np.packbits((np.bincount(members & (bits - 1), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _wide_sketch(members: np.ndarray) -> np.ndarray:
+    """A sketch of two to four bits a member, SKETCH at least, a power of two."""
+    return _sketch(members, max(SKETCH, 1 << (2 * len(members) - 1).bit_length()))
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +128,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(cls, members) of the documents with the given ids, and of a few others; texts are not shuffled for it."""
+    """(cls, members, wide) of the documents with the given ids, and of a few others; texts are not shuffled for it."""
     wanted = _bitmap(ids)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +139,11 @@ def _sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 shingle_set(batch.column("text")[k].as_py(), words, known)
                 for k in np.flatnonzero(wanted[slots >> 5] >> (slots & 31) & 1).tolist()
             ]
-            columns = [pa.array([_class_of(x) for x in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["cls", "members"])
+            lists = (pa.array(x, pa.list_(pa.int64())) for x in (sets, [_wide_sketch(x) for x in sets]))
+            yield pa.RecordBatch.from_arrays([pa.array([_class_of(x) for x in sets], pa.int64()), *lists], names=["cls", "members", "wide"])
 
     rows = docs.filter("doc_id IS NOT NULL").select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).alias("slot"), "text")
-    return rows.mapInArrow(build, "cls long, members array<long>")
+    return rows.mapInArrow(build, "cls long, members array<long>, wide array<long>")
 
 
 def _prefixed(rows: DataFrame, prefix: str, but: tuple[str, ...] = ()) -> DataFrame:
@@ -153,18 +160,40 @@ def _may_link(percent: int) -> Column:
     return sizes & (apart * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
 
 
+def _folded(wide: Column, width: Column) -> Column:
+    """The sketch of the same set in `width` words, a power of two that is not above its own."""
+    words = F.transform(
+        F.sequence(F.lit(1), width),
+        lambda k: F.aggregate(F.sequence(k, F.size(wide), width), F.lit(0).cast("long"), lambda x, at: x.bitwiseXOR(F.element_at(wide, at))),
+    )
+    return F.when(F.size(wide) == width, wide).otherwise(words)
+
+
+def _still_may_link(percent: int) -> Column:
+    """`_may_link` by the wide sketches `a` and `b` of sets of `n_a` and `n_b` members."""
+    width = F.least(F.size("a"), F.size("b"))
+    apart = F.zip_with(_folded(F.col("a"), width), _folded(F.col("b"), width), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(apart, F.lit(0).cast("long"), lambda total, bits: total + bits)
+    return apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+
+def _with_both(pairs: DataFrame, facts: DataFrame, column: str, *more: str) -> DataFrame:
+    """Pairs (u, v) with `column` of u and v as `a` and `b`, and `more` as `_a` and `_b`."""
+    for end, side in (("u", "a"), ("v", "b")):
+        pairs = pairs.join(facts.select(F.col("cls").alias(end), F.col(column).alias(side), *[F.col(c).alias(f"{c}_{side}") for c in more]), end)
+    return pairs
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (u, v) whose sets are similar enough. `pairs` is a scratch table, and gone afterwards."""
     asked = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
-    sets = write_table(_sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words).dropDuplicates(["cls"]), "shingle-sets")
-    both = (
-        pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("a")), "u")
-        .join(sets.select(F.col("cls").alias("v"), F.col("members").alias("b")), "v")
-        .withColumn("shared", F.size(F.array_intersect("a", "b")))
-    )
+    sets = _sets_of(docs, classes.join(asked, "cls").select(F.col("low").alias("id")), words).dropDuplicates(["cls"])
+    sets = write_table(sets.withColumn("n", F.size("members").cast("long")), "shingle-sets")
+    close = write_table(_with_both(pairs, sets, "wide", "n").filter(_still_may_link(percent)).select("u", "v"), "shingle-close")
+    both = _with_both(close, sets, "members").withColumn("shared", F.size(F.array_intersect("a", "b")))
     links = both.filter(F.col("shared") * 100 >= (F.size("a") + F.size("b") - F.col("shared")) * percent)
     links = write_table(links.select("u", "v"), "shingle-links")
-    drop_table(pairs, sets)
+    drop_table(pairs, sets, close)
     return links
 
 
@@ -226,7 +255,7 @@ def similar_classes(df: DataFrame, doc_id: str, text: str, words: int, percent:
     is_short = F.col("seen") - F.col("late_seen") < F.col("length")
     short = write_table(placed.filter(is_short).select(F.col("unit").alias("cls"), "length").distinct(), "shingle-short")
     short_sets = write_table(
-        _sets_of(docs, classes.join(short.select("cls"), "cls").select(F.col("low").alias("id")), words).join(short, "cls"), "shingle-short-sets"
+        _sets_of(docs, classes.join(short.select("cls"), "cls").select(F.col("low").alias("id")), words).drop("wide").join(short, "cls"), "shingle-short-sets"
     )
     ordered = (
         short_sets.select("cls", "length", F.size("members").cast("long").alias("n"), F.explode("members").alias("token"))

@@ -319,6 +319,26 @@ def test_half_alike_texts_are_told_apart_before_they_are_pairs(spark, monkeypatc
     assert sum(written) < 70
 
 
+def test_long_texts_are_told_apart_before_their_sets_meet(spark, monkeypatch):
+    """Sets far larger than a sketch, half alike: the sketches of the join are full, those that grow with the sets are not."""
+    written = collections.Counter()
+
+    def counted(df, name, schema=None):
+        table = write_table(df, name, schema)
+        written[name] += table.count()
+        return table
+
+    monkeypatch.setattr(shingles, "write_table", counted)
+    origin = [f"w{k}" for k in range(6000)]
+    rows = [(key, " ".join([*origin[: 3500 + 30 * key], *(f"own{key}x{k}" for k in range(3500))])) for key in range(12)]
+    # of another width of sketch than the text it is a part of: 8,100 and 8,800 shingles
+    rows += [(12, " ".join(f"v{k}" for k in range(8102))), (13, " ".join(f"v{k}" for k in range(8802))), (14, f"{rows[3][1]} more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = shingles.similar_documents(df, "doc_id", "text", 3, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 3, 90)
+    assert written["shingle-pairs"] > 20 and 2 <= written["shingle-close"] < 6
+
+
 # ---- language-model scores ----
 
 
