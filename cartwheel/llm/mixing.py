@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from cartwheel.scratch import drop_table, write_table
 SWEEPS = 8
 # sweeps between two writes; where the marginals decide when to stop, the distance they may have and the most sweeps
 WRITE_EVERY, TOLERANCE, MOST_SWEEPS = 4, 1e-6, 64
+# cells that one task scales
+CELLS_PER_TASK = 200_000
 # the share of a value grows as its tokens to this power: 1 keeps the corpus, 0 makes all values equal
 TEMPERATURE = 0.5
 # the share of all tokens that the sample shall hold, and steps to find the rate that gives it
@@ -64,8 +66,9 @@ def rake(
     `cells` has one row per combination of `by`. A sweep scales the weights to
     the targets of each attribute in turn. Targets stand beside the cells, and a marginal is
     a sum over a window of cells, so that a sweep joins nothing and sends nothing to
-    the driver. Weights are written down after every few sweeps, so that no lineage
-    grows, and what they replace is removed. Cells without tokens keep weight 0. Weights
+    the driver. Tasks are as many as the cells call for: where one holds them all, a
+    window shuffles nothing, whatever the number of shuffle partitions. Weights are
+    written down after every few sweeps, so that no lineage grows, and what they replace is removed. Cells without tokens keep weight 0. Weights
     that `cells` has already are where it starts. With `most`, no cell's weight
     exceeds its tokens times that: scaling and cutting in turn come to weights
     that meet both, if there are any. With `within`, sweeps end once no marginal is further than that from its target.
@@ -73,7 +76,10 @@ def rake(
     current = cells if "weight" in cells.columns else cells.withColumn("weight", F.col(tokens).cast("double"))
     for name in by:
         current = current.join(targets[name].withColumnRenamed("target", f"_to{name}"), name, "left")
-    columns, written = [c for c in current.columns if c not in {f"_to{name}" for name in by}], None
+    columns = [c for c in current.columns if c not in {f"_to{name}" for name in by}]
+    written = write_table(current, "raked-cells")
+    tasks = max(1, math.ceil(written.count() / CELLS_PER_TASK))
+    current = written.coalesce(tasks)
     for sweep in range(1, sweeps + 1):
         for name in by:
             scale = F.try_divide(F.col(f"_to{name}"), F.sum("weight").over(Window.partitionBy(name)))
@@ -83,9 +89,8 @@ def rake(
         if sweep % WRITE_EVERY and sweep < sweeps:
             continue
         replaced, written = written, write_table(current, "raked-cells")
-        current = written
-        if replaced is not None:
-            drop_table(replaced)
+        drop_table(replaced)
+        current = written.coalesce(tasks)
         if within is not None and _furthest(current, by) <= within:
             break
     return current.select(*columns)
@@ -93,8 +98,8 @@ def rake(
 
 def _furthest(cells: DataFrame, by: Sequence[str]) -> float:
     """The largest distance of a marginal from its target."""
-    sums = [cells.groupBy(F.col(name).alias("v"), F.coalesce(f"_to{name}", F.lit(0.0)).alias("t")).agg(F.sum("weight").alias("w")) for name in by]
-    return reduce(DataFrame.unionByName, sums).agg(F.max(F.abs(F.col("w") - F.col("t")))).first()[0] or 0.0
+    apart = [F.abs(F.sum("weight").over(Window.partitionBy(name)) - F.coalesce(f"_to{name}", F.lit(0.0))) for name in by]
+    return cells.select(F.array(*apart).alias("apart")).agg(F.max(F.array_max("apart"))).first()[0] or 0.0
 
 
 def rake_within(cells: DataFrame, by: Sequence[str], tokens: str, targets: dict[str, DataFrame], total: float, budget: float) -> DataFrame:

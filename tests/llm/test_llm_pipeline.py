@@ -95,3 +95,25 @@ def test_mixing_meets_its_targets(spark):
         tempered = words.groupby(mixed[f"_by_{name}"]).sum() ** mixing.TEMPERATURE
         shares = held.groupby(mixed[f"_by_{name}"]).sum() / held.sum()
         assert abs(shares - tempered / tempered.sum()).max() < 1e-3
+
+
+def test_raking_takes_as_many_tasks_as_the_cells_call_for(spark, monkeypatch):
+    """Sweeps over few cells shuffle nothing, and over many in several tasks come to the same weights."""
+    rows = [(a, b, 10 * (1 + a) + 7 * b) for a in range(4) for b in range(5)]
+    cells = spark.createDataFrame(rows, "a int, b int, tokens long")
+    targets = {n: mixing.tempered(cells, n, "tokens", 0.5) for n in ("a", "b")}
+    plans, write = [], mixing.write_table
+
+    def written(df, name, schema=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, schema)
+
+    monkeypatch.setattr(mixing, "write_table", written)
+    weights = {}
+    for most in (200_000, 6):
+        monkeypatch.setattr(mixing, "CELLS_PER_TASK", most, raising=False)
+        plans.clear()
+        weights[most] = {(r.a, r.b): r.weight for r in mixing.rake(cells, ["a", "b"], "tokens", targets, 12, within=1e-12).collect()}
+        assert len(plans) > 2 and all("Window" in p and ("Exchange" in p) == (most == 6) for p in plans[1:])
+    one, several = weights.values()
+    assert one.keys() == several.keys() and all(abs(one[k] - several[k]) < 1e-12 for k in one)
