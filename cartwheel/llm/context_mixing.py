@@ -1,17 +1,19 @@
 """Language-model scores by online logistic context mixing over the bits of words.
 
-Every word is coded bit by bit, most significant bit of a byte first, and ends
-with a space; the end of a text is a line feed. Several predictors look at the bit
-through hashed contexts (no context, the last one to four bytes of the word);
-their counts come from all training words. A gate chosen by how long a context is
-known, and by the place in the byte, holds the weights that mix the predictions in
-the logistic domain. Weights, and a map that refines the mixed probability, are
-adapted online along the training words. That gives the bits of any word, known
-or not; they depend on the word alone, so they are found once per distinct word.
-
-Along a text the mixture goes on adapting: the bits of the word, how often each of
-a few topics holds it, and how often the text itself has held it are experts whose
-shares follow how well they have done so far in the text.
+Frequent words of the training texts form a dictionary of bounded size, which
+gives each a code of one to three bytes. Other words, and the end of a text where it is not
+in there, are spelled between an escape byte and a space. A text is the bytes of
+its words in turn, coded bit by bit, most significant bit first.
+
+Several predictors look at a bit through hashed contexts: the last three bytes
+of the word, the whole word so far, and that after the last very frequent word and after the
+previous word. Their counts come from all training texts. One more predictor looks at the
+word so far among the words that the text itself has held. A gate chosen by how long a context
+is known, and by how often it and the text's own were seen, holds the weights that mix the
+predictions in the logistic domain, and a map refines the mixed probability. Weights and map
+are learned online along the training texts, each part of which is predicted before it is counted.
+
+Every text is then scored from there: weights and map go on adapting along it, from what went before alone.
 """
 
 from __future__ import annotations
@@ -24,378 +26,421 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.scratch import new_path, write_table
 
 # slots of each predictor's table: the model keeps this size whatever it learns from
 SLOT_BITS = 20
-ORDERS = ("none", "one", "two", "three", "four")
-# gates: how many contexts are known, how often the longest known one was seen, place in the byte
-LEVELS = np.array([2, 8, 64])
-GATES = (len(ORDERS) + 1) * (len(LEVELS) + 1) * 8
+ORDERS = ("three", "word", "after frequent", "after one")
+# slots that tell what a text itself has held, and the context that they are counted by
+OWN_BITS, OWN = 12, ORDERS.index("word")
+# gates: how many contexts are known, how often the longest known one was seen, and how often the text's own
+LEVELS = (2.0, 8.0, 64.0)
+GATES = (len(ORDERS) + 1) * (len(LEVELS) + 1) * (len(LEVELS) + 2)
 # steps of the refining map for each place in the tree of a byte
 STEPS = 24
+CELLS = 256 * STEPS
+# words with a code of one, two and three bytes at most, and bytes that such a word may have
+SHORT, MIDDLE, DICTIONARY, LONGEST = 128, 96 << 8, 1 << 18, 64
 # characters of text whose words are counted together
 BLOCK = 16_000_000
-# distinct words that one task learns from
-WORDS_PER_TASK = 2_000_000
-# words that share one step of the online learning
-MINIBATCH = 1024
-RATE = 0.3
-# groups of training texts that use words alike, found on so many texts by hashed letter triples
-TOPICS, TOPIC_TEXTS, TRIPLES = 8, 3000, 1024
-# shares of the experts before a text begins (bits, its own words, all topics), and how many words that counts for
-START, INERTIA = (0.1, 0.05, 0.85), 2.0
+# training tokens that one task learns from, slots whose counts travel together
+TOKENS_PER_TASK, TOGETHER = 4_000_000, 1 << 13
+# coded bytes of a text that share one step of the online learning, early and at most, texts that advance side by side, and that are held at a time
+WINDOW, WIDEST, SIDE_BY_SIDE, TEXTS = 32, 512, 64, 1024
+# rates of learning over all texts, where it takes so many bits for a full step, and along one, and bits that each cell of a text's map has seen before it begins
+RATE, DAMP, ALONG, INERTIA = 1.0, 2500, 0.008, 60.0
 
 # odd multipliers that spread contexts and tree nodes over the slots
 _NODE, _CONTEXT, _SLOT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_SHIFTS = np.arange(8, dtype=np.uint32)
 
 
-def bit_rows(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each coded byte: the word it belongs to, 8 bits, 8 tree nodes, and the slots per bit and predictor."""
-    coded = [t + b" " if t else b"\n" for t in tokens]
+class Codes(dict):
+    """Coded bytes of words: short codes of the given ones, in the order of their rank, and spelling for all others."""
+
+    def __init__(self, words: list[bytes] = ()):
+        super().__init__()
+        for rank, word in enumerate(words[:DICTIONARY]):
+            if rank < SHORT:
+                self[word] = bytes([rank])
+            elif rank < SHORT + MIDDLE:
+                self[word] = (rank - SHORT + (SHORT << 8)).to_bytes(2, "big")
+            else:
+                self[word] = (rank - SHORT - MIDDLE + (224 << 16)).to_bytes(3, "big")
+
+    def __missing__(self, word: bytes) -> bytes:
+        return b"\xff" + word + b" "
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(32)).astype(np.uint32)
+
+
+def contexts_of(coded: list[bytes], first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte: itself, the word it belongs to, and its contexts. `first` tells the words that begin a text."""
     lengths = np.fromiter(map(len, coded), np.int64, len(coded))
     byte = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint32)
+    n, ends = len(byte), np.cumsum(lengths)
+    starts = ends - lengths
     word = np.repeat(np.arange(len(coded)), lengths)
-    place = np.arange(len(byte)) - (np.cumsum(lengths) - lengths)[word]
-    shifts = np.arange(8, dtype=np.uint32)
-    node = (np.uint32(1) << shifts) | (byte[:, None] >> (np.uint32(8) - shifts))
-    bits = (byte[:, None] >> (np.uint32(7) - shifts)) & np.uint32(1)
-    slots = np.empty((len(byte), 8, len(ORDERS)), np.int32)
-    at = node * _NODE
-    context = np.zeros(len(byte), np.uint32)
-    for k in range(len(ORDERS)):
-        if k:
-            last = np.zeros(len(byte), np.uint32)
-            last[k:] = byte[:-k]
-            last[place < k] = 0
-            context = (context ^ last) * _CONTEXT + np.uint32(k)
-            context ^= context >> np.uint32(15)
-        h = (at ^ context[:, None]) * _SLOT
-        h ^= h >> np.uint32(13)
-        slots[:, :, k] = ((h * _CONTEXT) >> np.uint32(32 - SLOT_BITS)).astype(np.int32) + np.int32(k << SLOT_BITS)
-    return word, bits.astype(np.int8), node.astype(np.int32), slots
+    place = np.arange(n) - starts[word]
+    # sums of bytes times powers: those of a word so far are a difference, shifted back to the start of the word
+    power, back = np.full(n + 1, _BASE), np.full(n + 1, _INVERSE)
+    power[0] = back[0] = 1
+    power, back = np.cumprod(power), np.cumprod(back)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((byte.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
+    so_far = _mixed((sums[:-1] - sums[starts][word]) * back[starts][word])
+    whole = _mixed((sums[ends] - sums[starts]) * back[starts])
+    whole |= np.uint32(1)
+    # the last word of a one-byte code, and the last word, before each word of a text
+    at = np.arange(len(coded))
+    begin = np.maximum.accumulate(np.where(np.isin(at, first), at, 0))
+    common = np.concatenate([[-1], np.maximum.accumulate(np.where(lengths == 1, at, -1))[:-1]])
+    after = [np.where(last >= begin, whole[last], np.uint32(0)) * _SLOT for last in (common, at - 1)]
+    contexts = np.empty((len(ORDERS), n), np.uint32)
+    last = np.zeros(n, np.uint32)
+    for k in (1, 2, 3):
+        if k < n:
+            last[k:] |= np.where(place[k:] >= k, byte[:-k] + np.uint32(1), np.uint32(0)) << np.uint32(9 * (k - 1))
+    contexts[0] = last * _CONTEXT + np.uint32(3)
+    contexts[1] = so_far
+    for k in (2, 3):
+        contexts[k] = (so_far ^ after[k - 2][word]) * _CONTEXT + np.uint32(k)
+    contexts ^= contexts >> np.uint32(15)
+    return byte, word, contexts
+
+
+def bits_of(byte: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte: 8 bits, 8 tree nodes, and, for each predictor, the slots of its bits."""
+    node = (np.uint32(1) << _SHIFTS) | (byte[:, None] >> (np.uint32(8) - _SHIFTS))
+    bits = (byte[:, None] >> (np.uint32(7) - _SHIFTS)) & np.uint32(1)
+    h = ((node * _NODE)[None] ^ contexts[:, :, None]) * _SLOT
+    h ^= h >> np.uint32(13)
+    h *= _CONTEXT
+    h >>= np.uint32(32 - SLOT_BITS)
+    h += (np.arange(len(ORDERS), dtype=np.uint32) << np.uint32(SLOT_BITS))[:, None, None]
+    return bits.astype(np.float32), node.astype(np.intp), h.astype(np.intp)
+
+
+def bit_rows(tokens: list[bytes], codes: Codes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte of words that stand alone: the word, 8 bits, 8 tree nodes, and the slots."""
+    coded = list(map((Codes() if codes is None else codes).__getitem__, tokens))
+    byte, word, contexts = contexts_of(coded, np.arange(len(coded)))
+    return word, *bits_of(byte, contexts)
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _stretched(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logit that counts give, and a level of how many there are, 0 for none."""
+    seen, ones, few = counts.real, counts.imag, np.float32(0.3)
+    stretched = np.log((ones + few) / (seen - ones + few))
+    level = (seen >= 1).astype(np.uint8)
+    for most in LEVELS:
+        level += seen >= most
+    return np.clip(stretched, -9, 9, out=stretched), level
+
+
+_STRETCHED = ((np.arange(256) % 51) * (18 / 50) - 9).astype(np.float32)
+
+
 @dataclass
 class Mixer:
     """Counts of the predictors, gated weights, and the refining map."""
 
-    ones: np.ndarray
-    seen: np.ndarray
-    weights: np.ndarray  # gate by predictor
-    refined: np.ndarray  # node by step: ones and seen
+    table: np.ndarray  # of each slot: bits seen, and, as the imaginary part, ones among them
+    weights: np.ndarray  # predictor by gate
+    refined: np.ndarray  # ones and seen by node and step
+    states: np.ndarray | None = None  # of each slot a byte that stands for its prediction, once the counts stay as they are
 
     @classmethod
     def fresh(cls, ones: np.ndarray, seen: np.ndarray) -> Mixer:
         prior = _squash((np.arange(STEPS) - (STEPS - 1) / 2) * (16 / STEPS))
-        refined = np.stack([np.tile(prior * 20, (256, 1)), np.full((256, STEPS), 20.0)])
-        return cls(ones, seen, np.full((GATES, len(ORDERS)), 1 / len(ORDERS)), refined)
+        refined = np.stack([np.tile(prior * 20, 256), np.full(CELLS, 20.0)])
+        return cls((seen + 1j * ones).astype(np.complex64), np.full((len(ORDERS) + 1, GATES), 1 / len(ORDERS), np.float32), refined)
+
+    def freeze(self) -> Mixer:
+        """From now on predictions are looked up: 50 of them for each of five numbers of bits seen."""
+        self.states = np.empty(len(self.table), np.uint8)
+        for at in range(0, len(self.table), 1 << SLOT_BITS):
+            stretched, level = _stretched(self.table[at : at + (1 << SLOT_BITS)])
+            self.states[at : at + (1 << SLOT_BITS)] = level * 51 + np.rint((stretched + 9) * (50 / 18))
+        self.table = self.table[:0].copy()
+        return self
 
     def inputs(self, slots: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Stretched predictions and gates. `own`: bits whose one occurrence is taken out of the counts, as if unseen."""
-        seen, ones = self.seen[slots], self.ones[slots]
-        if own is not None:
-            seen = np.maximum(seen - np.float32(1), 0)
-            ones = np.minimum(np.maximum(ones - own[..., None].astype(np.float32), 0), seen)
-        few = np.float32(0.3)
-        stretched = np.log((ones + few) / (seen - ones + few))
-        known = (seen >= 1).sum(axis=-1)
-        longest = np.take_along_axis(seen, np.maximum(known - 1, 0)[..., None], axis=-1)[..., 0]
-        gates = (known * (len(LEVELS) + 1) + np.searchsorted(LEVELS, longest, side="right")) * 8 + np.arange(8)
-        return np.clip(stretched, -9, 9), gates
-
-    def probabilities(self, stretched: np.ndarray, gates: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Mixed probability of a one, the same refined, and the step of the map."""
-        mixed = np.clip(np.einsum("ijk,ijk->ij", stretched, self.weights.astype(np.float32)[gates]), -12, 12)
-        step = np.clip(((mixed + 8) * (STEPS / 16)).astype(np.int64), 0, STEPS - 1)
+        """Stretched predictions and gates. `own`: for each bit what the text itself has seen."""
+        if self.states is None:
+            stretched, levels = _stretched(self.table.take(slots, mode="clip"))
+        else:
+            states = self.states.take(slots, mode="clip")
+            stretched, levels = _STRETCHED.take(states, mode="clip"), states // np.uint8(51)
+        known, longest = np.zeros(slots.shape[1:], np.uint8), np.ones(slots.shape[1:], np.uint8)
+        for x in levels:
+            known += x > 0
+            np.copyto(longest, x, where=x > 0)
+        again, level = _stretched(np.zeros(slots.shape[1:], np.complex64) if own is None else own)
+        gates = (known * np.uint8(len(LEVELS) + 1) + longest - np.uint8(1)) * np.uint8(len(LEVELS) + 2) + level
+        return np.concatenate([stretched, again[None]]), gates.astype(np.intp)
+
+    def probabilities(
+        self, stretched: np.ndarray, gates: np.ndarray, nodes: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None, text: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Mixed probability of a one, the same refined, and the cell of the map.
+
+        With `text`, the number of the text of each byte, `gates` are numbered through over the
+        texts, as are the `weights` and the cells of the map `refined`.
+        """
+        weights, refined = self.weights if weights is None else weights, self.refined if refined is None else refined
+        mixed = np.zeros(gates.shape, np.float32)
+        for x, w in zip(stretched, weights.astype(np.float32, copy=False), strict=True):
+            mixed += x * w.take(gates, mode="clip")
+        np.clip(mixed, -12, 12, out=mixed)
+        cell = nodes * STEPS + np.clip((mixed + 8) * (STEPS / 16), 0, STEPS - 1).astype(np.intp)
+        if text is not None:
+            cell += text[:, None] * np.intp(CELLS)
         p = _squash(mixed)
-        q = self.refined[0][nodes, step] / self.refined[1][nodes, step]
-        return p, np.clip(0.6 * p + 0.4 * q, 1e-6, 1 - 1e-6), step
-
-    def bits(self, tokens: list[bytes]) -> np.ndarray:
-        """Bits that each word costs."""
-        total = np.zeros(len(tokens))
-        for start in range(0, len(tokens), 4 * MINIBATCH):
-            part = tokens[start : start + 4 * MINIBATCH]
-            word, bit, node, slots = bit_rows(part)
-            stretched, gates = self.inputs(slots)
-            _, p, _ = self.probabilities(stretched, gates, node)
-            cost = -np.log2(np.where(bit == 1, p, 1 - p)).sum(axis=1)
-            total[start : start + len(part)] = np.bincount(word, cost, minlength=len(part))
+        q = refined[0].take(cell, mode="clip") / refined[1].take(cell, mode="clip")
+        return p, np.clip(0.6 * p + 0.4 * q, 1e-6, 1 - 1e-6), cell
+
+    def bits(self, tokens: list[bytes], codes: Codes | None = None) -> np.ndarray:
+        """Bits that each word costs that stands alone, before anything adapts."""
+        word, bit, node, slots = bit_rows(tokens, codes)
+        _, p, _ = self.probabilities(*self.inputs(slots), node)
+        return np.bincount(word, -np.log2(np.where(bit == 1, p, 1 - p)).sum(axis=1), minlength=len(tokens))
+
+    def _learn_step(self, bit: np.ndarray, slots: np.ndarray, stretched: np.ndarray, gates: np.ndarray, p: np.ndarray, cell: np.ndarray, times: np.ndarray) -> None:
+        """Weights move against the error, the map towards the bits, and then the bits are counted, each so many `times`."""
+        bit, flat, cell, error = bit.ravel(), gates.ravel(), cell.ravel(), ((bit - p).ravel() * times).astype(np.float32)
+        often = np.bincount(flat, times, minlength=GATES) + DAMP
+        for w, x in zip(self.weights, stretched, strict=True):
+            w += RATE * np.bincount(flat, error * x.ravel(), minlength=GATES) / often
+        self.refined[0] += np.bincount(cell, times * bit, minlength=CELLS)
+        self.refined[1] += np.bincount(cell, times, minlength=CELLS)
+        counted = (times * (1 + 1j * bit)).astype(np.complex64)
+        for x in slots:
+            np.add.at(self.table, x.ravel(), counted)
+
+    def learn(self, tokens: list[bytes], counts: np.ndarray, codes: Codes | None = None) -> None:
+        """A step over words that stand alone, each as often as `counts` says."""
+        word, bit, node, slots = bit_rows(tokens, codes)
+        stretched, gates = self.inputs(slots)
+        p, _, cell = self.probabilities(stretched, gates, node)
+        self._learn_step(bit, slots, stretched, gates, p, cell, np.repeat(counts[word], 8))
+
+    def learn_texts(self, texts: list[list[bytes]], codes: Codes) -> None:
+        """Online steps along texts, each a list of words."""
+        self._along(texts, codes, learn=True)
+
+    def score(self, texts: list[list[bytes]], codes: Codes) -> np.ndarray:
+        """log10 of the probability of each text, a list of words; its end is a word too.
+
+        The weights and the map of each text are its own: they begin with those of the
+        model and follow what went before in the text.
+        """
+        return self._along(texts, codes, learn=False)
+
+    def _along(self, texts: list[list[bytes]], codes: Codes, learn: bool) -> np.ndarray:
+        """Texts of like length stand side by side and advance by a window at a time."""
+        out = np.zeros(len(texts))
+        coded = [[codes[w] for w in (*words, b"")] for words in texts]
+        sizes = np.array([sum(map(len, x)) for x in coded], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        for at in range(0, len(order), SIDE_BY_SIDE):
+            group = order[at : at + SIDE_BY_SIDE]
+            out[group] = self._group([coded[k] for k in group], sizes[group], learn)
+        return out
+
+    def _group(self, coded: list[list[bytes]], sizes: np.ndarray, learn: bool) -> np.ndarray:
+        """As `_along`, of coded texts of decreasing `sizes`."""
+        n, total = len(coded), np.zeros(len(coded))
+        words = np.fromiter(map(len, coded), np.int64, n)
+        byte, _, contexts = contexts_of([w for x in coded for w in x], np.cumsum(words) - words)
+        starts = np.cumsum(sizes) - sizes
+        held = np.zeros(n << OWN_BITS, np.complex64)
+        if not learn:
+            weights = np.tile(self.weights, n)
+            strength = np.minimum(self.refined[1], INERTIA)
+            refined = np.tile(np.stack([self.refined[0] / self.refined[1] * strength, strength]).astype(np.float32), n)
+        begin = end = 0
+        while end < sizes[0]:
+            # windows grow along a text, whatever stands beside it
+            begin, end = end, end + min(max(WINDOW, end // 16), WIDEST)
+            active = int(np.searchsorted(-sizes, -begin))
+            which = np.nonzero(np.arange(begin, end) < sizes[:active, None])
+            at, text = starts[which[0]] + begin + which[1], which[0]
+            bit, node, slots = bits_of(byte[at], contexts[:, at])
+            own = (slots[OWN] & ((1 << OWN_BITS) - 1)) + (text << OWN_BITS)[:, None]
+            stretched, gates = self.inputs(slots, held.take(own, mode="clip"))
+            np.add.at(held, own.ravel(), (1 + 1j * bit).astype(np.complex64).ravel())
+            if learn:
+                p, _, cell = self.probabilities(stretched, gates, node)
+                self._learn_step(bit, slots, stretched, gates, p, cell, np.ones(bit.size, np.float32))
+                continue
+            gates += text[:, None] * np.intp(GATES)
+            p, q, cell = self.probabilities(stretched, gates, node, weights, refined, text)
+            total[:active] += np.bincount(text, np.log10(np.abs(bit - (1 - q)).prod(axis=1, dtype=float)), minlength=active)
+            error, flat, cell = (bit - p) * np.float32(ALONG * WINDOW / (end - begin)), gates.ravel(), cell.ravel()
+            for w, x in zip(weights, stretched, strict=True):
+                np.add.at(w, flat, (error * x).ravel())
+            np.add.at(refined[0], cell, bit.ravel())
+            np.add.at(refined[1], cell, np.float32(1))
         return total
 
-    def learn(self, tokens: list[bytes], counts: np.ndarray) -> float:
-        """One online step over some training words: weights move against the error, the map towards the bits."""
-        word, bit, node, slots = bit_rows(tokens)
-        stretched, gates = self.inputs(slots, bit)
-        p, _, step = self.probabilities(stretched, gates, node)
-        # the bits matter for rare words most: counts of frequent ones are damped
-        weight = np.sqrt(counts[word])[:, None] * np.ones(8)
-        error = (bit - p) * weight
-        flat, bend = gates.ravel(), p * (1 - p) * weight
-        for k in range(len(ORDERS)):
-            pull = np.bincount(flat, (error * stretched[:, :, k]).ravel(), minlength=GATES)
-            curve = np.bincount(flat, (bend * stretched[:, :, k] ** 2).ravel(), minlength=GATES)
-            self.weights[:, k] += RATE / len(ORDERS) * pull / (curve + 10)
-        cell = (node * STEPS + step).ravel()
-        self.refined[0] += np.bincount(cell, (weight * bit).ravel(), minlength=256 * STEPS).reshape(256, STEPS)
-        self.refined[1] += np.bincount(cell, weight.ravel(), minlength=256 * STEPS).reshape(256, STEPS)
-        return float(weight.sum())
-
 
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text with A-Z in lower case, split at ASCII white space."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def triples(text: str | None) -> np.ndarray:
-    """Square roots of the shares of hashed byte triples, lower case: texts that use letters alike have a large product."""
-    raw = np.frombuffer(b"  " + (text or "").encode("utf-8", "surrogatepass").lower(), np.uint8).astype(np.uint32)
-    hashed = ((raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]) * np.uint32(2654435761)) >> np.uint32(22)
-    counts = np.bincount(hashed, minlength=TRIPLES)
-    return np.sqrt(counts / max(counts.sum(), 1))
-
-
-def _spread_out(points: np.ndarray, k: int, seed: int = 3) -> np.ndarray:
-    """Spherical k-means from seeds that lie apart."""
-    random = np.random.default_rng(seed)
-    chosen = [0]
-    gap = 1 - points @ points[0]
-    while len(chosen) < min(k, len(points)) and gap.max() > 1e-9:
-        chosen.append(int(random.choice(len(points), p=np.maximum(gap, 0) ** 2 / (np.maximum(gap, 0) ** 2).sum())))
-        gap = np.minimum(gap, 1 - points @ points[chosen[-1]])
-    centroids = points[chosen]
-    for _ in range(10):
-        near = (points @ centroids.T).argmax(axis=1)
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, near, points)
-        centroids = np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 0, sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12), centroids)
-    return centroids
-
-
-def topics_of(training: DataFrame) -> np.ndarray:
-    """TOPICS centroids, fitted on at most TOPIC_TEXTS training texts, those with the smallest hash of their id."""
-    picked = training.select("text", F.xxhash64("key", F.lit(31)).alias("h")).orderBy("h", F.xxhash64("text")).limit(TOPIC_TEXTS)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [triples(value.as_py()).astype(np.float32).tobytes() for value in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["x"])
-
-    rows = picked.mapInArrow(measure, "x binary").toArrow()["x"].to_pylist()
-    points = sorted(set(rows))
-    if not points:
-        return np.eye(TOPICS, TRIPLES)
-    found = _spread_out(np.stack([np.frombuffer(x, np.float32) for x in points]).astype(float), TOPICS)
-    return np.concatenate([found, np.zeros((TOPICS - len(found), TRIPLES))])
+def _counted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every text with the number of its block, and after each block its words with their training counts."""
+    names = ["block", "key", "held_out", "text", "token", "n"]
+    block, size = TaskContext.get().partitionId() << 20, 0
+    counts, others = Counter(), set()
 
+    def words() -> pa.RecordBatch:
+        tokens = list(others.union(counts))
+        none = pa.nulls(len(tokens))
+        columns = [pa.array([block] * len(tokens), pa.int64()), none.cast(pa.int64()), none.cast(pa.bool_()), none.cast(pa.string()), pa.array(tokens, pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([counts.get(t, 0) for t in tokens], pa.int64())], names=names)
 
-N_COLUMNS = [f"n{k}" for k in range(TOPICS)]
+    for batch in batches:
+        start = 0
+        texts, held = batch.column("text"), batch.column("held_out").to_pylist()
+        for k in range(batch.num_rows + 1):
+            if k == batch.num_rows or size >= BLOCK:
+                part = batch.slice(start, k - start)
+                none = pa.nulls(k - start)
+                columns = [pa.array([block] * (k - start), pa.int64()), *(part.column(c) for c in names[1:4]), none.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, none.cast(pa.int64())], names=names)
+                start = k
+                if size >= BLOCK:
+                    yield words()
+                    block, size = block + 1, 0
+                    counts.clear()
+                    others.clear()
+            if k < batch.num_rows:
+                tokens = words_of(texts[k].as_py())
+                size += sum(map(len, tokens)) + len(tokens) + 1
+                if held[k]:
+                    others.update(tokens, (b"",))
+                else:
+                    counts.update(tokens)
+                    counts[b""] += 1
+    if size:
+        yield words()
+
+
+def dictionary(words: DataFrame) -> Codes:
+    """Codes of the most frequent of the words (token, c), of DICTIONARY at most: all or none of those with one count."""
+    known = words.filter((F.col("c") > 1) & (F.length("token") <= LONGEST))
+    # there are no more different counts than the root of twice the tokens
+    often = known.groupBy("c").agg(F.count("*").alias("words")).orderBy(F.col("c").desc()).toArrow()
+    fit = int(np.searchsorted(np.cumsum(often["words"].to_numpy()), DICTIONARY, side="right"))
+    least = often["c"][fit - 1].as_py() if fit else 1 << 62
+    found = known.filter(F.col("c") >= least).orderBy(F.col("c").desc(), "token").select("token").toArrow()
+    return Codes(found["token"].to_pylist())
+
+
+def _learned(codes: Codes):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(ORDERS) << SLOT_BITS
+        own = Mixer.fresh(np.zeros(size, np.float32), np.zeros(size, np.float32))
+        start, total = own.refined.copy(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                texts = [words_of(x.as_py()) for x in batch.column("text")[at : at + TEXTS]]
+                own.learn_texts(texts, codes)
+                total += sum(map(len, texts)) + len(texts)
+        if not total:
+            return
+        rows = [(-1, b"", np.concatenate([own.weights.ravel() * total, (own.refined - start).ravel(), [total]]).tobytes())]
+        for part in range(size // TOGETHER):
+            counts = own.table[part * TOGETHER : (part + 1) * TOGETHER]
+            used = np.flatnonzero(counts)
+            if len(used):
+                rows.append((part, used.astype("<u2").tobytes(), counts[used].tobytes()))
+        for at in range(0, len(rows), 64):
+            columns = zip(zip(*rows[at : at + 64], strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in columns], names=["part", "used", "x"])
 
+    return learn
 
-def _counted_blocks(centroids: np.ndarray):
-    """Every text with the number of its block, and after each block its words with their training counts by topic."""
-    names = ["block", "key", "held_out", "text", "token", *N_COLUMNS]
 
-    def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size = TaskContext.get().partitionId() << 20, 0
-        counts, others = [Counter() for _ in range(TOPICS)], set()
+def _added(key: tuple, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum over tasks of one part of the counts, or of the weights and the map."""
+    part, total = key[0].as_py(), None
+    for batch in rows:
+        for used, x in zip(batch.column("used").to_pylist(), batch.column("x").to_pylist(), strict=True):
+            if part < 0:
+                total = np.frombuffer(x) + (0 if total is None else total)
+            else:
+                total = np.zeros(TOGETHER, complex) if total is None else total
+                total[np.frombuffer(used, "<u2")] += np.frombuffer(x, np.complex64)
+    packed = (total if part < 0 else total.astype(np.complex64)).tobytes()
+    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], names=["part", "x"])
 
-        def words() -> pa.RecordBatch:
-            tokens = list(others.union(*counts))
-            none = pa.nulls(len(tokens))
-            columns = [pa.array([block] * len(tokens), pa.int64()), none.cast(pa.int64()), none.cast(pa.bool_()), none.cast(pa.string()), pa.array(tokens, pa.binary())]
-            columns += [pa.array([c.get(t, 0) for t in tokens], pa.int64()) for c in counts]
-            return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
-            start = 0
-            texts, held = batch.column("text"), batch.column("held_out").to_pylist()
-            for k in range(batch.num_rows + 1):
-                if k == batch.num_rows or size >= BLOCK:
-                    part = batch.slice(start, k - start)
-                    none = pa.nulls(k - start)
-                    columns = [pa.array([block] * (k - start), pa.int64()), *(part.column(c) for c in names[1:4]), none.cast(pa.binary())]
-                    yield pa.RecordBatch.from_arrays([*columns, *[none.cast(pa.int64())] * TOPICS], names=names)
-                    start = k
-                    if size >= BLOCK:
-                        yield words()
-                        block, size = block + 1, 0
-                        for c in (*counts, others):
-                            c.clear()
-                if k < batch.num_rows:
-                    text = texts[k].as_py()
-                    tokens = words_of(text)
-                    size += sum(map(len, tokens)) + len(tokens) + 1
-                    if held[k]:
-                        others.update(tokens, (b"",))
-                    else:
-                        topic = counts[int((centroids @ triples(text)).argmax())]
-                        topic.update(tokens)
-                        topic[b""] += 1
-        if size:
-            yield words()
-
-    return count_blocks
-
-
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def train(texts: DataFrame, tokens: int, codes: Codes) -> Mixer:
+    """A model of all training texts, which hold so many `tokens`. Its size is fixed, so it may travel to the driver and to every task."""
     size = len(ORDERS) << SLOT_BITS
-    ones, seen = np.zeros(size), np.zeros(size)
+    model = Mixer.fresh(np.zeros(size, np.float32), np.zeros(size, np.float32))
+    tasks = max(1, math.ceil(tokens / TOKENS_PER_TASK))
+    learned = texts.select("text").coalesce(tasks).mapInArrow(_learned(codes), "part int, used binary, x binary")
+    learned = write_table(learned.groupBy("part").applyInArrow(_added, "part int, x binary"), "lm-counts")
+    for row in learned.toLocalIterator():
+        if row.part < 0:
+            x, cut = np.frombuffer(row.x), model.weights.size
+            model.weights = (x[:cut] / x[-1]).reshape(model.weights.shape).astype(np.float32)
+            model.refined = model.refined + x[cut:-1].reshape(model.refined.shape)
+        else:
+            model.table[row.part * TOGETHER : (row.part + 1) * TOGETHER] = np.frombuffer(row.x, np.complex64)
+    return model.freeze()
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their counts, packed into a row per block and batch."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        word, bit, _, slots = bit_rows(batch.column("token").to_pylist())
-        count = batch.column("c").to_numpy().astype(float)[word][:, None] * np.ones(8)
-        for k in range(len(ORDERS)):
-            low, high = k << SLOT_BITS, (k + 1) << SLOT_BITS
-            flat = slots[:, :, k].ravel() - low
-            seen[low:high] += np.bincount(flat, count.ravel(), minlength=1 << SLOT_BITS)
-            ones[low:high] += np.bincount(flat, (count * bit).ravel(), minlength=1 << SLOT_BITS)
-    used = np.flatnonzero(seen)
-    for start in range(0, len(used), 100_000):
-        at = used[start : start + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(ones[at]), pa.array(seen[at])], names=["slot", "ones", "seen"])
-
-
-def _learned(model: Mixer):
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Mixer.fresh(model.ones, model.seen)
-        start, total = own.refined.copy(), 0.0
-        for batch in batches:
-            tokens, counts = batch.column("token").to_pylist(), batch.column("c").to_numpy().astype(float)
-            # neighbours in the table begin alike: steps take words from all over the batch
-            order = np.random.default_rng(len(tokens)).permutation(len(tokens))
-            for at in np.array_split(order, max(1, len(tokens) // MINIBATCH)):
-                if len(at):
-                    total += own.learn([tokens[k] for k in at], counts[at])
-        if total:
-            learned = np.concatenate([own.weights.ravel() * total, (own.refined - start).ravel(), [total]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(learned)), pa.int32()), pa.array(learned)], names=["i", "x"])
-
-    return learn
+        tokens, block, counts = batch.column("token").to_pylist(), batch.column("block").to_numpy(), batch.column("c").to_numpy()
+        order = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.diff(block[order])) + 1
+        rows = [(int(block[at[0]]), b" ".join([tokens[k] for k in at]), counts[at].astype("<i8").tobytes()) for at in np.split(order, cuts)]
+        columns = zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in columns], names=["block", "tokens", "counts"])
 
 
-def train(words: DataFrame, distinct: int) -> Mixer:
-    """A model of all training words (token, c). Its size is fixed, so it may travel to the driver and to every task."""
-    size = len(ORDERS) << SLOT_BITS
-    ones, seen = np.zeros(size, np.float32), np.zeros(size, np.float32)
-    tasks = max(1, math.ceil(distinct / WORDS_PER_TASK))
-    known = words.filter("c > 0").select("token", "c").coalesce(tasks)
-    slots = known.mapInArrow(_slot_counts, "slot int, ones double, seen double")
-    slots = write_table(slots.groupBy("slot").agg(F.sum("ones").cast("float").alias("ones"), F.sum("seen").cast("float").alias("seen")), "slot-counts")
-    found = slots.toArrow()
-    at = found["slot"].to_numpy()
-    ones[at], seen[at] = found["ones"].to_numpy(), found["seen"].to_numpy()
-    model = Mixer.fresh(ones, seen)
-    learned = known.mapInArrow(_learned(model), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").toArrow()
-    if learned.num_rows:
-        x = learned["x"].to_numpy()
-        cut = GATES * len(ORDERS)
-        model.weights = (x[:cut] / x[-1]).reshape(GATES, len(ORDERS))
-        model.refined = model.refined + x[cut:-1].reshape(model.refined.shape)
-    return model
-
-
-def _priced(model: Mixer):
-    """Words with their bits, packed into a row per block and a hundred thousand words."""
-
-    def pack(tokens: list[bytes], block: np.ndarray, counts: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(block, kind="stable")
-        cuts = np.flatnonzero(np.diff(block[order], prepend=-1))
-        rows = [
-            (int(block[at[0]]), b" ".join([tokens[k] for k in at]), counts[at].astype("<f8").tobytes(), bits[at].astype("<f4").tobytes())
-            for at in np.split(order, cuts[1:])
-        ]
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        columns = [pa.array(list(x), kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["block", "tokens", "counts", "bits"])
-
-    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: list[bytes] = []
-        rest: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = batch.column("token").to_pylist()
-            place: dict[bytes, int] = {}
-            at = np.fromiter((place.setdefault(t, len(place)) for t in own), np.int64, len(own))
-            counts = np.stack([batch.column(n).to_numpy() for n in N_COLUMNS], axis=1)
-            rest.append((batch.column("block").to_numpy(), counts, model.bits(list(place))[at]))
-            tokens += own
-            if len(tokens) >= 100_000:
-                yield pack(tokens, *map(np.concatenate, zip(*rest, strict=True)))
-                tokens, rest = [], []
-        if tokens:
-            yield pack(tokens, *map(np.concatenate, zip(*rest, strict=True)))
-
-    return price
-
-
-def text_score(at: np.ndarray, bits: np.ndarray, shares: np.ndarray, size: np.ndarray) -> float:
-    """log10 of the probability of a text whose words are `at`.
-
-    Experts: the bits of the word, the words the text has held, and the topics.
-    Their shares before a word follow from the words before it alone: a first
-    pass tells how far each expert answers for each word from the shares at the
-    start, a second one from the shares that this gives.
-    """
-    n = len(at)
-    order = np.argsort(at, kind="stable")
-    fresh = np.flatnonzero(np.diff(at[order], prepend=-1))
-    before = np.empty(n)
-    before[order] = np.arange(n) - np.repeat(fresh, np.diff(fresh, append=n))
-    place = np.arange(n)
-    experts = np.column_stack([bits[at], before / np.maximum(place, 1), shares[at]])
-    start = np.concatenate([START[:2], START[2] * size])
-    share = start[None, :]
-    for _ in range(2):
-        answer = experts * share
-        answer /= answer.sum(axis=1, keepdims=True)
-        share = (INERTIA * start + np.cumsum(answer, axis=0) - answer) / (INERTIA + place)[:, None]
-    return float(np.log10((experts * share).sum(axis=1)).sum())
-
-
-def _score_block(totals: np.ndarray, distinct: int):
-    total = totals.sum()
+def _score_block(model: Mixer, codes: Codes, total: int, distinct: int):
     unit = math.log10(total + distinct + 1)
 
-    def score(texts: pa.Table, priced: pa.Table) -> pa.Table:
+    def score(texts: pa.Table, packed: pa.Table) -> pa.Table:
         names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
         out: list[list] = [[] for _ in names]
-        if texts.num_rows:
-            place: dict[bytes, int] = {}
-            counts, costs = [], []
-            for row in priced.to_batches():
-                for tokens, c, b in zip(*(row.column(n).to_pylist() for n in ("tokens", "counts", "bits")), strict=True):
-                    # the end of a text is the empty word
-                    for token in tokens.split(b" "):
-                        place[token] = len(place)
-                    counts.append(np.frombuffer(c, "<f8").reshape(-1, TOPICS))
-                    costs.append(np.frombuffer(b, "<f4"))
-            by_topic = np.concatenate(counts)
-            count = by_topic.sum(axis=1)
-            base = np.log10(count + 1.0) - unit
-            shares = by_topic / np.maximum(totals, 1)
-            bits = 10 ** (np.maximum(np.concatenate(costs).astype(float), 0) * -math.log10(2))
-            bits = np.maximum(bits, 1e-280)
-            size = totals / max(total, 1)
-            end = place[b""]
-            for row in texts.select(["key", "held_out", "text"]).to_batches():
-                for key, held, value in zip(row.column("key"), row.column("held_out"), row.column("text"), strict=True):
-                    tokens = words_of(value.as_py())
-                    at = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
-                    at = np.append(at, end)
-                    values = (key.as_py(), held.as_py(), len(at), int((count[at] > 0).sum()), float(base[at].sum()), text_score(at, bits, shares, size))
-                    for column, x in zip(out, (*values, sum(map(len, tokens)) + len(at)), strict=True):
-                        column.append(x)
+        count: dict[bytes, int] = {}
+        for row in packed.to_batches():
+            for tokens, c in zip(row.column("tokens").to_pylist(), row.column("counts").to_pylist(), strict=True):
+                # the end of a text is the empty word
+                count.update(zip(tokens.split(b" "), np.frombuffer(c, "<i8").tolist(), strict=True))
+        for row in texts.select(["key", "held_out", "text"]).to_batches(max_chunksize=TEXTS):
+            words = [words_of(x.as_py()) for x in row.column("text")]
+            scores = model.score(words, codes)
+            for key, held, tokens, own in zip(row.column("key").to_pylist(), row.column("held_out").to_pylist(), words, scores.tolist(), strict=True):
+                c = np.fromiter(map(count.__getitem__, (*tokens, b"")), np.int64, len(tokens) + 1)
+                base = float(np.log10(c + 1.0).sum() - unit * len(c))
+                values = (key, held, len(c), int((c > 0).sum()), base, own, sum(map(len, tokens)) + len(c))
+                for column, x in zip(out, values, strict=True):
+                    column.append(x)
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
         return pa.table({n: pa.array(x, kind) for n, x, kind in zip(names, out, kinds, strict=True)})
 
@@ -413,41 +458,30 @@ def score_texts(df: DataFrame, doc_id: str, text: str, held_out: Column) -> Data
 
     Texts are counted in blocks, so that words travel once per block and not once
     per text. Only words that the block holds come back to it; no table of all
-    words is ever sent anywhere.
+    words is ever sent anywhere, and the dictionary is of bounded size.
     """
     rows = df.select(F.col(doc_id).cast("long").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).cast("string").alias("text"))
     path = new_path(df.sparkSession, "lm-blocks")
-    schema = "block long, key long, held_out boolean, text string, token binary, " + ", ".join(f"{n} long" for n in N_COLUMNS)
-    centroids = topics_of(rows.filter("NOT held_out"))
-    rows.mapInArrow(_counted_blocks(centroids), schema).write.option("compression", "zstd").parquet(path)
+    schema = "block long, key long, held_out boolean, text string, token binary, n long"
+    rows.mapInArrow(_counted_blocks, schema).write.option("compression", "zstd").parquet(path)
     blocks = df.sparkSession.read.schema(schema).parquet(path)
-    # a word has a row for each block that holds it: its sums and its first row take one shuffle
-    whole = Window.partitionBy("token")
-    counted = (
-        blocks.filter("token IS NOT NULL")
-        .select(
-            "token",
-            "block",
-            *[F.sum(n).over(whole).alias(n) for n in N_COLUMNS],
-            (F.row_number().over(whole.orderBy("block")) == 1).alias("first"),
-        )
-        .withColumn("c", sum((F.col(n) for n in N_COLUMNS[1:]), F.col(N_COLUMNS[0])))
-    )
-    counted = write_table(counted, "lm-words")
-    words = counted.filter("first")
-    found = words.filter("c > 0").agg(F.count("*").alias("v"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in N_COLUMNS]).first()
-    totals, distinct = np.array([float(found[n]) for n in N_COLUMNS]), found["v"]
-    model = train(words, distinct)
-    priced = counted.select("token", "block", *N_COLUMNS).mapInArrow(_priced(model), "block long, tokens binary, counts binary, bits binary")
-    texts = blocks.filter("token IS NULL").select(F.col("block").alias("block"), F.col("key"), "held_out", "text")
+    # a word has a row for each block that holds it; sums are taken before the shuffle too
+    held = blocks.filter("token IS NOT NULL").select("token", "block", "n")
+    words = write_table(held.groupBy("token").agg(F.sum("n").alias("c")), "lm-words")
+    found = words.filter("c > 0").agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
+    total, distinct = int(found["n"]), found["v"]
+    codes = dictionary(words)
+    texts = blocks.filter("token IS NULL").select("block", "key", "held_out", "text")
+    model = train(texts.filter("NOT held_out"), total, codes)
+    packed = held.select("token", "block").join(words, "token").select("block", "token", "c").mapInArrow(_packed, "block long, tokens binary, counts binary")
     result = "key long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
-    scored = texts.groupBy("block").cogroup(priced.groupBy("block")).applyInArrow(_score_block(totals, distinct), result)
+    scored = texts.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(_score_block(model, codes, total, distinct), result)
     return scored.select(
         F.col("key").alias("doc_id"),
         "held_out",
         "n_tokens",
         "n_known",
-        F.lit(int(totals.sum())).cast("long").alias("train_tokens"),
+        F.lit(total).cast("long").alias("train_tokens"),
         "base_score",
         "score",
         (F.col("score") * F.lit(-math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),

@@ -457,3 +457,47 @@ def test_toxicity_without_labels(spark):
     docs, labels = toxic_docs(spark)
     model = toxicity.fit(docs, "doc_id", "text", labels.limit(0), "doc_id", "toxic", F.lit(True))
     assert toxicity.score_texts(docs, "text", model).agg(F.max("score")).first()[0] < 0.5
+
+
+# ---- language-model scores: contexts over the word before, mixed along the text ----
+
+
+def lm_of(texts, words=()):
+    size = len(context_mixing.ORDERS) << context_mixing.SLOT_BITS
+    model = context_mixing.Mixer.fresh(np.zeros(size, np.float32), np.zeros(size, np.float32))
+    codes = context_mixing.Codes(list(words))
+    for _ in range(3):
+        model.learn_texts([t.encode().split() for t in texts], codes)
+    return model, codes
+
+
+def test_lm_scores_follow_the_word_before():
+    """The same words in the order of the training texts are likelier than in another; counts of words cannot tell."""
+    pairs = [("salt", "pepper"), ("day", "night"), ("north", "south"), ("left", "right")]
+    texts = [" ".join(w for k in range(20) for w in pairs[(i * 7 + k * k) % 4]) for i in range(60)]
+    model, codes = lm_of(texts, [w.encode() for p in pairs for w in p] + [b""])
+    there, mixed = model.freeze().score([b"day night left right salt pepper".split(), b"day pepper left night salt right".split()], codes)
+    assert there > mixed + 1
+
+
+def test_lm_texts_adapt_on_their_own():
+    """A text costs the same whatever stands beside it, and its repetitions less and less."""
+    model, codes = lm_of(["a b c d", "b d a c", "c a d b"] * 20, [b"a", b"b", b"c", b"d", b""])
+    texts = [b"unheard of words ".split() * n for n in (1, 2, 40)] + [[], b"a b".split(), [b"\xff" * 5000, b"x"]]
+    together = model.freeze().score(texts, codes)
+    alone = np.concatenate([model.score([t], codes) for t in texts])
+    assert np.allclose(together, alone, rtol=1e-6) and (together < 0).all()
+    assert together[1] > 2 * together[0] and together[2] / 40 > together[1] / 2
+
+
+def test_lm_codes_are_read_again():
+    """No coded word begins another one, and the mixed bits of all bytes sum to one."""
+    words = [b"%x" % k for k in range(context_mixing.SHORT + context_mixing.MIDDLE + 70_000)]
+    codes = context_mixing.Codes(words)
+    coded = sorted([*codes.values(), codes[b"spelled"], codes[b"spell"], codes[b""]])
+    assert len(set(coded)) == len(words) + 3 and not any(b.startswith(a) for a, b in zip(coded, coded[1:], strict=False))
+    model, codes = lm_of(["abc abd", "abc"])
+    byte, _, contexts = context_mixing.contexts_of([bytes([c]) for c in range(256)], np.arange(256))
+    bit, node, slots = context_mixing.bits_of(byte, contexts)
+    _, p, _ = model.probabilities(*model.inputs(slots), node)
+    assert math.isclose(np.abs(bit - (1 - p)).prod(axis=1, dtype=float).sum(), 1, rel_tol=1e-4)
