@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from compare import differences, duck
@@ -501,3 +502,35 @@ def test_lm_codes_are_read_again():
     bit, node, slots = context_mixing.bits_of(byte, contexts)
     _, p, _ = model.probabilities(*model.inputs(slots), node)
     assert math.isclose(np.abs(bit - (1 - p)).prod(axis=1, dtype=float).sum(), 1, rel_tol=1e-4)
+
+
+def test_lm_bits_of_half_a_byte_lie_side_by_side():
+    """What a step looks up is bounded: for each predictor two runs of 16 slots a byte."""
+    byte, _, contexts = context_mixing.contexts_of([b"some", b"words", b"some"], np.array([0]))
+    _, _, slots = context_mixing.bits_of(byte, contexts)
+    runs = (slots >> 4).reshape(len(context_mixing.ORDERS), len(byte), 2, 4)
+    assert (runs == runs[..., :1]).all() and (slots[0, :4] == slots[0, 9:]).all()
+
+
+def test_lm_spells_frequent_pairs_as_one():
+    """Unknown words take fewer bytes where they are made of what the dictionary's are made of, and can be read again."""
+    codes = context_mixing.Codes([b"nation", b"station", b"ration", b"motion", b"na!n", b"\xc3\xa9t\xc3\xa9"])
+    words = [b"lotion", b"nationstation", b"\xc3\xa9t", b"zzz", b"q", b"", b"an", b"na"]
+    spelled = [codes[w] for w in words]
+    assert codes.coded([*words, b"motion"]) == [*spelled, codes[b"motion"]]
+    assert len(spelled[1]) < len(words[1]) / 2 + 2 and spelled[3] == b"\xffzzz "
+    for word, x in zip(words, spelled, strict=True):
+        for pair, free in reversed(codes.pairs):
+            x = x.replace(free, pair)
+        assert x == b"\xff" + word + b" "
+
+
+def test_lm_counts_add_up():
+    """Sums over tasks are exact, and where they pass what a slot holds the share of ones stays."""
+    size = context_mixing._ONE
+    used, counts = np.array([3, 7], "<u2").tobytes(), np.array([5 * size + 2, (1 << 30) * size + (1 << 28)]).tobytes()
+    rows = pa.RecordBatch.from_pydict({"part": pa.array([1] * 3, pa.int32()), "used": [used] * 3, "x": [counts] * 3})
+    (batch,) = context_mixing._added((pa.scalar(1),), iter([rows]))
+    added = np.frombuffer(batch.column("x")[0].as_py(), np.int64)
+    assert (added[3] >> 32, added[3] & (size - 1), added[0]) == (15, 6, 0)
+    assert (added[7] >> 32, added[7] & (size - 1)) == (1 << 30, 1 << 28)
