@@ -116,6 +116,19 @@ class Codes(dict):
         return found
 
 
+def ranks_of(coded: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of coded words, joined, their ranks in the dictionary; -1 for spelled ones."""
+    first = coded[starts].astype(np.int64)
+    ranks = np.where(first < SHORT, first, -1)
+    for n, low, rank in ((2, SHORT << 8, SHORT), (3, 251 << 16, SHORT + MIDDLE)):
+        at = np.flatnonzero((lengths == n) & (first >= low >> 8 * (n - 1)) & (first < 255))
+        code = np.zeros(len(at), np.int64)
+        for k in range(n):
+            code = code << 8 | coded[starts[at] + k]
+        ranks[at] = code - low + rank
+    return ranks
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return (x >> np.uint64(32)).astype(np.uint32)
@@ -321,16 +334,20 @@ class Mixer:
 
     def _along(self, texts: list[list[bytes]], codes: Codes, learn: bool) -> np.ndarray:
         """Texts of like length stand side by side and advance by a window at a time."""
-        out, found = np.zeros(len(texts)), codes.coded([w for words in texts for w in (*words, b"")])
-        ends = np.cumsum([len(words) + 1 for words in texts]).tolist()
+        return self._along_coded(codes.coded([w for words in texts for w in (*words, b"")]), [len(words) + 1 for words in texts], learn)[0]
+
+    def _along_coded(self, found: list[bytes], words: list[int], learn: bool) -> tuple[np.ndarray, bytes, np.ndarray]:
+        """As `_along`, of the coded words of texts with so many `words` each; with them joined, and their lengths."""
+        out, ends = np.zeros(len(words)), np.cumsum(words).tolist()
         coded = [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
-        lengths = np.split(np.fromiter(map(len, found), np.int64, len(found)), ends[:-1])
+        every = np.fromiter(map(len, found), np.int64, len(found))
+        lengths = np.split(every, ends[:-1])
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
         order = np.argsort(-sizes, kind="stable")
         for at in range(0, len(order), SIDE_BY_SIDE):
             group = order[at : at + SIDE_BY_SIDE]
             out[group] = self._group([coded[k] for k in group], [lengths[k] for k in group], sizes[group], learn)
-        return out
+        return out, b"".join(coded), every
 
     def _group(self, coded: list[bytes], lengths: list[np.ndarray], sizes: np.ndarray, learn: bool) -> np.ndarray:
         """As `_along`, of coded texts of decreasing `sizes` and the lengths of their words."""
@@ -340,7 +357,8 @@ class Mixer:
         starts = np.cumsum(sizes) - sizes
         held = np.zeros(n << OWN_BITS, np.uint32)
         if not learn:
-            weights = np.tile(self.weights, n)
+            # numpy adds at places fast only where the type is its own, not one that was unpickled
+            weights = np.tile(self.weights, n).astype(np.float32)
             refined = np.tile((self.refined[0] / self.refined[1]).astype(np.float32), n)
         begin = end = 0
         while end < sizes[0]:
@@ -445,7 +463,7 @@ def _counted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield words()
 
 
-def dictionary(words: DataFrame) -> tuple[DataFrame, Codes, dict[bytes, int]]:
+def dictionary(words: DataFrame) -> tuple[DataFrame, Codes, np.ndarray]:
     """The most frequent of the words (token, c), DICTIONARY at most, all or none of those with one count: their table, codes and counts."""
     known = words.filter((F.col("c") > 1) & (F.length("token") <= LONGEST))
     # there are no more different counts than the root of twice the tokens
@@ -454,8 +472,7 @@ def dictionary(words: DataFrame) -> tuple[DataFrame, Codes, dict[bytes, int]]:
     least = often["c"][fit - 1].as_py() if fit else 1 << 62
     known = known.filter(F.col("c") >= least)
     found = known.orderBy(F.col("c").desc(), "token").toArrow()
-    tokens = found["token"].to_pylist()
-    return known, Codes(tokens), dict(zip(tokens, found["c"].to_pylist(), strict=True))
+    return known, Codes(found["token"].to_pylist()), found["c"].to_numpy()
 
 
 def _learned(codes: Codes):
@@ -533,28 +550,34 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in columns], names=["block", "tokens", "counts"])
 
 
-def _score_block(model: Mixer, codes: Codes, known: dict[bytes, int], total: int, distinct: int):
+def _score_block(model: Mixer, codes: Codes, known: np.ndarray, total: int, distinct: int):
     unit = math.log10(total + distinct + 1)
 
     def score(texts: pa.Table, packed: pa.Table) -> pa.Table:
-        names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
-        out: list[list] = [[] for _ in names]
-        count = known.copy()
+        count: dict[bytes, int] = {}
         for row in packed.to_batches():
             for tokens, c in zip(row.column("tokens").to_pylist(), row.column("counts").to_pylist(), strict=True):
                 # the end of a text is the empty word
                 count.update(zip(tokens.split(b" "), np.frombuffer(c, "<i8").tolist(), strict=True))
+        parts = []
         for row in texts.select(["key", "held_out", "text"]).to_batches(max_chunksize=TEXTS):
-            words = [words_of(x.as_py()) for x in row.column("text")]
-            scores = model.score(words, codes)
-            for key, held, tokens, own in zip(row.column("key").to_pylist(), row.column("held_out").to_pylist(), words, scores.tolist(), strict=True):
-                c = np.fromiter(map(count.__getitem__, (*tokens, b"")), np.int64, len(tokens) + 1)
-                base = float(np.log10(c + 1.0).sum() - unit * len(c))
-                values = (key, held, len(c), int((c > 0).sum()), base, own, sum(map(len, tokens)) + len(c))
-                for column, x in zip(out, values, strict=True):
-                    column.append(x)
+            if not row.num_rows:
+                continue
+            tokens = [[*words_of(x), b""] for x in row.column("text").to_pylist()]
+            words, every = [len(x) for x in tokens], [w for x in tokens for w in x]
+            own, coded, lengths = model._along_coded(codes.coded(every), words, learn=False)
+            ranks = ranks_of(np.frombuffer(coded, np.uint8), np.cumsum(lengths) - lengths, lengths)
+            c, other = np.zeros(len(every), np.int64), ranks < 0
+            c[~other] = known[ranks[~other]]
+            c[other] = [count[every[k]] for k in np.flatnonzero(other).tolist()]
+            begin, n = np.cumsum(words) - words, np.array(words, np.int64)
+            base = np.add.reduceat(np.log10(c + 1.0), begin) - unit * n
+            n_bytes = np.add.reduceat(np.fromiter(map(len, every), np.int64, len(every)), begin) + n
+            parts.append([row.column("key"), row.column("held_out"), *map(pa.array, (n, np.add.reduceat((c > 0).astype(np.int64), begin), base, own, n_bytes))])
+        names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-        return pa.table({n: pa.array(x, kind) for n, x, kind in zip(names, out, kinds, strict=True)})
+        schema = pa.schema(list(zip(names, kinds, strict=True)))
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(x, schema=schema) for x in parts], schema)
 
     return score
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pickle
 import re
 import zlib
 
@@ -534,3 +535,19 @@ def test_lm_counts_add_up():
     added = np.frombuffer(batch.column("x")[0].as_py(), np.int64)
     assert (added[3] >> 32, added[3] & (size - 1), added[0]) == (15, 6, 0)
     assert (added[7] >> 32, added[7] & (size - 1)) == (1 << 30, 1 << 28)
+
+
+def test_lm_ranks_are_read_off_codes():
+    words = [b"%x" % k for k in range(context_mixing.SHORT + context_mixing.MIDDLE + 70_000)]
+    coded = context_mixing.Codes(words).coded([*words, b"spelled", b"", b"z"])
+    lengths = np.array([len(x) for x in coded])
+    ranks = context_mixing.ranks_of(np.frombuffer(b"".join(coded), np.uint8), np.cumsum(lengths) - lengths, lengths)
+    assert ranks.tolist() == [*range(len(words)), -1, -1, -1]
+
+
+def test_lm_travels_as_it_is():
+    """A model that was sent to a task scores as the one that was learned."""
+    model, codes = lm_of(["salt pepper salt", "day night"] * 10, [b"salt", b"pepper", b""])
+    sent = pickle.loads(pickle.dumps(model.freeze()))
+    texts = [b"salt pepper night".split(), []]
+    assert np.array_equal(sent.score(texts, codes), model.score(texts, codes))
